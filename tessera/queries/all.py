@@ -2,3 +2,4 @@
 
 from tessera.queries import SQL, REGISTRY  # noqa: F401
 from tessera.queries import items  # noqa: F401
+from tessera.queries import shapes  # noqa: F401
