@@ -242,7 +242,7 @@ def meta_condition(v: Column, spec: Any) -> Column:
     if op == "$ne":
         return ~F.coalesce(lv == F.lit(js_string_literal(arg).lower()), F.lit(False))
     if op == "$like":
-        return F.coalesce(v.ilike(F.lit(arg)), F.lit(False))
+        return F.coalesce(v.ilike(str(arg)), F.lit(False))
     if op == "$prefix":
         return F.coalesce(lv.startswith(F.lit(str(arg).lower())), F.lit(False))
     if op == "$in":

@@ -72,6 +72,40 @@ def positions(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colum
         "_part", "_local", "_off", "_opart", *kk)
 
 
+def carry_forward(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], marker: str,
+                  out: str, include_current: bool = False,
+                  num_partitions: int | None = None) -> DataFrame:
+    """``out`` = the last non-null ``marker`` before each row (or up to and
+    including it) within its key, in ``order_by`` order.
+
+    Same split as :func:`positions`: rows are range-partitioned so one long
+    key spreads over many tasks; each task carries values forward inside its
+    slice, and the last value of every earlier slice of the key (a table of
+    at most one row per partition and key) fills the start of the next.
+    """
+    keys = list(keys)
+    order = _cols(order_by)
+    n = num_partitions or _shuffle_partitions(df)
+    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn(
+        "_part", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    hi = 0 if include_current else -1
+    wl = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
+    local = ranged.withColumn("_loc", F.last(F.col(marker), ignorenulls=True).over(wl))
+    kk = [f"_key{i}" for i in range(len(keys))]
+    kcols = [F.col(k).alias(kk[i]) for i, k in enumerate(keys)]
+    slices = ranged.groupBy("_part", *kcols).agg(
+        F.max_by(F.col(marker), F.when(F.col(marker).isNotNull(), F.struct(*order))).alias("_val"))
+    wk = (Window.partitionBy(*kk) if kk else Window.partitionBy(F.lit(0))).orderBy("_part") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    carried = slices.withColumn("_car", F.last("_val", ignorenulls=True).over(wk)) \
+        .select(F.col("_part").alias("_opart"), *kk, "_car")
+    cond = [local["_part"] == carried["_opart"]] + [
+        local[k].eqNullSafe(carried[kk[i]]) for i, k in enumerate(keys)]
+    j = local.join(carried, on=cond, how="inner")
+    return j.withColumn(out, F.coalesce(F.col("_loc"), F.col("_car"))).drop(
+        "_part", "_loc", "_car", "_opart", *kk)
+
+
 # --------------------------------------------------------------------------
 # sort / limit
 # --------------------------------------------------------------------------
@@ -178,7 +212,7 @@ def remove_duplicates(df: DataFrame, fields: Sequence[str] | None = None,
 def split_out(df: DataFrame, field: str) -> DataFrame:
     """One row per list element; scalars kept; missing values and empty lists dropped."""
     if field not in df.columns:
-        return df.limit(0) if False else df.filter(F.lit(False))
+        return df.filter(F.lit(False))
     dtype = df.schema[field].dataType
     if isinstance(dtype, T.ArrayType):
         return df.withColumn(field, F.explode(F.col(field)))
