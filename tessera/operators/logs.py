@@ -140,21 +140,26 @@ def usage_fields(df: DataFrame, body_col: str = "body") -> DataFrame:
     ``usage.prompt_tokens`` or ``usage.input_tokens`` (first number wins),
     ``usage.completion_tokens`` or ``usage.output_tokens``; if both are 0,
     ``usage.total_tokens`` counts as embed tokens. Bodies that are not
-    objects, or have no usage object, only count the call.
+    objects, or have no usage object, only count the call. The body is
+    parsed once into a variant column.
     """
-    v = F.try_parse_json(F.col(body_col))
-    is_obj = F.schema_of_variant(v).startswith("OBJECT")
+    d = df.withColumn("_v", F.try_parse_json(F.col(body_col)))
+    v = F.col("_v")
+    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     u = F.try_variant_get(v, "$.usage", "variant")
     u_obj = is_obj & F.coalesce(F.schema_of_variant(u).startswith("OBJECT"), F.lit(False))
     p = F.coalesce(_num(v, "$.usage.prompt_tokens"), _num(v, "$.usage.input_tokens"), F.lit(0.0))
     c = F.coalesce(_num(v, "$.usage.completion_tokens"), _num(v, "$.usage.output_tokens"), F.lit(0.0))
     tot = F.coalesce(_num(v, "$.usage.total_tokens"), F.lit(0.0))
-    llm = (p != 0) | (c != 0)
     trunc = lambda x: F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x)).cast("long")
-    return df.withColumn("_u", u_obj).withColumn(
-        "llm_input_tokens", F.when(F.col("_u") & llm, trunc(p)).otherwise(F.lit(0).cast("long"))).withColumn(
-        "llm_output_tokens", F.when(F.col("_u") & llm, trunc(c)).otherwise(F.lit(0).cast("long"))).withColumn(
-        "embed_tokens", F.when(F.col("_u") & ~llm, trunc(tot)).otherwise(F.lit(0).cast("long"))).drop("_u")
+    d = d.withColumns({"_u": u_obj, "_p": p, "_c": c, "_t": tot})
+    llm = (F.col("_p") != 0) | (F.col("_c") != 0)
+    zero = F.lit(0).cast("long")
+    return d.withColumns({
+        "llm_input_tokens": F.when(F.col("_u") & llm, trunc(F.col("_p"))).otherwise(zero),
+        "llm_output_tokens": F.when(F.col("_u") & llm, trunc(F.col("_c"))).otherwise(zero),
+        "embed_tokens": F.when(F.col("_u") & ~llm, trunc(F.col("_t"))).otherwise(zero),
+    }).drop("_v", "_u", "_p", "_c", "_t")
 
 
 def usage_meter(df: DataFrame, body_col: str = "body", by: Sequence[str] = ()) -> DataFrame:

@@ -31,8 +31,69 @@ MAX_VOCAB = 200_000          # query terms broadcast per scoring pass
 QUERY_BLOCK = 2048           # queries scored per corpus pass
 
 
-def _bm25_block(docs_terms: DataFrame, qrows: list, vocab_idx: dict, idf: np.ndarray, avgdl: float,
-                k: int, id_col: str, id_type: T.DataType, q_type: T.DataType, k1: float, b: float) -> DataFrame:
+# fixed values (ours): the word tokenizer shared by every lexical operator:
+# lower case, split on runs of characters that are neither letters nor digits
+TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+
+
+def _py_tokens(text: str | None) -> list[str]:
+    import regex
+
+    return [t for t in regex.split(TOKEN_SPLIT, (text or "").lower()) if t]
+
+
+def _doc_terms(corpus: DataFrame, id_col: str, text: str, vocab: list[str]) -> DataFrame:
+    """One row per document: its length and the counts of the query terms
+    it holds (the only part of the text the scoring needs). Tokenizing runs
+    once per document in Arrow batches; the result is small and kept for the
+    statistics and the scoring passes."""
+    from pyspark import StorageLevel
+
+    from tessera.session import ensure_parallel
+
+    bvocab = corpus.sparkSession.sparkContext.broadcast(frozenset(vocab))
+    id_type = corpus.schema[id_col].dataType
+    schema = T.StructType([T.StructField("_id", id_type), T.StructField("_dl", T.LongType()),
+                           T.StructField("_terms", T.ArrayType(T.StringType())),
+                           T.StructField("_tfs", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from collections import Counter
+
+        vs = bvocab.value
+        for pdf in batches:
+            dls, terms, tfs = [], [], []
+            for t in pdf[text]:
+                toks = _py_tokens(t)
+                c = Counter(x for x in toks if x in vs)
+                dls.append(len(toks))
+                terms.append(list(c))
+                tfs.append([float(v) for v in c.values()])
+            yield pd.DataFrame({"_id": pdf[id_col], "_dl": dls, "_terms": terms, "_tfs": tfs})
+
+    src = ensure_parallel(corpus.select(id_col, text))
+    return src.mapInPandas(run, schema).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _bm25_stats(per_doc: DataFrame) -> tuple[dict, int, int]:
+    """Document frequency per query term, document count and total length
+    (one job over the kept per-document rows)."""
+    docs = per_doc.select(F.lit(None).cast("string").alias("term"), F.col("_dl").alias("dl"))
+    terms = per_doc.select(F.explode("_terms").alias("term"), F.lit(0).cast("long").alias("dl"))
+    st = docs.unionByName(terms).groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("dl"))
+    dfc, n_docs, total_dl = {}, 0, 0
+    for r in st.collect():  # |vocab| + 1 rows at most
+        if r["term"] is None:
+            n_docs, total_dl = r["n"], r["dl"] or 0
+        else:
+            dfc[r["term"]] = r["n"]
+    return dfc, n_docs, total_dl
+
+
+def _bm25_block(per_doc: DataFrame, qrows: list, vocab_idx: dict, idf: np.ndarray,
+                avgdl: float, k: int, id_type: T.DataType, q_type: T.DataType, k1: float, b: float) -> DataFrame:
+    """Score one block of queries: each document touches only the rows of
+    its own query terms (sparse); ``k`` rows per query leave each batch."""
     qids = [r[0] for r in qrows]
     w = np.zeros((len(vocab_idx), len(qids)), dtype=np.float64)
     for j, r in enumerate(qrows):
@@ -40,7 +101,7 @@ def _bm25_block(docs_terms: DataFrame, qrows: list, vocab_idx: dict, idf: np.nda
             i = vocab_idx.get(t)
             if i is not None:
                 w[i, j] = idf[i]
-    sc = docs_terms.sparkSession.sparkContext
+    sc = per_doc.sparkSession.sparkContext
     payload = sc.broadcast((qids, vocab_idx, w))
     schema = T.StructType([T.StructField("query_id", q_type), T.StructField("id", id_type),
                            T.StructField("score", T.DoubleType())])
@@ -50,32 +111,46 @@ def _bm25_block(docs_terms: DataFrame, qrows: list, vocab_idx: dict, idf: np.nda
         for pdf in batches:
             if pdf.empty:
                 continue
-            nb = len(pdf)
-            tf = np.zeros((nb, len(vidx)), dtype=np.float64)
-            for r, terms in enumerate(pdf["_qt"]):
-                if terms is None:
+            s = np.zeros((len(pdf), wm.shape[1]), dtype=np.float64)
+            for r, (terms, counts, dl) in enumerate(zip(pdf["_terms"], pdf["_tfs"], pdf["_dl"])):
+                if len(terms) == 0:
                     continue
-                for t in terms:
-                    tf[r, vidx[t]] += 1.0
-            dl = pdf["_dl"].to_numpy(dtype=np.float64)[:, None]
-            norm = k1 * (1.0 - b + b * dl / avgdl)
-            tfn = np.where(tf > 0, tf * (k1 + 1.0) / (tf + norm), 0.0)
+                tf = np.asarray(counts, dtype=np.float64)
+                tfn = tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * float(dl) / avgdl))
+                s[r] = tfn @ wm[[vidx[x] for x in terms]]
             # scores rounded to 9 places: ties are then exact and broken by id
-            s = np.round(tfn @ wm, 9)
-            rows = _topk_rows(pdf[id_col].to_numpy(), s, qids_, k)
+            s = np.round(s, 9)
+            rows = _topk_rows(pdf["_id"].to_numpy(), s, qids_, k)
             # a document without any query term scores 0 and is not a hit
             yield rows[rows["score"] > 0]
 
-    return docs_terms.mapInPandas(run, schema)
+    return per_doc.mapInPandas(run, schema)
 
 
 def bm25_search(queries: DataFrame, corpus: DataFrame, k: int = 10, qid_col: str = "query_id",
                 qtext: str = "text", id_col: str = "doc_id", text: str = "text",
                 k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
     """Lexical top-k by BM25 (ours: constants above). Output
-    ``(query_id, id, score, rank)``; documents sharing no term are no hits."""
+    ``(query_id, id, score, rank)``; documents sharing no term are no hits.
+
+    Plan: the query set is read in bounded blocks; the corpus is tokenized
+    once into per-document query-term counts (kept), which give the term
+    statistics (one small ``groupBy``) and feed one scoring pass per block. No (document, term)
+    pairs are shuffled and no (query, document) pairs are emitted: every
+    task keeps ``k`` rows per query, a window group limit keeps the global k.
+    """
     qt = queries.select(F.col(qid_col).alias("q"), F.array_distinct(word_tokens(F.col(qtext))).alias("terms"))
-    vocab = sorted(r[0] for r in qt.select(F.explode("terms")).distinct().limit(MAX_VOCAB + 1).collect())
+    first = qt.limit(QUERY_BLOCK + 1).collect()
+    blocks: list[list] = []
+    if len(first) <= QUERY_BLOCK:
+        blocks.append([(r["q"], r["terms"]) for r in first])
+    else:
+        nq = qt.count()
+        nb = math.ceil(nq / QUERY_BLOCK)
+        for i in range(nb):
+            # one bounded query block per corpus pass
+            blocks.append([(r["q"], r["terms"]) for r in qt.filter(F.pmod(F.xxhash64("q"), F.lit(nb)) == i).collect()])
+    vocab = sorted({t for blk in blocks for _, terms in blk for t in (terms or [])})
     if len(vocab) > MAX_VOCAB:
         raise ValueError("query vocabulary above MAX_VOCAB: search in query batches")
     id_type = corpus.schema[id_col].dataType
@@ -84,26 +159,12 @@ def bm25_search(queries: DataFrame, corpus: DataFrame, k: int = 10, qid_col: str
                            T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())])
     if not vocab:
         return corpus.sparkSession.createDataFrame([], schema)
-    toks = word_tokens(F.col(text))
-    # ``isin`` with many literals is planned as a hash-set lookup
-    docs = corpus.select(F.col(id_col), F.size(toks).alias("_dl"),
-                         F.filter(toks, lambda t: t.isin(vocab)).alias("_qt"))
-    stats = corpus.select(F.size(toks).alias("dl")).agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    n_docs, avgdl = stats["n"], float(stats["avgdl"] or 0.0)
-    dfc = dict(docs.select(F.explode(F.array_distinct("_qt")).alias("t")).groupBy("t").count().collect())
+    per_doc = _doc_terms(corpus, id_col, text, vocab)
+    dfc, n_docs, total_dl = _bm25_stats(per_doc)
+    avgdl = total_dl / n_docs if n_docs else 0.0
     vocab_idx = {t: i for i, t in enumerate(vocab)}
     idf = np.array([math.log(1.0 + (n_docs - dfc.get(t, 0) + 0.5) / (dfc.get(t, 0) + 0.5)) for t in vocab])
-    qrows = [(r["q"], r["terms"]) for r in qt.collect()] if qt.limit(QUERY_BLOCK + 1).count() <= QUERY_BLOCK else None
-    parts = []
-    if qrows is not None:
-        parts.append(_bm25_block(docs, qrows, vocab_idx, idf, avgdl, k, id_col, id_type, q_type, k1, b))
-    else:
-        nq = qt.count()
-        nb = math.ceil(nq / QUERY_BLOCK)
-        for i in range(nb):
-            rows = [(r["q"], r["terms"]) for r in qt.filter(F.pmod(F.xxhash64("q"), F.lit(nb)) == i).collect()]
-            if rows:
-                parts.append(_bm25_block(docs, rows, vocab_idx, idf, avgdl, k, id_col, id_type, q_type, k1, b))
+    parts = [_bm25_block(per_doc, blk, vocab_idx, idf, avgdl, k, id_type, q_type, k1, b) for blk in blocks if blk]
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)
@@ -116,7 +177,10 @@ def dense_search(queries: DataFrame, corpus: DataFrame, k: int = 10, qid_col: st
     """Vector top-k on hashed-word embeddings of query and document text."""
     q = embed(queries.select(F.col(qid_col).alias("query_id"), F.col(qtext).alias("text")), "text", dims,
               id_col="query_id")
-    c = embed(corpus.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "text", dims, id_col="id")
+    from tessera.session import ensure_parallel
+
+    c = embed(ensure_parallel(corpus.select(F.col(id_col).alias("id"), F.col(text).alias("text"))), "text", dims,
+              id_col="id")
     return block_topk(c.select("id", "embedding"), q.select("query_id", "embedding"), k)
 
 

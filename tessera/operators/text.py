@@ -117,7 +117,9 @@ def chunk_recursive(df: DataFrame, text: str = "text", size: int = 512, overlap:
                     chunks.append(c)
             yield pd.DataFrame({id_col: ids, "chunk_no": nos, "chunk": chunks})
 
-    return df.select(id_col, text).mapInPandas(run, schema)
+    from tessera.session import ensure_parallel
+
+    return ensure_parallel(df.select(id_col, text)).mapInPandas(run, schema)
 
 
 def sentences(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -209,7 +211,9 @@ def parse_html(df: DataFrame, col: str = "html", id_col: str = "page_id") -> Dat
             res = [html_to_text(h) for h in b[col]]
             yield pd.DataFrame({id_col: b[id_col], "title": [r[0] for r in res], "text": [r[1] for r in res]})
 
-    return df.select(id_col, col).mapInPandas(run, schema)
+    from tessera.session import ensure_parallel
+
+    return ensure_parallel(df.select(id_col, col)).mapInPandas(run, schema)
 
 
 def parse_markdown(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -93,3 +93,17 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         return table(self.spark, self.sf_dir, name)
+
+
+def ensure_parallel(df: DataFrame) -> DataFrame:
+    """Spread rows over at least ``defaultParallelism`` tasks before heavy
+    per-row work (tokenizing, Python batches).
+
+    Only when the input has fewer partitions than that (a small or
+    single-row-group file); a large input already has more splits than cores
+    and is left alone, so no shuffle is added at scale.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
