@@ -782,3 +782,30 @@ def transform_context(spark, d):
         return keep[["conv_id", "turn", "role"]]
     return U.transform_context(Tables(spark, d).conversations.select("conv_id", "turn", "role"), fn,
                                "conv_id long, turn long, role string")
+
+
+@query("webhook_source", "SELECT doc_id, lang FROM documents")
+def webhook_source(spark, d):
+    schema = Tables(spark, d).documents.schema
+    s = ST.landing_stream(spark, f"{d}/documents.parque[t]", schema, fmt="parquet")
+    return ST.run_available(s.select("doc_id", "lang"), "landing")
+
+
+@query("feed_poll", "SELECT DISTINCT CAST(user_id AS VARCHAR) || ':' || event_type AS entry_id FROM events")
+def feed_poll(spark, d):
+    ev = Tables(spark, d).events
+    s = spark.readStream.schema(ev.schema).parquet(f"{d}/events.parque[t]")
+    entries = s.select(F.concat_ws(":", F.col("user_id").cast("string"), "event_type").alias("entry_id"),
+                       F.col("ts").alias("published"))
+    # entries repeat within the month: each id is new once (the delay covers the data)
+    return ST.run_available(ST.stream_dedupe(entries, "entry_id", "published", "40 days"), "feed").select("entry_id")
+
+
+@query("ingest_bridge", "SELECT CAST(vec_id AS VARCHAR) AS id, label, 'vectors' AS collection FROM embeddings")
+def ingest_bridge(spark, d):
+    emb = Tables(spark, d).embeddings
+    s = spark.readStream.schema(emb.schema).parquet(f"{d}/embeddings.parque[t]")
+    target = ST.scratch_path(spark, "bridge")
+    ST.bridge_to_collection(s.select(F.col("vec_id").cast("string").alias("id"), "label", "embedding"), target,
+                            ST.scratch_path(spark, "bridge-ckpt"), key="id", collection="vectors")
+    return ST.latest(spark, target, ["id"]).select("id", "label", "collection")

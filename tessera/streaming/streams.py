@@ -200,3 +200,17 @@ def start_ingest(stream: DataFrame, target: str, checkpoint: str, size: int = 51
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     q = w.trigger(availableNow=True).start() if trigger_available_now else w.start()
     q.awaitTermination()
+
+
+def bridge_to_collection(stream: DataFrame, target: str, checkpoint: str, key: str = "id",
+                         collection: str = "default", trigger_available_now: bool = True) -> None:
+    """Carry incoming items into a collection table: each micro-batch is
+    stamped with the collection and appended with its batch id; readers take
+    the newest row per key (:func:`latest`), which is the upsert."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("collection", F.lit(collection)).withColumn("_batch", F.lit(batch_id)) \
+            .write.mode("append").parquet(target)
+
+    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    q = w.trigger(availableNow=True).start() if trigger_available_now else w.start()
+    q.awaitTermination()
