@@ -83,6 +83,16 @@ def valid_regex(pattern: str) -> bool:
         return False
 
 
+def _present(c: Column, dtype: T.DataType) -> Column:
+    """Not null (and not NaN for float columns): the guard that makes a plain
+    comparison null-free. ``pred & present`` keeps the comparison itself a
+    simple predicate, so Spark can push it into the parquet scan."""
+    p = c.isNotNull()
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        p = p & ~F.isnan(c)
+    return p
+
+
 def condition_column(df: DataFrame, cond: Cond | tuple | dict, case_sensitive: bool = True) -> Column:
     """Never-null boolean column for one item-filter condition."""
     cond = _cond(cond)
@@ -103,6 +113,7 @@ def condition_column(df: DataFrame, cond: Cond | tuple | dict, case_sensitive: b
     fold = (not case_sensitive) and lfam == "string" and isinstance(r, str)
     l_str = F.lower(lc) if fold else lc
     r_str = r.lower() if fold else r
+    present = _present(lc, ltype) if lfam != "null" else F.lit(False)
 
     def strict_eq() -> Column:
         rfam = lit_family(r)
@@ -111,18 +122,20 @@ def condition_column(df: DataFrame, cond: Cond | tuple | dict, case_sensitive: b
         if lfam != rfam:
             return F.lit(False)
         if lfam == "string":
-            return F.coalesce(l_str == F.lit(r_str), F.lit(False))
-        if lfam == "number":
-            return F.coalesce(lc.cast("double") == F.lit(float(r)), F.lit(False))
-        return F.coalesce(lc == F.lit(r), F.lit(False))
+            return (l_str == F.lit(r_str)) & present
+        return (lc == F.lit(r)) & present
 
     if op in ("gt", "gte", "lt", "lte"):
         rn = js_number_literal(r)
         if math.isnan(rn):
             return F.lit(False)
-        ln = js_number(lc, ltype)
+        if lfam == "number":
+            ln, guard = lc, present
+        else:
+            ln = js_number(lc, ltype)
+            guard = ln.isNotNull()
         cmp = {"gt": ln > rn, "gte": ln >= rn, "lt": ln < rn, "lte": ln <= rn}[op]
-        return F.coalesce(cmp, F.lit(False))
+        return cmp & guard
     if op == "equals":
         return strict_eq()
     if op == "notEquals":
@@ -132,20 +145,20 @@ def condition_column(df: DataFrame, cond: Cond | tuple | dict, case_sensitive: b
             return F.lit(False)
         rs = js_string_literal(r_str)
         if op == "contains":
-            return F.coalesce(l_str.contains(F.lit(rs)), F.lit(False))
+            return l_str.contains(F.lit(rs)) & present
         if op == "notContains":
-            return F.coalesce(~l_str.contains(F.lit(rs)), F.lit(False))
+            return ~l_str.contains(F.lit(rs)) & present
         if op == "startsWith":
-            return F.coalesce(l_str.startswith(F.lit(rs)), F.lit(False))
+            return l_str.startswith(F.lit(rs)) & present
         if op == "endsWith":
-            return F.coalesce(l_str.endswith(F.lit(rs)), F.lit(False))
+            return l_str.endswith(F.lit(rs)) & present
         pat = js_string_literal(r)
         if not valid_regex(pat):
             return F.lit(False)
         jpat = js_regex(pat)
         if not case_sensitive:
             jpat = "(?i)" + jpat
-        return F.coalesce(F.regexp_like(lc, F.lit(jpat)), F.lit(False))
+        return F.regexp_like(lc, F.lit(jpat)) & present
     # any other operation name is handled as equals, as in the item filter
     return strict_eq()
 
@@ -185,18 +198,23 @@ def condition_node_expr(df: DataFrame, field: str, op: str, value: Any) -> Colum
             res = c.isNull() if fam != "null" else F.lit(True)
         elif fam != vfam:
             res = F.lit(False)
-        elif fam == "number":
-            res = F.coalesce(c.cast("double") == F.lit(float(value)), F.lit(False))
         else:
-            res = F.coalesce(c == F.lit(value), F.lit(False))
+            res = (c == F.lit(value)) & _present(c, dtype)
         return res if op == "eq" else ~res
     if op in ("gt", "lt", "gte", "lte"):
         rn = js_number_literal(value)
         if math.isnan(rn):
             return F.lit(False)
-        ln = F.when(c.isNull(), F.lit(0.0)).otherwise(js_number(c, dtype)) if fam != "null" else F.lit(0.0)
+        if fam == "null":
+            return F.lit({"gt": 0.0 > rn, "gte": 0.0 >= rn, "lt": 0.0 < rn, "lte": 0.0 <= rn}[op])
+        ln = js_number(c, dtype)
         cmp = {"gt": ln > rn, "gte": ln >= rn, "lt": ln < rn, "lte": ln <= rn}[op]
-        return F.coalesce(cmp, F.lit(False))
+        zero = {"gt": 0.0 > rn, "gte": 0.0 >= rn, "lt": 0.0 < rn, "lte": 0.0 <= rn}[op]
+        # value ?? 0: a null compares as 0; a present value that is not a number is false
+        if fam == "number":
+            raw = {"gt": c > rn, "gte": c >= rn, "lt": c < rn, "lte": c <= rn}[op]
+            return (raw & _present(c, dtype)) | (c.isNull() & F.lit(zero))
+        return F.when(c.isNull(), F.lit(zero)).otherwise(F.coalesce(cmp, F.lit(False)))
     if op == "contains":
         s = F.coalesce(js_string(c, dtype), F.lit("")) if fam != "null" else F.lit("")
         return s.contains(F.lit(js_string_literal(value) if value is not None else ""))

@@ -19,7 +19,7 @@ TABLES = (
 
 
 def get_session(cores: int | str = "*", app: str = "tessera",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra_conf: dict | None = None) -> SparkSession:
     """A local session with the settings the library assumes.
 
     AQE stays on so that shuffle partition counts are coalesced at run time
@@ -40,6 +40,8 @@ def get_session(cores: int | str = "*", app: str = "tessera",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
