@@ -96,8 +96,8 @@ def group_count(df: DataFrame, key: str, filter_key: str | None = None,
     if filter_key is not None:
         src = src.filter(F.coalesce(val(filter_key) == F.lit(filter_value), F.lit(False)))
     g = src.groupBy(val(key).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    # the window runs over the (small) grouped result only
-    return g.withColumn("total", F.sum("count").over(Window.partitionBy(F.lit(1))).cast("long"))
+    # the total is a scalar subquery over the grouped counts (no one-task window)
+    return g.withColumn("total", g.select(F.sum("count")).scalar().cast("long"))
 
 
 def facets(df: DataFrame, fields: Sequence[str], limit: int = 20, meta_col: str | None = None) -> DataFrame:
@@ -115,10 +115,11 @@ def facets(df: DataFrame, fields: Sequence[str], limit: int = 20, meta_col: str
     long = df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
     counts = long.groupBy("field", "value").agg(F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy("field").orderBy(F.col("count").desc(), F.col("value").asc())
-    wt = Window.partitionBy("field")
-    ranked = counts.withColumn("total", F.sum("count").over(wt).cast("long")) \
-        .withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("rank") <= limit)
+    # top values per field: a window group limit (partial top-k before the shuffle)
+    top = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+    # totals per field: a grouped sum with one row per field, joined back
+    totals = counts.groupBy("field").agg(F.sum("count").cast("long").alias("total"))
+    return top.join(F.broadcast(totals), "field")
 
 
 def collection_stats(chunks: DataFrame, jobs: DataFrame | None = None,

@@ -123,10 +123,12 @@ def delete_edges(edges: DataFrame, keys: DataFrame) -> DataFrame:
 def expand_neighbors(hits: DataFrame, edges: DataFrame, relations: Sequence[str] | None = None,
                      direction: str = "both", cap: int = 10, id_col: str = "id",
                      by: Sequence[str] = ("query_id",)) -> DataFrame:
-    """Attach up to ``cap`` (max 100) neighbours per hit, strongest first.
+    """Attach up to ``cap`` (max 100) neighbours per hit, strongest first
+    (weight, then neighbour id, relation, direction).
 
-    The per-hit cap is a window group limit, applied map-side first, so a
-    hub node with millions of edges sends at most ``cap`` rows per task.
+    The cap is applied per node before the join (a window group limit,
+    partial per task), so a hub node with millions of edges contributes at
+    most ``cap`` rows to each of its hits.
     """
     if not 1 <= cap <= 100:
         raise ValueError("cap must be in 1..100")
@@ -140,10 +142,12 @@ def expand_neighbors(hits: DataFrame, edges: DataFrame, relations: Sequence[str]
                               "relation", "weight", F.lit("incoming").alias("direction")))
     nb = reduce(lambda a, b: a.unionByName(b), parts)
     keys = list(by) + [id_col]
-    j = hits.select(*keys).join(nb, hits[id_col] == nb["_node"], "inner").drop("_node")
-    w = Window.partitionBy(*keys).orderBy(F.col("weight").desc(), F.col("nid"), F.col("relation"),
-                                          F.col("direction"))
-    top = j.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap)
+    # the cap depends only on the node's own edges: keep the best ``cap`` per
+    # node first (map-side window group limit), so a hub never fans out
+    wn = Window.partitionBy("_node").orderBy(F.col("weight").desc(), F.col("nid"), F.col("relation"),
+                                             F.col("direction"))
+    nb = nb.withColumn("_rn", F.row_number().over(wn)).filter(F.col("_rn") <= cap)
+    top = hits.select(*keys).join(nb, hits[id_col] == nb["_node"], "inner").drop("_node")
     agg = top.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
         "_rn", F.col("nid").alias("id"), "relation", "direction", "weight"))).alias("_n"))
     agg = agg.select(*keys, F.transform("_n", lambda s: s.dropFields("_rn")).alias("neighbors"))

