@@ -57,6 +57,17 @@ def positions(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colum
         "_part", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
     wl = Window.partitionBy("_part", *keys).orderBy(*order)
     local = ranged.withColumn("_local", F.row_number().over(wl) - 1)
+    if not keys:
+        # global positions: one count per range partition (at most n rows),
+        # turned into offsets on the driver and applied as a literal map
+        cnt = dict(ranged.groupBy("_part").count().collect())
+        offs, run = [], 0
+        for part in sorted(cnt):
+            offs += [F.lit(part), F.lit(run)]
+            run += cnt[part]
+        m = F.create_map(*offs) if offs else F.create_map().cast("map<int,bigint>")
+        return local.withColumn(name, (F.coalesce(F.try_element_at(m, F.col("_part")), F.lit(0))
+                                       + F.col("_local")).cast("long")).drop("_part", "_local")
     counts = ranged.groupBy("_part", *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(
         F.count(F.lit(1)).alias("_cnt"))
     kk = [f"_key{i}" for i in range(len(keys))]
