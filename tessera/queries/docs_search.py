@@ -121,17 +121,23 @@ def _replies(spark, d):
     return o.select("o_orderkey", body.alias("reply"))
 
 
-@query("extract_table", """
-SELECT o_orderkey, o_orderpriority AS "desc", o_totalprice AS amount FROM orders
-UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice * 0.1 FROM orders
+_REPLIES_SQL = """(SELECT o_orderkey, json_object('invoice', CAST(o_orderkey AS VARCHAR), 'line_items', json_array(
+    json_object('desc', o_orderpriority, 'amount', o_totalprice),
+    json_object('desc', o_orderstatus, 'amount', o_totalprice * 0.1))) AS reply FROM orders)"""
+_PARSED_SQL = f"""(SELECT o_orderkey, from_json(reply,
+    '{{"invoice":"VARCHAR","line_items":[{{"desc":"VARCHAR","amount":"DOUBLE"}}]}}') AS v FROM {_REPLIES_SQL})"""
+
+
+@query("extract_table", f"""
+SELECT o_orderkey, li.desc AS "desc", li.amount AS amount FROM (SELECT o_orderkey, unnest(v.line_items) AS li FROM {_PARSED_SQL})
 """)
 def extract_table(spark, d):
     return TX.extract_table(_replies(spark, d), "reply", _INVOICE_SCHEMA, keep=["o_orderkey"])
 
 
-@query("invoice_table", """
-SELECT CAST(o_orderkey AS VARCHAR) AS invoice, o_orderpriority AS line_desc, o_totalprice AS line_amount FROM orders
-UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderstatus, o_totalprice * 0.1 FROM orders
+@query("invoice_table", f"""
+SELECT inv AS invoice, li.desc AS line_desc, li.amount AS line_amount
+FROM (SELECT v.invoice AS inv, unnest(v.line_items) AS li FROM {_PARSED_SQL})
 """)
 def invoice_table(spark, d):
     from tessera.plans.flows import invoice_table as flow

@@ -46,12 +46,36 @@ def _bodies(spark, d):
     return e.select("event_id", "ts", F.col("user_id").alias("org_id"), body.alias("body"))
 
 
+# the same response bodies, built and parsed in SQL
+_BODIES_SQL = f"""
+SELECT event_id, ts, user_id AS org_id, CASE event_type
+  WHEN 'click' THEN '{{"usage": {{"prompt_tokens": ' || k || ', "completion_tokens": ' || CAST(CAST(k AS INTEGER) % 7 AS VARCHAR) || '}}}}'
+  WHEN 'view' THEN '{{"usage": {{"input_tokens": ' || k || ', "output_tokens": 3}}}}'
+  WHEN 'purchase' THEN '{{"usage": {{"total_tokens": ' || k || '}}}}'
+  WHEN 'error' THEN '{{"usage": {{"prompt_tokens": "' || k || '"}}}}'
+  ELSE '[' || k || ']' END AS body
+FROM (SELECT *, {_K} AS k FROM events)"""
+
+
+def _num_sql(path):
+    return (f"CASE WHEN json_type(body, '{path}') IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'HUGEINT') "
+            f"THEN CAST(json_extract(body, '{path}') AS DOUBLE) END")
+
+
+_FIELDS_SQL = f"""
+SELECT *, CASE WHEN u AND (p <> 0 OR c <> 0) THEN CAST(trunc(p) AS BIGINT) ELSE 0 END AS llm_input_tokens,
+  CASE WHEN u AND (p <> 0 OR c <> 0) THEN CAST(trunc(c) AS BIGINT) ELSE 0 END AS llm_output_tokens,
+  CASE WHEN u AND p = 0 AND c = 0 THEN CAST(trunc(t) AS BIGINT) ELSE 0 END AS embed_tokens
+FROM (SELECT *, coalesce(json_valid(body) AND json_type(body) = 'OBJECT' AND json_type(body, '$.usage') = 'OBJECT', false) AS u,
+  coalesce({_num_sql('$.usage.prompt_tokens')}, {_num_sql('$.usage.input_tokens')}, 0) AS p,
+  coalesce({_num_sql('$.usage.completion_tokens')}, {_num_sql('$.usage.output_tokens')}, 0) AS c,
+  coalesce({_num_sql('$.usage.total_tokens')}, 0) AS t
+  FROM ({_BODIES_SQL}))"""
+
 _USAGE_SQL = f"""
-SELECT user_id AS org_id, count(*) AS call_count,
-  CAST(sum(CASE event_type WHEN 'click' THEN CAST({_K} AS BIGINT) WHEN 'view' THEN CAST({_K} AS BIGINT) ELSE 0 END) AS BIGINT) AS llm_input_tokens,
-  CAST(sum(CASE event_type WHEN 'click' THEN CAST({_K} AS BIGINT) % 7 WHEN 'view' THEN 3 ELSE 0 END) AS BIGINT) AS llm_output_tokens,
-  CAST(sum(CASE event_type WHEN 'purchase' THEN CAST({_K} AS BIGINT) ELSE 0 END) AS BIGINT) AS embed_tokens
-FROM events GROUP BY user_id
+SELECT org_id, count(*) AS call_count, CAST(sum(llm_input_tokens) AS BIGINT) AS llm_input_tokens,
+  CAST(sum(llm_output_tokens) AS BIGINT) AS llm_output_tokens, CAST(sum(embed_tokens) AS BIGINT) AS embed_tokens
+FROM ({_FIELDS_SQL}) GROUP BY org_id
 """
 
 
@@ -108,9 +132,21 @@ def _sse_frames(spark, d):
 
 
 @query("sse_frame_events", f"""
-SELECT event_id AS stream_id, 0 AS frame_no, event_type AS type, CAST({_K} AS BIGINT) AS k, NULL::BIGINT AS v
-FROM events WHERE event_type <> 'error'
-UNION ALL SELECT event_id, 2, 'message', NULL, 1 FROM events
+WITH src AS (SELECT event_id AS stream_id,
+    CASE WHEN event_type = 'error' THEN E'data: {{bad\\n\\n'
+         ELSE 'event: ' || event_type || E'\\ndata: {{"k": ' || {_K} || E'}}\\n\\n' END
+    || E': keep-alive\\n\\ndata: {{"v":\\ndata: 1}}\\n\\ndata: {{"tail": 1}}' AS text FROM events),
+fr AS (SELECT stream_id, string_split(text, E'\\n\\n') AS frames FROM src),
+ex AS (SELECT stream_id, frames[i] AS frame, i - 1 AS frame_no, len(frames) AS n
+       FROM fr, LATERAL (SELECT unnest(range(1, len(frames) + 1)) AS i)),
+p AS (SELECT stream_id, frame_no,
+    coalesce(trim(substr(list_filter(string_split(frame, E'\\n'), lambda l: starts_with(l, 'event:'))[-1], 7)), 'message') AS type,
+    array_to_string(list_transform(list_filter(string_split(frame, E'\\n'), lambda l: starts_with(l, 'data:')),
+      lambda l: trim(substr(l, 6))), '') AS data
+  FROM ex WHERE frame_no < n - 1)
+SELECT stream_id, CAST(frame_no AS INTEGER) AS frame_no, type, CAST(json_extract(data, '$.k') AS BIGINT) AS k,
+  CAST(json_extract(data, '$.v') AS BIGINT) AS v
+FROM p WHERE data <> '' AND json_valid(data)
 """)
 def sse_frame_events(spark, d):
     f = LG.parse_sse_frames(_sse_frames(spark, d))
@@ -136,10 +172,25 @@ def _web_bodies(spark, d):
 
 
 @query("web_results_normalize", r"""
-SELECT page_id, provider, CAST(0 AS INTEGER) AS pos, 'page ' || CAST(page_id AS VARCHAR) AS title, url,
-  CASE provider WHEN 'results' THEN 'c' WHEN 'organic' THEN 's' ELSE 'd' END AS snippet
-FROM (SELECT page_id, url, CASE WHEN suffix(regexp_extract(url, '^https?://([^/]+)', 1), '.com') THEN 'results'
-  WHEN suffix(regexp_extract(url, '^https?://([^/]+)', 1), '.net') THEN 'organic' ELSE 'web' END AS provider FROM pages)
+WITH p AS (SELECT page_id, url, 'page ' || CAST(page_id AS VARCHAR) AS title,
+    CASE WHEN suffix(host, '.com') THEN 'results' WHEN suffix(host, '.net') THEN 'organic' ELSE 'web' END AS provider
+  FROM (SELECT *, regexp_extract(url, '^https?://([^/]+)', 1) AS host FROM pages)),
+b AS (SELECT page_id, provider, CASE provider
+    WHEN 'results' THEN json_object('results', json_array(json_object('title', title, 'url', url, 'content', 'c')))
+    WHEN 'organic' THEN json_object('organic', json_array(json_object('title', title, 'link', url, 'snippet', 's'),
+                                                       json_object('title', 'extra', 'link', 'x', 'snippet', 's')))
+    ELSE json_object('web', json_object('results', json_array(json_object('title', title, 'url', url, 'description', 'd'),
+                                                             json_object('title', 'extra', 'url', 'y', 'description', 'd')))) END AS body
+  FROM p),
+items AS (SELECT page_id, provider, CASE provider
+    WHEN 'results' THEN list_transform(from_json(json_extract(body, '$.results'), '[{"title":"VARCHAR","url":"VARCHAR","content":"VARCHAR"}]'),
+      lambda x: {'title': x.title, 'url': x.url, 'snippet': x.content})
+    WHEN 'organic' THEN list_transform(from_json(json_extract(body, '$.organic'), '[{"title":"VARCHAR","link":"VARCHAR","snippet":"VARCHAR"}]'),
+      lambda x: {'title': x.title, 'url': x.link, 'snippet': x.snippet})[1:1]
+    ELSE list_transform(from_json(json_extract(body, '$.web.results'), '[{"title":"VARCHAR","url":"VARCHAR","description":"VARCHAR"}]'),
+      lambda x: {'title': x.title, 'url': x.url, 'snippet': x.description})[1:1] END AS l FROM b)
+SELECT page_id, provider, CAST(i - 1 AS INTEGER) AS pos, l[i].title AS title, l[i].url AS url, l[i].snippet AS snippet
+FROM items, LATERAL (SELECT unnest(range(1, len(l) + 1)) AS i)
 """)
 def web_results_normalize(spark, d):
     n = LG.normalize_web_results(_web_bodies(spark, d), max_results=1, keep=["page_id"])
@@ -147,7 +198,12 @@ def web_results_normalize(spark, d):
 
 
 @query("embeddings_unwrap", """
-SELECT vec_id, 4 AS dimensions, 2 AS count, 7 AS tokens, round(CAST(embedding[5] AS DOUBLE), 5) AS first_value FROM embeddings
+WITH b AS (SELECT vec_id, json_object('data', json_array(json_object('index', 1, 'embedding', embedding[1:4]),
+    json_object('index', 0, 'embedding', embedding[5:8])), 'model', 'm',
+    'usage', json_object('prompt_tokens', 7, 'total_tokens', 7)) AS body FROM embeddings),
+r AS (SELECT vec_id, from_json(body, '{"data":[{"index":"BIGINT","embedding":"DOUBLE[]"}],"usage":{"total_tokens":"BIGINT"}}') AS j FROM b)
+SELECT vec_id, CAST(coalesce(len(list_sort(j.data)[1].embedding), 0) AS INTEGER) AS dimensions, CAST(len(j.data) AS INTEGER) AS count,
+  j.usage.total_tokens AS tokens, round(list_sort(j.data)[1].embedding[1], 5) AS first_value FROM r
 """)
 def embeddings_unwrap(spark, d):
     e = Tables(spark, d).embeddings
@@ -174,12 +230,38 @@ def _skill_files(spark, d):
 
 
 @query("frontmatter_scan", r"""
-WITH f AS (SELECT p_partkey AS path, CASE WHEN p_size < 5 THEN p_name ELSE replace(p_name, ' ', '-') END AS name, p_type AS description FROM part),
-c AS (SELECT name, count(*) AS n FROM f GROUP BY name)
-SELECT f.path, f.name, f.description, 'search,sql' AS allowed_tools,
-  CAST(CASE WHEN regexp_matches(f.name, '^[a-z0-9]+(?:-[a-z0-9]+)*$') THEN 0 ELSE 1 END AS INTEGER) AS n_errors,
-  c.n > 1 AS duplicate_name, 'Body of ' || CAST(f.path AS VARCHAR) AS body
-FROM f JOIN c ON f.name = c.name
+WITH src AS (SELECT p_partkey AS path, CASE WHEN p_size > 40 THEN E'
+' ELSE E'
+' END AS nl,
+    CASE WHEN p_size < 5 THEN p_name ELSE replace(p_name, ' ', '-') END AS nm, p_type FROM part),
+t AS (SELECT path, '---' || nl || 'name: ' || nm || nl || '# note' || nl || 'description: ' || p_type || nl ||
+    'allowed-tools: search  sql' || nl || '---' || nl || 'Body of ' || CAST(path AS VARCHAR) AS text FROM src),
+f AS (SELECT path, regexp_matches(text, '^---?
+([\s\S]*?)?
+---?
+?([\s\S]*)$') AS has,
+    regexp_extract(text, '^---?
+([\s\S]*?)?
+---?
+?([\s\S]*)$', 1) AS front,
+    regexp_extract(text, '^---?
+([\s\S]*?)?
+---?
+?([\s\S]*)$', 2) AS body FROM t),
+kv AS (SELECT *, list_transform(list_filter(list_transform(regexp_split_to_array(front, '?
+'), lambda l: trim(l)),
+    lambda l: l <> '' AND NOT starts_with(l, '#') AND contains(l, ':')),
+    lambda l: {'k': trim(split_part(l, ':', 1)), 'v': trim(substr(l, strpos(l, ':') + 1))}) AS kv FROM f),
+v AS (SELECT path, body, has, trim(coalesce(list_filter(kv, lambda x: x.k = 'name')[-1].v, '')) AS name,
+    trim(coalesce(list_filter(kv, lambda x: x.k = 'description')[-1].v, '')) AS description,
+    list_filter(regexp_split_to_array(list_filter(kv, lambda x: x.k = 'allowed-tools')[-1].v, '\s+'), lambda x: x <> '') AS tools FROM kv),
+c AS (SELECT name, count(*) AS n FROM v GROUP BY name)
+SELECT v.path, v.name, v.description, array_to_string(v.tools, ',') AS allowed_tools,
+  CAST((CASE WHEN NOT v.has THEN 1 ELSE 0 END) + (CASE WHEN length(v.name) < 1 OR length(v.name) > 64 THEN 1 ELSE 0 END)
+    + (CASE WHEN NOT regexp_matches(v.name, '^[a-z0-9]+(?:-[a-z0-9]+)*$') THEN 1 ELSE 0 END)
+    + (CASE WHEN length(v.description) < 1 OR length(v.description) > 1024 THEN 1 ELSE 0 END) AS INTEGER) AS n_errors,
+  c.n > 1 AND v.name <> '' AS duplicate_name, v.body
+FROM v JOIN c ON v.name = c.name
 """)
 def frontmatter_scan(spark, d):
     s = S.scan_frontmatter(_skill_files(spark, d))
@@ -605,8 +687,17 @@ def ingest_upload(spark, d):
 
 
 @query("validate_metadata", """
-SELECT doc_id, CASE WHEN lang = 'de' THEN 'reserved key' WHEN lang = 'es' THEN 'bad key characters' ELSE '' END AS errors,
-  lang NOT IN ('de', 'es') AS valid FROM documents
+WITH m AS (SELECT doc_id, CASE WHEN lang = 'de' THEN MAP {'text': source} WHEN lang = 'es' THEN MAP {'bad key': source}
+    ELSE MAP {'source': source} END AS m FROM documents),
+e AS (SELECT doc_id, list_filter([
+    CASE WHEN len(map_keys(m)) > 32 THEN 'more than 32 keys' END,
+    CASE WHEN list_bool_or(list_transform(map_keys(m), lambda k: NOT regexp_full_match(k, '[A-Za-z0-9_.-]+'))) THEN 'bad key characters' END,
+    CASE WHEN list_bool_or(list_transform(map_keys(m), lambda k: length(k) > 64)) THEN 'key longer than 64' END,
+    CASE WHEN list_bool_or(list_transform(map_values(m), lambda x: length(x) > 512)) THEN 'value longer than 512' END,
+    CASE WHEN strlen(CAST(to_json(m) AS VARCHAR)) > 4096 THEN 'JSON above 4096 bytes' END,
+    CASE WHEN list_bool_or(list_transform(map_keys(m), lambda k: k IN ('document_id', 'chunk_id', 'bucket_id', 'text'))) THEN 'reserved key' END],
+    lambda x: x IS NOT NULL) AS errs FROM m)
+SELECT doc_id, array_to_string(errs, ',') AS errors, len(errs) = 0 AS valid FROM e
 """)
 def validate_metadata(spark, d):
     docs = Tables(spark, d).documents
@@ -674,11 +765,10 @@ def stream_filter_route(spark, d):
 
 
 @query("stream_usage", f"""
-SELECT user_id AS org_id, time_bucket(INTERVAL 1 MINUTE, ts) AS minute, count(*) AS call_count,
-  CAST(sum(CASE event_type WHEN 'click' THEN CAST({_K} AS BIGINT) WHEN 'view' THEN CAST({_K} AS BIGINT) ELSE 0 END) AS BIGINT) AS llm_input_tokens,
-  CAST(sum(CASE event_type WHEN 'click' THEN CAST({_K} AS BIGINT) % 7 WHEN 'view' THEN 3 ELSE 0 END) AS BIGINT) AS llm_output_tokens,
-  CAST(sum(CASE event_type WHEN 'purchase' THEN CAST({_K} AS BIGINT) ELSE 0 END) AS BIGINT) AS embed_tokens
-FROM events GROUP BY user_id, time_bucket(INTERVAL 1 MINUTE, ts)
+SELECT org_id, time_bucket(INTERVAL 1 MINUTE, ts) AS minute, count(*) AS call_count,
+  CAST(sum(llm_input_tokens) AS BIGINT) AS llm_input_tokens, CAST(sum(llm_output_tokens) AS BIGINT) AS llm_output_tokens,
+  CAST(sum(embed_tokens) AS BIGINT) AS embed_tokens
+FROM ({_FIELDS_SQL}) GROUP BY org_id, time_bucket(INTERVAL 1 MINUTE, ts)
 """)
 def stream_usage(spark, d):
     s = _events_stream(spark, d)

@@ -343,7 +343,10 @@ _EV_SCHEMA = {"type": "object", "properties": {"k": {"type": "integer"}, "name":
 
 
 @query("cast_schema", """
-SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, 'name' AS violations FROM events
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+  array_to_string(list_filter([CASE WHEN json_extract(props, '$.k') IS NULL THEN 'k' END,
+    CASE WHEN json_extract(props, '$.name') IS NULL THEN 'name' END], lambda x: x IS NOT NULL), ',') AS violations
+FROM events
 """)
 def cast_schema(spark, d):
     e = Tables(spark, d).events.select("event_id", "props")
