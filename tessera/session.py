@@ -38,6 +38,8 @@ def get_session(cores: int | str = "*", app: str = "tessera",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
     )
     for k, v in (extra_conf or {}).items():

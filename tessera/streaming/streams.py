@@ -150,14 +150,24 @@ def stream_pair_calls(calls: DataFrame, results: DataFrame, bound: str = "30 sec
 MEMORY_SCHEMA = "conv_id long, turn long, role string, text string"
 
 
-def stream_memory(stream: DataFrame, max_messages: int = 50, ts_col: str = "ts") -> DataFrame:
+def stream_memory(stream: DataFrame, max_messages: int = 50, idle_timeout_ms: int | None = None) -> DataFrame:
     """Conversation memory kept per conversation across micro-batches
     (``applyInPandasWithState``). State holds at most the window: the system
     messages and the newest others; each batch emits the current window of
-    every conversation it touched (update mode)."""
+    every conversation it touched (update mode). For a continuous stream set
+    ``idle_timeout_ms``: a conversation idle that long (processing time)
+    drops its state, so state is bounded by the active conversations times
+    the window. Scheduled ``availableNow`` runs keep no timeout (a
+    processing-time timeout keeps a run scheduling empty batches)."""
     state_schema = "turns array<long>, roles array<string>, texts array<string>"
+    empty = pd.DataFrame({"conv_id": pd.Series([], dtype="int64"), "turn": pd.Series([], dtype="int64"),
+                          "role": pd.Series([], dtype="object"), "text": pd.Series([], dtype="object")})
 
     def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            yield empty
+            return
         if state.exists:
             t, r, x = state.get
             cur = pd.DataFrame({"turn": list(t), "role": list(r), "text": list(x)})
@@ -171,15 +181,20 @@ def stream_memory(stream: DataFrame, max_messages: int = 50, ts_col: str = "ts")
             others = others.tail(max(max_messages - len(system), 0))
         kept = pd.concat([system, others]).sort_values("turn")
         state.update((kept["turn"].astype("int64").tolist(), kept["role"].tolist(), kept["text"].tolist()))
+        if idle_timeout_ms:
+            state.setTimeoutDuration(idle_timeout_ms)
         yield pd.DataFrame({"conv_id": [key[0]] * len(kept), "turn": kept["turn"].astype("int64"),
                             "role": kept["role"], "text": kept["text"]})
 
-    return stream.groupBy("conv_id").applyInPandasWithState(
-        step, MEMORY_SCHEMA, state_schema, "update", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms else GroupStateTimeout.NoTimeout
+    return stream.groupBy("conv_id").applyInPandasWithState(step, MEMORY_SCHEMA, state_schema, "update", timeout)
 
 
 def stream_run_rollup(stream: DataFrame) -> DataFrame:
-    """Incremental run-log rollup per run and block (update mode)."""
+    """Incremental run-log rollup per run and block (update mode). State is
+    one small row per (run, block) ever seen; for long-lived streams run it
+    with the RocksDB state store, or window it by ``created_at`` with a
+    watermark so finished runs leave the state."""
     ev = F.col("event")
     def n(kind: str):
         return F.sum(F.when(ev == kind, 1).otherwise(0)).cast("long").alias(kind)
