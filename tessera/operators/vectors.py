@@ -272,9 +272,13 @@ def project(df: DataFrame, matrix: np.ndarray, vec_col: str = "embedding", out:
     return df.mapInPandas(run, schema)
 
 
+TREE_WIDTH = 8
+
+
 def gram_sums(pairs: DataFrame, src: str = "source", tgt: str = "target") -> dict:
     """One pass: n, sums of X and Y, XᵀX, XᵀY, YᵀY as partial sums per task
-    (``mapInPandas``), added on the driver (d x d sized)."""
+    (``mapInPandas``), merged on the cluster down to ``TREE_WIDTH`` rows and
+    added on the driver (d x d sized)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc = None
         for pdf in batches:
@@ -291,8 +295,21 @@ def gram_sums(pairs: DataFrame, src: str = "source", tgt: str = "target") -> dic
 
     schema = "n long, sx array<double>, sy array<double>, xx array<double>, xy array<double>, yy array<double>"
     parts = pairs.select(src, tgt).mapInPandas(run, schema)
-    # one row per task; summed element-wise on the driver (d x d each)
-    rows = parts.collect()
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = None
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                vals = [r.n] + [np.asarray(getattr(r, c)) for c in ("sx", "sy", "xx", "xy", "yy")]
+                acc = vals if acc is None else [a + b for a, b in zip(acc, vals)]
+        if acc is not None:
+            yield pd.DataFrame({"n": [acc[0]], "sx": [acc[1].tolist()], "sy": [acc[2].tolist()],
+                                "xx": [acc[3].tolist()], "xy": [acc[4].tolist()], "yy": [acc[5].tolist()]})
+
+    # tree reduce on the cluster: one row per task, then at most TREE_WIDTH
+    # rows, so the driver receives a bounded number of d x d partial sums
+    reduced = parts.repartition(TREE_WIDTH).mapInPandas(merge, schema)
+    rows = reduced.collect()
     if not rows:
         raise ValueError("no pairs")
     dx = len(rows[0]["sx"])
