@@ -133,7 +133,8 @@ def bm25_search(queries: DataFrame, corpus: DataFrame, k: int = 10, qid_col: str
     """Lexical top-k by BM25 (ours: constants above). Output
     ``(query_id, id, score, rank)``; documents sharing no term are no hits.
 
-    Plan: the query set is read in bounded blocks; the corpus is tokenized
+    Plan: the query set is read in blocks of about ``QUERY_BLOCK`` queries
+    (a hash split when there are more); the corpus is tokenized
     once into per-document query-term counts (kept), which give the term
     statistics (one small ``groupBy``) and feed one scoring pass per block. No (document, term)
     pairs are shuffled and no (query, document) pairs are emitted: every

@@ -121,8 +121,9 @@ def block_topk(corpus: DataFrame, queries: DataFrame, k: int, id_col: str = "id"
                metric: str = "cosine") -> DataFrame:
     """Exact top-k per query without emitting all (query, doc) pairs.
 
-    Query vectors are read in batches of ``QUERY_BATCH_ROWS`` (each batch is
-    a bounded broadcast). Every corpus task scores its Arrow batches against
+    Query vectors are read in batches of about ``QUERY_BATCH_ROWS`` (a hash
+    split of the query ids; the number of batches grows with the query set,
+    never the size of one broadcast). Every corpus task scores its Arrow batches against
     the query block with one matrix product and emits at most ``k`` rows per
     query; a window group limit then keeps the global ``k`` (score desc, id
     asc). Output ``(query_id, id, score, rank)``.
