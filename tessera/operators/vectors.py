@@ -406,7 +406,7 @@ def drift(runs: DataFrame, monitors: DataFrame, now: Column | None = None) -> Da
     j = monitors.join(last, "monitor_id", "left")
     now = now if now is not None else F.current_timestamp()
     ratio = F.when(F.col("_prev") > 0, F.col("recall_at_10") / F.col("_prev"))
-    return j.withColumn("recovery", F.round(ratio, 4)).withColumn(
+    return j.withColumn("recovery", ratio).withColumn(
         "alert", F.coalesce(ratio < F.col("min_recovery_r10"), F.lit(False))).withColumn(
         "due", F.coalesce(F.col("ts") + F.make_dt_interval(hours=F.col("cadence_hours")) <= now, F.lit(True))
     ).drop("_prev")

@@ -444,25 +444,26 @@ def _drift_runs(spark, d):
     value / 50 capped at 1; monitors are the event types."""
     e = Tables(spark, d).events
     runs = e.groupBy(F.col("event_type").alias("monitor_id"), F.to_date("ts").alias("day")).agg(
-        F.least(F.lit(1.0), F.round(F.avg("value") / 50, 4)).alias("recall_at_10"), F.max("ts").alias("ts"))
+        F.least(F.lit(1.0), F.avg("value") / 50).alias("recall_at_10"), F.max("ts").alias("ts"))
     mons = e.select(F.col("event_type").alias("monitor_id")).distinct().withColumn(
         "min_recovery_r10", F.lit(0.9)).withColumn("cadence_hours", F.lit(24))
     return runs, mons
 
 
 @query("drift_monitor", """
-WITH runs AS (SELECT event_type AS monitor_id, CAST(ts AS DATE) AS day, least(1.0, round(avg(value) / 50, 4)) AS recall_at_10,
+WITH runs AS (SELECT event_type AS monitor_id, CAST(ts AS DATE) AS day, least(1.0, avg(value) / 50) AS recall_at_10,
                 max(ts) AS ts FROM events GROUP BY event_type, CAST(ts AS DATE)),
 r AS (SELECT *, lag(recall_at_10) OVER (PARTITION BY monitor_id ORDER BY ts) AS prev,
         row_number() OVER (PARTITION BY monitor_id ORDER BY ts DESC) AS rn FROM runs)
-SELECT monitor_id, recall_at_10, round(recall_at_10 / prev, 4) AS recovery,
+SELECT monitor_id, round(recall_at_10, 6) AS recall_at_10, round(recall_at_10 / prev, 6) AS recovery,
   coalesce(recall_at_10 / prev < 0.9, false) AS alert, ts + INTERVAL 24 HOUR <= TIMESTAMP '2024-02-01 00:00:00' AS due
 FROM r WHERE rn = 1
 """)
 def drift_monitor(spark, d):
     runs, mons = _drift_runs(spark, d)
     r = V.drift(runs, mons, now=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
-    return r.select("monitor_id", "recall_at_10", "recovery", "alert", "due")
+    return r.select("monitor_id", F.round("recall_at_10", 6).alias("recall_at_10"), F.round("recovery", 6).alias("recovery"),
+                    "alert", "due")
 
 
 @query("decision_evidence", None)

@@ -230,25 +230,35 @@ def _skill_files(spark, d):
 
 
 @query("frontmatter_scan", r"""
-WITH src AS (SELECT p_partkey AS path, CASE WHEN p_size > 40 THEN E'
+WITH src AS (SELECT p_partkey AS path, CASE WHEN p_size > 40 THEN E'
 ' ELSE E'
 ' END AS nl,
     CASE WHEN p_size < 5 THEN p_name ELSE replace(p_name, ' ', '-') END AS nm, p_type FROM part),
 t AS (SELECT path, '---' || nl || 'name: ' || nm || nl || '# note' || nl || 'description: ' || p_type || nl ||
     'allowed-tools: search  sql' || nl || '---' || nl || 'Body of ' || CAST(path AS VARCHAR) AS text FROM src),
-f AS (SELECT path, regexp_matches(text, '^---?
-([\s\S]*?)?
----?
+f AS (SELECT path, regexp_matches(text, '^---
+?
+([\s\S]*?)
+?
+---
+?
 ?([\s\S]*)$') AS has,
-    regexp_extract(text, '^---?
-([\s\S]*?)?
----?
+    regexp_extract(text, '^---
+?
+([\s\S]*?)
+?
+---
+?
 ?([\s\S]*)$', 1) AS front,
-    regexp_extract(text, '^---?
-([\s\S]*?)?
----?
+    regexp_extract(text, '^---
+?
+([\s\S]*?)
+?
+---
+?
 ?([\s\S]*)$', 2) AS body FROM t),
-kv AS (SELECT *, list_transform(list_filter(list_transform(regexp_split_to_array(front, '?
+kv AS (SELECT *, list_transform(list_filter(list_transform(regexp_split_to_array(front, '
+?
 '), lambda l: trim(l)),
     lambda l: l <> '' AND NOT starts_with(l, '#') AND contains(l, ':')),
     lambda l: {'k': trim(split_part(l, ':', 1)), 'v': trim(substr(l, strpos(l, ':') + 1))}) AS kv FROM f),
@@ -728,14 +738,14 @@ def delete_vectors(spark, d):
 
 
 @query("vector_import", """
-SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS dims, round(list_sum(CAST(embedding AS DOUBLE[])), 3) AS total FROM embeddings
+SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS dims, round(list_sum(CAST(embedding AS DOUBLE[])), 3) + 0.0 AS total FROM embeddings
 """)
 def vector_import(spark, d):
     e = Tables(spark, d).embeddings.select("vec_id", F.concat(F.lit("["), F.array_join(
         F.transform("embedding", lambda x: x.cast("double").cast("string")), ", "), F.lit("]")).alias("vtext"))
     v = S.vectors_from_text(e, "vec_id", "vtext")
     return v.select("id", F.size("vector").alias("dims"),
-                    F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x), 3).alias("total"))
+                    (F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x), 3) + 0.0).alias("total"))
 
 
 def export_answers(spark, d):
