@@ -101,12 +101,19 @@ def add_edges(edges: DataFrame, new: DataFrame) -> DataFrame:
                         (F.col("_r._src") == 1).alias("added"))
 
 
-def list_edges(edges: DataFrame, node: Column | str | None = None, direction: str = "outgoing",
-               relation: str | None = None) -> DataFrame:
-    """Edges of a node: ``outgoing``, ``incoming`` or ``both`` (tagged)."""
+def list_edges(edges: DataFrame, node: Column | str | DataFrame | None = None, direction: str = "outgoing",
+               relation: str | None = None, id_col: str = "id") -> DataFrame:
+    """Edges of a node, or of every node in a node table (a semi join):
+    ``outgoing``, ``incoming`` or ``both`` (tagged with ``direction``)."""
     e = edges if relation is None else edges.filter(F.col("relation") == relation)
+
     def sel(col: str, tag: str) -> DataFrame:
-        d = e if node is None else e.filter(F.col(col) == (F.lit(node) if isinstance(node, str) else node))
+        if isinstance(node, DataFrame):
+            d = e.join(node.select(F.col(id_col).alias(col)).distinct(), on=col, how="left_semi")
+        elif node is None:
+            d = e
+        else:
+            d = e.filter(F.col(col) == (F.lit(node) if isinstance(node, str) else node))
         return d.withColumn("direction", F.lit(tag))
     if direction == "outgoing":
         return sel("source", "outgoing")

@@ -358,15 +358,12 @@ def _second_space(spark, d):
                     F.transform(F.reverse("embedding"), noise).alias("target"))
 
 
-def _reverse_matrix(n):
-    return np.eye(n)[::-1]
-
-
 @query("project_vectors", None)
 def project_vectors(spark, d):
+    # the map comes from the data (a ridge fit), then every vector is projected
     p = _second_space(spark, d)
-    dims = len(p.select("source").first()[0])
-    out = V.project(p, _reverse_matrix(dims), vec_col="source", out="projected")
+    w = V.fit_ridge(p, 1e-3)
+    out = V.project(p, w, vec_col="source", out="projected")
     return out.select("id", F.round(V.cosine(F.col("projected"), F.col("target")), 4).alias("cos_to_target"))
 
 
@@ -378,8 +375,11 @@ def _one_row(spark, values: dict):
 def fit_ridge(spark, d):
     p = _second_space(spark, d)
     w = V.fit_ridge(p, 1e-3)
-    err = float(np.abs(w - _reverse_matrix(w.shape[0])).max())
-    return _one_row(spark, {"dims": int(w.shape[0]), "max_abs_error": round(err, 4)})
+    # residual of the fitted map over all pairs (a Spark job over the table)
+    proj = V.project(p.select("source", "target"), w, vec_col="source", out="_p")
+    rms = proj.select(F.sqrt(F.avg(F.aggregate(F.zip_with("_p", "target", lambda a, b: (a - b) * (a - b)),
+                                               F.lit(0.0), lambda acc, x: acc + x)))).first()[0]
+    return _one_row(spark, {"dims": int(w.shape[0]), "rms_residual": round(float(rms), 6)})
 
 
 @query("fit_procrustes", None)

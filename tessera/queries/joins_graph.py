@@ -132,13 +132,8 @@ UNION ALL
 SELECT source, target, relation, 'incoming' FROM e WHERE target IN (SELECT id FROM n WHERE type = 'system')
 """)
 def list_edges(spark, d):
-    e = _edges(spark, d)
     sys_nodes = _nodes(spark, d).filter(F.col("type") == "system").select("id")
-    out = e.join(sys_nodes.withColumnRenamed("id", "source"), "source", "left_semi").withColumn("direction", F.lit("outgoing"))
-    inc = e.join(sys_nodes.withColumnRenamed("id", "target"), "target", "left_semi").withColumn("direction", F.lit("incoming"))
-    # list_edges for one node; a node set is the same filter as a semi join
-    both = J.list_edges(out.drop("direction"), None, "outgoing").unionByName(
-        J.list_edges(inc.drop("direction"), None, "incoming"))
+    both = J.list_edges(_edges(spark, d), sys_nodes, "both")
     return both.select("source", "target", "relation", "direction")
 
 
