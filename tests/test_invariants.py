@@ -113,3 +113,19 @@ def test_citations_found(spark):
     brute = t.benchmark.alias("b").join(t.documents.alias("d"), F.col("d.text").contains(F.col("b.text"))) \
         .select("b.item_id").distinct().count()
     assert v.filter("found").count() == brute
+
+
+def test_hot_conversation_window_and_top_k(spark):
+    # one conversation holds most rows: results stay exact
+    n = 6000
+    conv = spark.range(n).select(F.when(F.col("id") < 5000, F.lit(1)).otherwise(F.col("id") % 50 + 2).alias("conv_id"),
+                                 F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, F.lit("system")).otherwise(F.lit("user")).alias("role"),
+                                 F.col("id").cast("string").alias("text"))
+    from tessera.operators import logs as LG
+
+    w = LG.memory_window(conv, 10).filter("conv_id = 1")
+    got = sorted(r[0] for r in rows(w, "turn"))
+    assert got == [0] + list(range(4991, 5000))
+    top = O.top_k(conv, ["conv_id"], "turn", 3)
+    assert sorted(r[0] for r in rows(top.filter("conv_id = 1"), "turn")) == [4997, 4998, 4999]
