@@ -33,10 +33,13 @@ def chunk_fixed(df: DataFrame, text: str = "text", size: int = 512, overlap: int
     is pure overlap. Output ``(id, chunk_no, start, chunk)``."""
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
+    from tessera.session import ensure_parallel
+
     step = size - overlap
     n = F.char_length(F.col(text))
     starts = F.sequence(F.lit(0), F.greatest(n - F.lit(overlap) - 1, F.lit(0)), F.lit(step))
-    return df.select(id_col, F.posexplode(starts).alias("chunk_no", "start"), F.col(text).alias("_t")) \
+    src = ensure_parallel(df.select(id_col, text))
+    return src.select(id_col, F.posexplode(starts).alias("chunk_no", "start"), F.col(text).alias("_t")) \
         .select(id_col, "chunk_no", "start", F.substring(F.col("_t"), F.col("start") + 1, F.lit(size)).alias("chunk"))
 
 
@@ -46,8 +49,10 @@ def chunk_token(df: DataFrame, text: str = "text", size: int = 200, overlap: int
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
     step = size - overlap
+    from tessera.session import ensure_parallel
+
     words = F.filter(F.split(F.col(text), r"\s+"), lambda w: w != "")
-    d = df.select(id_col, words.alias("_w"))
+    d = ensure_parallel(df.select(id_col, text)).select(id_col, words.alias("_w"))
     n = F.size("_w")
     starts = F.sequence(F.lit(0), F.greatest(n - F.lit(overlap) - 1, F.lit(0)), F.lit(step))
     return d.select(id_col, F.posexplode(starts).alias("chunk_no", "start"), "_w").select(
