@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, credentials, mixing, quality, warc
+from tessera.llm import chat, credentials, jaccard, mixing, quality, warc
 from tessera.llm.text import read
 from tessera.session import ensure_checkpoint_dir
 
@@ -80,3 +80,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     warc.write_archives(warc.plan_records(read(spark, sf_dir, "pages")), folder)
     return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(read(spark, sf_dir, "documents"))
