@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, credentials, jaccard, mixing, quality, warc
+from tessera.llm import chat, credentials, decontam, jaccard, linededup, mixing, quality, warc
 from tessera.llm.text import read
 from tessera.session import ensure_checkpoint_dir
 
@@ -85,3 +85,54 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_jaccard_join")
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(read(spark, sf_dir, "documents"))
+
+
+#: folded words of a text, in DuckDB
+FOLDED = """list_filter(string_split_regex(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+PLAIN = "list_filter(string_split_regex({0}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+
+@query("op6_decontamination", f"""
+WITH b AS (SELECT item_id, {FOLDED.format("text")} AS w FROM benchmark),
+w AS (SELECT DISTINCT item_id, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS win, least(len(w), 10) AS size
+  FROM (SELECT *, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS s FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM w),
+d AS (SELECT doc_id, {FOLDED.format("text")} AS words FROM documents),
+p AS (SELECT doc_id, start, size, array_to_string(words[start:start + size - 1], ' ') AS win
+  FROM (SELECT doc_id, words, size, unnest(generate_series(1, len(words) - size + 1)) AS start
+    FROM d, sizes WHERE len(words) >= size)),
+m AS (SELECT p.doc_id, p.start, p.size, w.item_id FROM p JOIN w USING (win, size)),
+h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(start, start + size - 1)) AS pos FROM m) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+""")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op9_line_dedup", f"""
+WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+l AS (SELECT *, {PLAIN.format("line")} AS w FROM raw),
+e AS (SELECT doc_id, i, array_to_string(w, ' ') AS k, w, len(w) AS n, row_number() OVER (ORDER BY doc_id, i) AS ord FROM l WHERE len(w) >= 5),
+f AS (SELECT k, min(ord) AS first, any_value(w) AS w, any_value(n) AS n FROM e GROUP BY k),
+v AS (SELECT first, n, p, array_to_string(list_concat(w[1:p - 1], w[p + 1:]), ' ') AS variant
+  FROM (SELECT *, unnest(generate_series(1, n)) AS p FROM f)),
+s AS (SELECT first, min(first) OVER (PARTITION BY variant, p, n) AS early FROM v),
+d AS (SELECT greatest(v.first, f.first) AS late FROM v JOIN f ON v.variant = f.k),
+near AS (SELECT first AS ord FROM s WHERE first > early UNION SELECT late FROM d),
+gone AS (SELECT e.doc_id, e.i FROM e JOIN f USING (k) WHERE e.ord > f.first OR f.first IN (SELECT ord FROM near))
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+  coalesce(g.n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS text_sha256
+FROM documents d
+LEFT JOIN (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM raw ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id) k USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id) g USING (doc_id)
+""")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = linededup.dedupe_lines(read(spark, sf_dir, "documents"))
+    return clean.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
