@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, credentials, decontam, jaccard, linededup, mixing, quality, warc
+from tessera.llm import chat, credentials, decontam, jaccard, linededup, mixing, pii, quality, toxicity, warc
 from tessera.llm.text import read
 from tessera.session import ensure_checkpoint_dir
 
@@ -136,3 +136,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = linededup.dedupe_lines(read(spark, sf_dir, "documents"))
     return clean.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+@query("op3_personal_data")
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan_personal_data(read(spark, sf_dir, "documents")).drop("th", "terms")
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

@@ -33,6 +33,8 @@ MIN_TOXIC, MAX_CLEAN_SHARE = 5, 0.1
 #: chance that a word of no meaning passes the test below, over all words together
 FALSE_ENTRIES = 0.01
 MAX_ENTRIES = 400
+#: share of all toxic texts that copies of a few texts don't reach
+COMMON = 0.15
 THRESHOLD = 0.3
 
 # fixed values: closed word classes of English, German, French and Spanish
@@ -274,8 +276,10 @@ def chance(hits: int, n: int, rate: float) -> float:
 
 def cover(train: DataFrame, strong: dict[str, tuple[int, int]], toxic: int) -> set[str]:
     """Entries by greedy cover of the toxic training texts: each time the one
-    that marks most texts not yet marked (ties: fewer clean texts, then the
-    shorter and earlier name), while it marks ``MIN_TOXIC`` new ones."""
+    that marks most texts not yet marked (ties: fewer clean texts, then word
+    beginnings, the longer and then the later name), while it marks
+    ``MIN_TOXIC`` new ones. Beginnings that mark ``COMMON`` of all toxic texts
+    are entries even if their texts were covered already."""
     if not strong:
         return set()
     names = list(strong)
@@ -291,15 +295,15 @@ def cover(train: DataFrame, strong: dict[str, tuple[int, int]], toxic: int) -> s
             texts_of.setdefault(m, set()).add(t)
     chosen, open_texts = set(), set(range(len(rows)))
     while len(chosen) < MAX_ENTRIES and texts_of:
-        best = max(texts_of, key=lambda m: (len(texts_of[m] & open_texts), -strong[names[m]][1], -len(names[m]), names[m]))
+        best = max(texts_of, key=lambda m: (len(texts_of[m] & open_texts), -strong[names[m]][1], names[m][0] != "=", len(names[m]), names[m]))
         if len(texts_of[best] & open_texts) < MIN_TOXIC:
             break
         chosen.add(names[best])
         open_texts -= texts_of.pop(best)
-    # an entry that was passed by because its texts were covered already is still one if it marks as many
-    least = min((strong[m][0] for m in chosen), default=0)
-    for m, ids in texts_of.items():
-        if names[m].startswith("=") and len(ids) >= max(least, MIN_TOXIC) and not any(names[m][1:].startswith(c) for c in chosen):
+    rest = sorted((m for m in texts_of if names[m][0] != "=" and len(texts_of[m]) >= max(MIN_TOXIC, COMMON * len(rows))),
+                  key=lambda m: (-len(names[m]), names[m]))
+    for m in rest:  # longest first; a beginning of an entry with the same texts adds nothing
+        if not any(c.startswith(names[m]) or names[m].startswith(c) for c in chosen):
             chosen.add(names[m])
     return chosen
 
