@@ -76,11 +76,11 @@ def record_member(page_id, url: str, payload: bytes, digest: str, kind: str, ref
 
 
 def write_archives(records: DataFrame, folder: str) -> None:
-    """Write the records as archives of about ``ARCHIVE_BYTES`` of payload each
-    (a single larger record has an archive to itself or shares one with small
-    ones). The number of archives follows the bytes of payload."""
-    total = records.agg(F.sum(F.octet_length("payload")).alias("b")).first()["b"] or 0
-    n = max(1, -(-int(total) // ARCHIVE_BYTES))
+    """Write the records as archives of about ``ARCHIVE_BYTES`` of payload at
+    most on average, in the partitions that they come in. A longer record is in
+    an archive with others or alone, never cut."""
+    sums = records.agg(F.sum(F.octet_length("payload")).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    per_file = max(1, int(sums["n"]) * ARCHIVE_BYTES // max(1, int(sums["b"] or 0)))
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,9 +88,9 @@ def write_archives(records: DataFrame, folder: str) -> None:
                 rows = zip(*(c.to_pylist() for c in batch.slice(at, SLICE).columns))
                 yield pa.RecordBatch.from_arrays([pa.array([record_member(*r) for r in rows], pa.binary())], ["member"])
 
-    dealt = records.select("page_id", "url", "payload", "digest", "record_type", "refers_to").repartition(n, F.xxhash64("page_id", "digest"))
-    (dealt.mapInArrow(members, "member binary").select(F.col("member").cast("string").alias("value"))
-     .write.option("lineSep", "\u0000").text(folder))
+    (records.select("page_id", "url", "payload", "digest", "record_type", "refers_to").mapInArrow(members, "member binary")
+     .select(F.col("member").cast("string").alias("value"))
+     .write.option("lineSep", "\u0000").option("maxRecordsPerFile", per_file).text(folder))
 
 
 class BadRecord(ValueError):
