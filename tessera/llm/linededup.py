@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.text import plain_words
+from tessera.llm.text import plain_words, small
 from tessera.session import cut_lineage
 
 #: lines of fewer words are never removed
@@ -24,16 +24,18 @@ MIN_WORDS = 5
 
 
 def _lines(docs: DataFrame) -> DataFrame:
+    """``doc_id, line_no, w, a``: every line, its words and their hash."""
     one = docs.where(F.col("text").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return one.select("doc_id", "line_no", plain_words(F.col("line")).alias("w"))
+    one = one.select("doc_id", "line_no", plain_words(F.col("line")).alias("w"))
+    return one.select("doc_id", "line_no", "w", F.xxhash64("w").alias("a"))
 
 
 def _half_keys(n: Column) -> list[Column]:
     """Hashes of the first and the last half of the words, for a pair of lines
-    the shorter of which has ``n`` words."""
+    the shorter of which has ``n`` words; null without words there."""
     half = F.floor(n / 2).cast("int")
-    return [F.xxhash64(F.slice("w", F.lit(1), half), n, F.lit("first")),
-            F.xxhash64(F.slice("w", F.size("w") - half + 1, half), n, F.lit("last"))]
+    return [F.when(half > 0, F.xxhash64(F.slice("w", F.lit(1), half), n, F.lit("first"))),
+            F.when(half > 0, F.xxhash64(F.slice("w", -half, half), n, F.lit("last")))]
 
 
 def _slot(word: Column, place: Column) -> Column:
@@ -48,30 +50,27 @@ def near_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     within one edit of an earlier line goes even if that one goes too. Lines
     of fewer than ``min_words`` words stay and remove nothing.
     """
-    lines = _lines(docs).withColumn("n", F.size("w")).where(F.col("n") >= min_words)
-    at = F.struct("doc_id", "line_no")
-    halves = F.array_distinct(F.array(*_half_keys(F.col("n")), *_half_keys(F.col("n") - 1)))
-    seen = cut_lineage(lines.select(at.alias("at"), F.xxhash64("w").alias("a"), F.xxhash64(F.lit(7), "w").alias("b"), halves.alias("halves")))
-    # equal words: 128 bits of hash
-    firsts = seen.groupBy("a", "b").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("copies"), F.min("halves").alias("halves"))
-    firsts = cut_lineage(firsts)
-    # only lines that share a half with another line can have a neighbour
-    halves = firsts.select("at", F.explode("halves").alias("k"))
-    shared = halves.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k")
-    wanted = halves.join(shared, "k", "left_semi").select("at").distinct()
-    per_doc = wanted.groupBy(F.col("at.doc_id").alias("_id")).agg(F.collect_set("at.line_no").alias("nos"))  # lines of one document
-    some = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")))
-    some = some.select("doc_id", F.explode("nos").alias("line_no"), F.split("text", "\n").alias("all"))
-    some = some.select(F.struct("doc_id", "line_no").alias("at"), plain_words(F.get("all", F.col("line_no"))).alias("w"))
-    some = some.withColumn("n", F.size("w")).where(F.col("n") >= min_words).dropDuplicates(["at"])
+    n = F.size("w")
+    same, less = _half_keys(n), _half_keys(n - 1)
+    seen = _lines(docs).select("doc_id", "line_no", "a", F.xxhash64(F.lit(7), "w").alias("b"), n.alias("n"),
+                               same[0].alias("k1"), same[1].alias("k2"), less[0].alias("k3"), less[1].alias("k4"))
+    seen = cut_lineage(seen).where(F.col("n") >= min_words).withColumn("at", F.struct("doc_id", "line_no"))
+    # lines that share a half with a line of other words; only they can have a neighbour
+    halves = seen.select("a", F.explode(F.array("k1", "k2", "k3", "k4")).alias("k"))
+    shared = halves.groupBy("k").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("k")
+    wanted = halves.join(small(cut_lineage(shared)), "k", "left_semi").select("a").distinct()
+    wanted = small(cut_lineage(wanted))
+    some = _lines(docs).join(wanted, "a", "left_semi").where(F.size("w") >= min_words)
+    some = some.select(F.struct("doc_id", "line_no").alias("at"), F.xxhash64(F.lit(7), "w").alias("b"), "a", "w")
+    # the earliest line of each word list; one list has one hash but for chance
+    some = some.groupBy("a", "b").agg(F.min(F.struct("at", "w")).alias("x")).select("x.at", "x.w", F.size("x.w").alias("n"))
     some = cut_lineage(some)
-    pairs = _candidates(some)
-    removed = _verified(pairs, some)
-    near = firsts.select("a", "b", "at").join(removed, "at", "left_semi").select("a", "b")
-    copies = firsts.where("copies > 1").select("a", "b", F.col("at").alias("first"))
-    again = seen.join(copies, ["a", "b"]).where("at <> first").select("at")
-    gone = seen.join(near, ["a", "b"], "left_semi").select("at")
-    return again.union(gone).distinct().select("at.doc_id", "at.line_no")
+    removed = _verified(_candidates(some), some)
+    # equal words: 128 bits of hash
+    firsts = seen.groupBy("a", "b").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"))
+    firsts = firsts.join(removed.select(F.col("at").alias("first"), F.lit(True).alias("near")), "first", "left").where("copies > 1 OR near")
+    both = seen.select("doc_id", "line_no", "at", "a", "b").join(firsts, ["a", "b"])
+    return both.where("near OR at <> first").select("doc_id", "line_no")
 
 
 def _candidates(lines: DataFrame) -> DataFrame:
@@ -82,18 +81,19 @@ def _candidates(lines: DataFrame) -> DataFrame:
     words = lines.repartition("at").select("at", "n", F.posexplode("w").alias("p", "word"))
     words = words.withColumn("stay", _slot(F.col("word"), F.col("p"))).withColumn("move", _slot(F.col("word"), F.col("p") - 1))
     line = Window.partitionBy("at").orderBy("p")
-    before = F.coalesce(F.bit_xor("stay").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    after = F.coalesce(F.bit_xor("move").over(line.orderBy(F.col("p").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    variants = words.select("at", "n", "p", before.alias("x"), after.alias("y"), F.col("stay"))
-    variants = cut_lineage(variants.select("at", "n", "p", F.col("x").bitwiseXOR(F.col("y")).alias("k"),
-                                           F.when(F.col("p") == F.col("n") - 1, F.col("x").bitwiseXOR(F.col("stay"))).alias("whole")))
+    upto = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy("at").orderBy("p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.bit_xor("stay").over(upto).bitwiseXOR(F.col("stay"))
+    after = F.bit_xor("move").over(whole).bitwiseXOR(F.bit_xor("move").over(upto))
+    variants = words.select("at", "n", "p", before.bitwiseXOR(after).alias("k"), F.bit_xor("stay").over(whole).alias("whole"))
     # one word replaced: same variant, same place, same length; the earliest of the group is near to all others
     same = F.xxhash64("k", "p", "n")
-    group = variants.groupBy(same.alias("g")).agg(F.min("at").alias("early"), F.count(F.lit(1)).alias("c")).where("c > 1").select("g", "early")
-    replaced = variants.select(same.alias("g"), "at", "p").join(group, "g").where("at > early").select("early", F.col("at").alias("late"), F.col("p").alias("place"))
+    group = variants.groupBy(same.alias("g")).agg(F.min("at").alias("early"), F.max("at").alias("last")).where("early <> last").select("g", "early")
+    replaced = variants.select(same.alias("g"), "at", "p").join(small(cut_lineage(group)), "g").where("at > early").select(
+        "early", F.col("at").alias("late"), F.col("p").alias("place"))
     # one word deleted: the variant is the other line as a whole; lines differ, so there is one such line for a key
-    whole = variants.where("whole IS NOT NULL").select(F.col("whole").alias("k"), F.col("at").alias("short"), F.col("n").alias("m"))
-    deleted = variants.select("k", "at", "n", "p").join(whole, "k").where("m = n - 1")
+    others = cut_lineage(variants.where("p = 0").select(F.col("whole").alias("k"), F.col("at").alias("short"), F.col("n").alias("m")))
+    deleted = variants.select("k", "at", "n", "p").join(small(others), "k").where("m = n - 1")
     deleted = deleted.select(F.least("at", "short").alias("early"), F.greatest("at", "short").alias("late"), F.col("p").alias("place"))
     return replaced.union(deleted)
 

@@ -26,34 +26,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _pieces(text: Column, gap: str) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), gap)
+def _words(text: Column, gap: str) -> Column:
+    return F.array_remove(F.split(text, gap), "")
 
 
-def _count(pieces: Column) -> Column:
-    """Words among pieces: all but an empty first and an empty last one."""
-    n = F.size(pieces)
-    last = (n > 1) & (F.element_at(pieces, -1) == "")
-    return (n - (pieces[0] == "").cast("int") - last.cast("int")).cast("long")
-
-
-def _words(pieces: Column) -> Column:
-    first = (pieces[0] == "").cast("int")
-    return F.slice(pieces, first + 1, _count(pieces).cast("int"))
+def plain_words(text: Column) -> Column:
+    """Array of plain words; null and blank texts have none."""
+    return _words(F.coalesce(text, F.lit("")), PLAIN_SPACE)
 
 
 def plain_word_count(text: Column) -> Column:
     """Number of plain words; null and blank texts have none."""
-    return _count(_pieces(text, PLAIN_SPACE))
-
-
-def plain_words(text: Column) -> Column:
-    """Array of plain words."""
-    return _words(_pieces(text, PLAIN_SPACE))
+    return F.size(plain_words(text)).cast("long")
 
 
 def lower_ascii(text: Column) -> Column:
-    """Lower-cases A-Z and nothing else (``lower`` does so where all is ASCII)."""
+    """Lower-cases A-Z and nothing else (``lower`` does so where all is ASCII); null is empty."""
     t = F.coalesce(text, F.lit(""))
     return F.when(F.octet_length(t) == F.char_length(t), F.lower(t)).otherwise(
         F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
@@ -61,7 +49,17 @@ def lower_ascii(text: Column) -> Column:
 
 def folded_words(text: Column) -> Column:
     """Array of folded words; null and blank texts have none."""
-    return _words(_pieces(lower_ascii(text), FOLDED_GAP))
+    return _words(lower_ascii(text), FOLDED_GAP)
+
+
+#: rows of a few fixed-width columns that may be broadcast, about 64 MB
+SMALL_ROWS = 1_000_000
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """``rows`` (stored, and of a few fixed-width columns) marked for broadcast
+    if they are counted to be SMALL_ROWS at most; more are joined by shuffle."""
+    return F.broadcast(rows) if rows.count() <= SMALL_ROWS else rows
 
 
 # --- Arrow batches -----------------------------------------------------------
