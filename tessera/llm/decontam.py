@@ -128,6 +128,7 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Da
 def drop_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows in which a benchmark window occurs."""
     found, _ = window_matches(docs, bench, window)
-    bad = found.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    th = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (th == F.col("_th")), "left_anti")
+    bad = found.select(F.col("doc_id").alias("id"), F.col("th").alias("hash")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    clean = rows.join(bad, F.col("own").eqNullSafe(F.col("id")) & (F.col("th") == F.col("hash")), "left_anti")
+    return clean.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

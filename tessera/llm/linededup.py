@@ -112,7 +112,7 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 
 def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the lines of :func:`near_lines` cut out of ``text``, and
-    ``_n_lines, _n_removed``.
+    ``_n_lines, _n_removed`` (which replace columns of these names).
 
     Reads ``doc_id, text``; all other columns pass through. Lines end at
     ``\\n``; those that stay keep their characters and order. A null text stays
@@ -120,15 +120,16 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     repeat a doc_id count as one document and lose the same line numbers; a
     null doc_id counts as one document too. An empty table gives no rows.
     """
-    gone = near_lines(docs, min_words).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.sort_array(F.collect_set("line_no")).alias("_gone"))  # lines of one document
-    both = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    lines = F.split("text", "\n")
-    count = F.coalesce(F.size(lines), F.lit(0)).cast("long")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    both = both.withColumn("_n_lines", F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(count))
-    left = F.when(F.col("_gone").isNull() | F.col("text").isNull(), F.lit(0)).otherwise(F.col("_n_lines") - F.size(kept))
-    both = both.withColumn("_n_removed", left.cast("long")).withColumn("text", text)
-    return both.select(*docs.columns, "_n_lines", "_n_removed")
+    gone = near_lines(docs, min_words).groupBy(F.col("doc_id").alias("id")).agg(
+        F.sort_array(F.collect_set("line_no")).alias("gone"))  # lines of one document
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"))  # packed, so that no column's name can clash
+    both = rows.join(gone, F.col("own").eqNullSafe(F.col("id")), "left")
+    both = both.withColumn("lines", F.split("row.text", "\n"))
+    touched = F.col("gone").isNotNull() & F.col("lines").isNotNull()
+    both = both.withColumn("kept", F.when(touched, F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))))
+    text = F.when(touched, F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")).otherwise(F.col("row.text"))
+    n_lines = F.when(F.col("lines").isNull(), F.lit(0)).otherwise(F.size("lines"))
+    removed = F.when(touched, F.size("lines") - F.size("kept")).otherwise(F.lit(0))
+    return both.select(*[text.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns
+                         if c not in ("_n_lines", "_n_removed")],
+                       n_lines.cast("long").alias("_n_lines"), removed.cast("long").alias("_n_removed"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,7 +84,15 @@ def contexts(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) ->
     """(kind, word, start, end) of the words near each entity that lie in no
     entity themselves; a word near two entities of a kind is listed once."""
     found: dict[tuple[str, int], tuple[str, str, int, int]] = {}
-    taken = sorted((a, b) for _, a, b in spans)
+    ends = 0
+    taken: list[tuple[int, int]] = []  # disjoint, by start
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if a >= ends:
+            taken.append((a, b))
+        elif b > ends:
+            taken[-1] = (taken[-1][0], b)
+        ends = max(ends, b)
+    starts = [a for a, _ in taken]
     for kind, a, b in spans:
         right = [m.span() for _, m in zip(range(near), WORD.finditer(text, b))]
         left, at = [], a
@@ -94,7 +103,8 @@ def contexts(text: str, spans: list[tuple[str, int, int]], near: int = NEAR) ->
             left = [m.span() for m in WORD.finditer(text, low, at)][-(near - len(left)):] + left
             at = low
         for s, e in left + right:
-            if not any(x < e and s < y for x, y in taken):
+            i = bisect_left(starts, e) - 1  # the last entity that begins before the word ends
+            if i < 0 or taken[i][1] <= s:
                 found[kind, s] = (kind, text[s:e], s, e)
     return list(found.values())
 
@@ -210,8 +220,9 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with every text sanitised; other columns pass through."""
     import pandas as pd
 
-    found = scan_personal_data(docs).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "spans", "terms").dropDuplicates(["_id", "_th"])
-    th = F.xxhash64(F.coalesce("text", F.lit("")))
-    both = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (th == F.col("_th")), "left")
+    found = scan_personal_data(docs).select(F.col("doc_id").alias("id"), F.col("th").alias("hash"), "spans", "terms").dropDuplicates(["id", "hash"])
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    both = rows.join(found, F.col("own").eqNullSafe(F.col("id")) & (F.col("th") == F.col("hash")), "left")
     clean = F.pandas_udf(lambda t, s, x: pd.Series([sanitise_text(*r) for r in zip(t, s, x)], dtype=object), "string")
-    return both.withColumn("text", clean("text", F.coalesce("spans", F.lit("")), "terms")).select(*docs.columns)
+    text = clean("row.text", F.coalesce("spans", F.lit("")), "terms")
+    return both.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -73,7 +73,7 @@ def map_texts(df: DataFrame, fn: Callable[[list[str]], dict[str, list]], keys: l
     from pyspark.sql.types import StructType, _parse_datatype_string
 
     extra: StructType = _parse_datatype_string(schema)
-    src = df.select(*[F.col(k) for k in keys], F.col(text).alias("_text"))
+    src = df.select(*[F.col(k) for k in keys], F.col(text).alias("__text__"))
     fields = [src.schema[k] for k in keys] + list(extra)
     names = [f.name for f in extra]
 

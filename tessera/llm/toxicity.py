@@ -338,7 +338,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more."""
     model = learn(docs, labels)
-    cols = [c for c in docs.columns if c != "text"]
-    full = docs.withColumn("_copy", F.col("text"))
-    return map_texts(full, model.scorer(), [*cols, "_copy"], "text", "score double").where(F.col("score") < threshold).select(
-        *[F.col("_copy").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("row"), "text")  # packed, so that no column's name can clash
+    scored = map_texts(rows, model.scorer(), ["row"], "text", "score double").where(F.col("score") < threshold)
+    return scored.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
