@@ -137,8 +137,11 @@ def mix_sources(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIG
         some = lengths > 0
         extra = np.zeros(len(pdf), dtype=np.int64)
         extra[some] = fit_counts(lengths[some], counts[some], budget)
+        left = budget - int((lengths * extra).sum())
+        if left > 0:  # once more of each cannot make it up, so some are repeated as often as the limit lets them
+            extra[some] += fit_counts(lengths[some], (counts * (max_copies - passes) - extra)[some], left)
         pdf["source"] = pdf["source"].astype(object)
-        return pdf.assign(passes=passes, extra=extra, groups=-(-counts // RANK_GROUP))[
+        return pdf.assign(passes=passes + extra // counts, extra=extra % counts, groups=-(-counts // RANK_GROUP))[
             ["source", "_size", "source_size", "target", "passes", "extra", "groups"]]
 
     targets = targets.withColumnRenamed("source", "_s")

@@ -36,6 +36,8 @@ MAX_ENTRIES = 400
 #: share of all toxic texts that copies of a few texts don't reach
 COMMON = 0.15
 THRESHOLD = 0.3
+#: base rate without any label
+PRIOR = 0.05
 
 # fixed values: closed word classes of English, German, French and Spanish
 TARGETS = frozenset("you your yours yourself u ur they them he she him her du dich dir dein deine ihr euch sie tu te toi ton ta "
@@ -245,7 +247,7 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING_TEXTS) -
     train = cut_lineage(training_rows(docs, labels, limit))
     sums = train.agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).first()
     toxic, n = int(sums["t"] or 0), int(sums["n"])
-    rate = (toxic + 0.5) / (n + 1)
+    rate = (toxic + PRIOR) / (n + 1)
     if toxic == 0 or toxic == n:
         return ToxicityModel({}, (math.log(rate / (1 - rate)), 0.0, 0.0))
     marks = cut_lineage(count_marks(train).where(F.col("toxic") >= MIN_TOXIC))
