@@ -122,7 +122,11 @@ def js_number(c: Column, dtype: T.DataType) -> Column:
         return F.when(c, F.lit(1.0)).when(~c, F.lit(0.0))
     if fam == "string":
         t = F.trim(c)
-        return F.when(t == "", F.lit(0.0)).otherwise(t.try_cast("double"))
+        number = F.when(t.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), t.try_cast("double"))
+        for prefix, base in (("xX", 16), ("oO", 8), ("bB", 2)):  # 0x10, 0o7, 0b1
+            number = F.coalesce(number, F.when(t.rlike(rf"^0[{prefix}][0-9a-fA-F]+$"), F.conv(F.substring(t, 3, 64), base, 10).try_cast("double")))
+        number = F.coalesce(number, F.when(t.isin("Infinity", "+Infinity", "-Infinity"), t.try_cast("double")))
+        return F.when(t == "", F.lit(0.0)).otherwise(number)
     if fam == "date":
         return F.unix_millis(c.cast("timestamp")).cast("double")
     return F.lit(None).cast("double")

@@ -76,7 +76,8 @@ def js_regex(pattern: str) -> str:
 
 def valid_regex(pattern: str) -> bool:
     try:
-        re.compile(pattern)
+        # named groups and references are spelled otherwise in Python
+        re.compile(re.sub(r"\\k<(\w+)>", r"(?P=\1)", re.sub(r"\(\?<(?![=!])", "(?P<", pattern)))
         js_regex(pattern)
         return True
     except (re.error, ValueError):
@@ -271,6 +272,7 @@ def meta_condition(v: Column, spec: Any) -> Column:
     if op in ("$gt", "$gte", "$lt", "$lte"):
         if isinstance(arg, (int, float)) and not isinstance(arg, bool):
             lhs = v.try_cast("double")
+            lhs = F.when(~F.isnan(lhs), lhs)  # the text NaN is no number, and above none
             rhs = F.lit(float(arg))
         else:
             lhs = lv
@@ -296,12 +298,13 @@ def metadata_filter(df: DataFrame, filters: dict, meta_col: str | None = "metada
 
 def temporal_filter(df: DataFrame, kind: str, ts_col: str = "event_time",
                     start: Any = None, end: Any = None, entity: str | None = None,
-                    as_of: Any = None) -> DataFrame:
+                    as_of: Any = None, tie: str | None = None) -> DataFrame:
     """``before`` / ``after`` / ``between`` (inclusive) / ``as_of`` / ``latest``.
 
     ``as_of`` and ``latest`` keep the newest version per entity; Spark plans
     ``row_number() = 1`` as a window group limit, so each task keeps one row
-    per entity before the shuffle.
+    per entity before the shuffle. ``tie`` names a column whose largest value
+    wins among equal times.
     """
     t = F.col(ts_col)
     if kind == "before":
@@ -316,7 +319,7 @@ def temporal_filter(df: DataFrame, kind: str, ts_col: str = "event_time",
         src = df.filter(t <= F.lit(as_of)) if kind == "as_of" else df
         from pyspark.sql import Window
 
-        w = Window.partitionBy(entity).orderBy(t.desc())
+        w = Window.partitionBy(entity).orderBy(t.desc(), *([F.col(tie).desc()] if tie else []))
         return src.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     raise ValueError(kind)
 

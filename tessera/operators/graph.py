@@ -10,6 +10,7 @@ checkpoint folder so that a lost executor never replays earlier rounds.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,13 +58,15 @@ def port_mismatch(edges: DataFrame, ports: DataFrame) -> DataFrame:
     return j.filter(~F.col("source_type").eqNullSafe(F.col("target_type")))
 
 
-def topo_layers(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def topo_layers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Kahn layering: layer 0 = no incoming edge; a node gets layer r when
     all its predecessors were peeled in earlier rounds. Nodes on or after a
     cycle keep ``layer = null``. Edges to unknown nodes are ignored.
 
-    Returns ``(graph, id, layer)`` plus ``finished`` (false if ``max_rounds``
-    was reached before the remainder stopped shrinking).
+    Rounds go on until nothing can be peeled. Each round stores its own layer
+    once; the layers are read together at the end.
+
+    Returns ``(graph, id, layer)``.
     """
     n = nodes.select(G, "id").distinct()
     e = edges.select(G, "source", "target").distinct() \
@@ -71,25 +74,24 @@ def topo_layers(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> D
         .join(n.withColumnRenamed("id", "target"), on=[G, "target"], how="left_semi")
     remaining = cut_lineage(n)
     live_edges = cut_lineage(e)
-    layers = None
-    finished = False
-    for r in range(max_rounds):
+    layers: list[DataFrame] = []
+    while True:
         has_in = live_edges.select(G, F.col("target").alias("id")).distinct()
-        peel = cut_lineage(remaining.join(has_in, on=[G, "id"], how="left_anti").withColumn("layer", F.lit(r)))
+        peel = cut_lineage(remaining.join(has_in, on=[G, "id"], how="left_anti").withColumn("layer", F.lit(len(layers))))
         if peel.isEmpty():
-            finished = True
             break
-        layers = peel if layers is None else cut_lineage(layers.unionByName(peel))
+        layers.append(peel)
         remaining = cut_lineage(remaining.join(peel.select(G, "id"), on=[G, "id"], how="left_anti"))
         live_edges = cut_lineage(live_edges.join(peel.select(G, F.col("id").alias("source")),
                                                  on=[G, "source"], how="left_anti"))
-    out = n.join(layers, on=[G, "id"], how="left") if layers is not None else n.withColumn("layer", F.lit(None))
-    return out.withColumn("layer", F.col("layer").cast("int")).withColumn("finished", F.lit(finished))
+    # what is left lies on or behind a cycle
+    return reduce(DataFrame.unionByName, layers, remaining.withColumn("layer", F.lit(None).cast("int")))
 
 
-def cyclic_graphs(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def cyclic_graphs(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Graphs with a cycle: after peeling, nodes remain. Gives the number of
-    nodes left per graph (nodes on a cycle and downstream of one)."""
-    lay = topo_layers(nodes, edges, max_rounds)
+    nodes left per graph (nodes on a cycle and downstream of one). ``finished``
+    is always true: peeling ends only when nothing can be peeled."""
+    lay = topo_layers(nodes, edges)
     return lay.filter(F.col("layer").isNull()).groupBy(G).agg(
-        F.count(F.lit(1)).alias("stuck_nodes"), F.first("finished").alias("finished"))
+        F.count(F.lit(1)).alias("stuck_nodes"), F.lit(True).alias("finished"))

@@ -153,26 +153,26 @@ def switch_flow(df: DataFrame, rules: Sequence[dict], fns: dict[str, Callable[[D
 
 # ------------------------------------------------------------------ V15
 
-# fixed values (ours): polarity anchors and display caps
+# fixed values (ours): polarity anchors
 FAVORABLE_TEXT = "supports agrees confirms favorable approves consistent evidence for"
 COUNTER_TEXT = "contradicts disagrees rejects unfavorable disputes inconsistent evidence against"
 NEUTRAL_MARGIN = 0.02
-DISPLAY_CAP = 3
-
 
 def decision_review(issues: DataFrame, corpus: DataFrame, k: int = 5, issue_col: str = "issue_id",
-                    text: str = "text", dims: int = 256) -> DataFrame:
+                    text: str = "text", dims: int = 256, favorable_hits: int = 3, counter_hits: int = 3,
+                    neutral_hits: int = 3) -> DataFrame:
     """Per sub-issue (the sentences of an issue): hybrid top-k evidence, a
     polarity per hit (nearer to the favorable or the counter anchor, neutral
     within a margin; ours), counts per polarity and the top hits per polarity
-    up to a display cap."""
+    up to the number asked for each. Only documents that are hits are embedded."""
     subs = TX.sentences(issues, text, issue_col).select(
         F.concat_ws(":", F.col(issue_col).cast("string"), F.col("sent_no").cast("string")).alias("query_id"),
         F.col(issue_col), F.col("sentence").alias("text"))
     hits = RT.hybrid_search(subs, corpus, k=k)
     anchors = corpus.sparkSession.createDataFrame([("favorable", FAVORABLE_TEXT), ("counter", COUNTER_TEXT)], "label string, text string")
     av = V.embed(anchors, "text", dims, id_col="label").select("label", F.col("embedding").alias("centroid"))
-    docs = V.embed(corpus.select(F.col("doc_id").alias("id"), "text"), "text", dims, id_col="id")
+    found = corpus.select(F.col("doc_id").alias("id"), "text").join(hits.select("id").distinct(), "id", "left_semi")
+    docs = V.embed(found, "text", dims, id_col="id")
     h = hits.join(docs.select("id", "embedding"), "id")
     cl = V.classify(h, av, "label")
     fav = F.col("scores")["favorable"]
@@ -181,11 +181,12 @@ def decision_review(issues: DataFrame, corpus: DataFrame, k: int = 5, issue_col:
     p = cl.withColumn("polarity", pol)
     w = Window.partitionBy("query_id", "polarity").orderBy("rank")
     p = p.withColumn("_pr", F.row_number().over(w))
+    shown = F.when(F.col("polarity") == "favorable", favorable_hits).when(F.col("polarity") == "counter", counter_hits).otherwise(neutral_hits)
     g = p.groupBy("query_id").agg(
         F.sum(F.when(F.col("polarity") == "favorable", 1).otherwise(0)).alias("n_favorable"),
         F.sum(F.when(F.col("polarity") == "counter", 1).otherwise(0)).alias("n_counter"),
         F.sum(F.when(F.col("polarity") == "neutral", 1).otherwise(0)).alias("n_neutral"),
-        F.array_sort(F.collect_list(F.when(F.col("_pr") <= DISPLAY_CAP, F.struct("polarity", "rank", "id")))).alias("shown"))
+        F.array_sort(F.collect_list(F.when(F.col("_pr") <= shown, F.struct("polarity", "rank", "id")))).alias("shown"))
     return subs.select("query_id", issue_col).join(g, "query_id", "left")
 
 

@@ -182,7 +182,7 @@ def scan_frontmatter(df: DataFrame, path: str = "path", text: str = "text") -> D
                      lambda l: (l != "") & ~l.startswith("#") & (F.instr(l, ":") > 0))
     pairs = F.transform(lines, lambda l: F.struct(
         F.trim(F.substring_index(l, ":", 1)).alias("key"),
-        F.trim(F.substring(l, F.instr(l, ":") + 1, 1 << 20)).alias("value")))
+        F.trim(F.substring(l, F.instr(l, ":") + 1, F.length(l))).alias("value")))
     d = df.withColumn("_kv", F.filter(pairs, lambda p: p["key"] != "")).withColumn("body", body) \
         .withColumn("has_frontmatter", has)
     # later lines override earlier ones, as object assignment does
