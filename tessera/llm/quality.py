@@ -116,9 +116,9 @@ def risk_controlled_cutoffs(signals: DataFrame, labels: DataFrame, alpha: float
         F.sum((F.col("quality") == 1).cast("long")).alias("good"), F.sum((F.col("quality") == 0).cast("long")).alias("bad"))
     # a rule in a stratum has len(GRID) + 1 cells at most
     rules = cells.groupBy("lang", "rule").agg(F.collect_list(F.struct("cell", "good", "bad")).alias("cells"))
-    strata = cells.agg(F.count_distinct(F.struct("lang")).alias("strata"))
-    chosen = rules.crossJoin(F.broadcast(strata)).withColumn("cutoff", F.pandas_udf(
-        lambda cells, n: pd.Series([best_cutoff(c, int(k), alpha, delta) for c, k in zip(cells, n)], dtype=float), "double")("cells", "strata"))
+    strata = cells.agg(F.count_distinct(F.struct("lang")).alias("strata")).first()["strata"]
+    chosen = rules.withColumn("cutoff", F.pandas_udf(
+        lambda cells: pd.Series([best_cutoff(c, strata, alpha, delta) for c in cells], dtype=float), "double")("cells"))
     return chosen.where(F.col("cutoff").isNotNull() & ~F.isnan("cutoff")).select("lang", "rule", "cutoff")
 
 
