@@ -111,10 +111,12 @@ def bounded_knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np
     return take
 
 
-def mix_sources(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
+def mix_sources(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES,
+                keep_text: bool = True) -> DataFrame:
     """``docs`` with ``_size, _source_size, _target, _taken, _copies`` (words
     the mix takes of the document, repeats counted, and how often it is taken);
-    they replace columns of these names.
+    they replace columns of these names. Without ``keep_text`` the texts are
+    left out of the result and so of its shuffles.
 
     Reads ``doc_id, source, text``. A document's size is its number of plain
     words (null and empty: 0, never taken). Equal documents are told apart by
@@ -122,7 +124,9 @@ def mix_sources(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIG
     source is a source of its own. No rows give no rows.
     """
     # the row is packed, so that no column's name can clash
-    size = docs.select(F.struct("*").alias("row"), "doc_id", "source", plain_word_count(F.col("text")).alias("_size"))
+    added = ["_size", "_source_size", "_target", "_copies", "_taken"]
+    kept = [c for c in docs.columns if c not in added and (keep_text or c != "text")]
+    size = docs.select(F.struct(*kept).alias("row"), "doc_id", "source", plain_word_count(F.col("text")).alias("_size"))
     narrow = size.select("doc_id", "source", "_size")
     by_length = narrow.groupBy("source", "_size").agg(F.count(F.lit(1)).alias("n"))
     targets = source_targets(by_length.groupBy("source").agg(F.sum(F.col("n") * F.col("_size")).alias("source_size")), weights, max_copies)
@@ -164,5 +168,4 @@ def mix_sources(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIG
     copies = F.col("passes") + (rank + F.coalesce("ahead", F.lit(0)) <= F.col("extra")).cast("long")
     copies = F.when(F.col("_size") > 0, copies).otherwise(F.lit(0).cast("long"))
     full = full.withColumn("_copies", copies).withColumn("_taken", F.col("_copies") * F.col("_size"))
-    added = ["_size", "_source_size", "_target", "_copies", "_taken"]
-    return full.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in added], *added)
+    return full.select(*[F.col("row").getField(c).alias(c) for c in kept], *added)

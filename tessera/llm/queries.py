@@ -65,7 +65,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_mix_sources")
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    mixed = mixing.mix_sources(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), keep_text=False)
     return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
                         F.col("_target").alias("target"), F.col("_taken").alias("taken"))
 
