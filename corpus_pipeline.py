@@ -43,7 +43,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sizes, targets and words taken of every document left."""
-    mixed = mixing.mix_sources(docs.select("doc_id", "source", "text"))
+    mixed = mixing.mix_sources(docs.select("doc_id", "source", "text"), keep_text=False)
     return mixed.select("doc_id", "source", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
                         F.col("_target").alias("target"), F.col("_copies").alias("copies"), F.col("_taken").alias("taken"))
 
