@@ -1,9 +1,10 @@
 """WARC archives: a writer of one gzip member per record and a sequential reader.
 
-Spark's text sink writes the members as they are, with a zero byte after each
-(readers of gzip skip zero padding between members), to any store that Spark
-writes to; its commit protocol keeps the archives whole when executors are
-lost. The reader takes each archive in order: incremental inflation of one
+Spark's text sink writes the members to any store that Spark writes to; its
+commit protocol keeps the archives whole when executors are lost. The sink ends
+each row with a separator, which here is the zero byte that a member ends with
+anyway (the high byte of its length), so an archive is its members one after
+the other, as any reader of gzip expects. The reader takes each archive in order: incremental inflation of one
 member at a time, header lines, a block of ``Content-Length`` bytes, and the
 SHA-256 of block and payload against the record's digests.
 """
@@ -13,7 +14,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,8 @@ ARCHIVE_BYTES = 8 << 20
 STEP = 1 << 16
 #: records that a task hands over at once
 SLICE = 200
+#: capture time of records without one of their own
+NO_DATE = "1970-01-01T00:00:00Z"
 
 READ_BACK = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()),
                        ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
@@ -54,6 +57,15 @@ def plan_records(pages: DataFrame) -> DataFrame:
                     F.when(revisit, F.col("first_id")).alias("refers_to"))
 
 
+def record_id(page_id, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>"
+
+
+def gzip_member(parts: Iterable[bytes]) -> bytes:
+    out = zlib.compressobj(6, zlib.DEFLATED, 16 + zlib.MAX_WBITS)
+    return b"".join([*map(out.compress, parts), out.flush()])
+
+
 def record_member(page_id, url: str, payload: bytes, digest: str, kind: str, refers_to) -> bytes:
     """One WARC record as a gzip member. A revisit has no block; its headers
     hold the payload's length and digest."""
@@ -61,7 +73,8 @@ def record_member(page_id, url: str, payload: bytes, digest: str, kind: str, ref
     head = [
         VERSION,
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>",
+        f"WARC-Record-ID: {record_id(page_id, digest)}",
+        f"WARC-Date: {NO_DATE}",
         f"WARC-Target-URI: {''.join(url.split())}",
         f"X-Page-ID: {'' if page_id is None else page_id}",
         f"WARC-Payload-Digest: sha256:{digest}",
@@ -69,10 +82,16 @@ def record_member(page_id, url: str, payload: bytes, digest: str, kind: str, ref
         f"X-Payload-Length: {len(payload)}",
     ]
     if kind == "revisit":
-        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"X-Refers-To-Page: {refers_to}"]
+        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(refers_to, digest)}", f"X-Refers-To-Page: {refers_to}"]
     head.append(f"Content-Length: {len(block)}")
-    out = zlib.compressobj(6, zlib.DEFLATED, 16 + zlib.MAX_WBITS)
-    return out.compress("\r\n".join(head).encode() + b"\r\n\r\n") + out.compress(block) + out.compress(b"\r\n\r\n") + out.flush()
+    return gzip_member(("\r\n".join(head).encode() + b"\r\n\r\n", block, b"\r\n\r\n"))
+
+
+def without_last_zero(member: bytes) -> bytes:
+    """``member`` up to the zero byte at its end. The last byte is the high
+    byte of the record's length; where it isn't zero (16 MB and more), an empty
+    member, which ends with one, follows."""
+    return (member if member.endswith(b"\0") else member + gzip_member(()))[:-1]
 
 
 def write_archives(records: DataFrame, folder: str) -> None:
@@ -86,7 +105,7 @@ def write_archives(records: DataFrame, folder: str) -> None:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 rows = zip(*(c.to_pylist() for c in batch.slice(at, SLICE).columns))
-                yield pa.RecordBatch.from_arrays([pa.array([record_member(*r) for r in rows], pa.binary())], ["member"])
+                yield pa.RecordBatch.from_arrays([pa.array([without_last_zero(record_member(*r)) for r in rows], pa.binary())], ["member"])
 
     (records.select("page_id", "url", "payload", "digest", "record_type", "refers_to").mapInArrow(members, "member binary")
      .select(F.col("member").cast("string").alias("value"))
@@ -98,8 +117,8 @@ class BadRecord(ValueError):
 
 
 def members_of(data: bytes, step: int = STEP) -> Iterator[bytes]:
-    """Inflated gzip members of an archive, one at a time; zero bytes between
-    members are skipped. A cut or damaged member raises ``BadRecord``."""
+    """Inflated gzip members of an archive, one at a time; empty members and
+    zero padding between members are skipped. A cut or damaged member raises ``BadRecord``."""
     at, view = 0, memoryview(data)
     while True:
         while at < len(view) and view[at] == 0:
@@ -116,7 +135,9 @@ def members_of(data: bytes, step: int = STEP) -> Iterator[bytes]:
                 at += len(piece) - len(inflate.unused_data)
         except zlib.error as e:
             raise BadRecord(str(e)) from e
-        yield b"".join(parts)
+        member = b"".join(parts)
+        if member:
+            yield member
 
 
 def read_record(member: bytes) -> dict:
