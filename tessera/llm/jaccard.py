@@ -278,10 +278,17 @@ def spanning(linked: np.ndarray) -> np.ndarray:
 
 
 def keep_one_per_class(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each class of :func:`jaccard_classes`:
-    that with the smallest doc_id. A repeated doc_id counts as one document;
-    rows without a doc_id can't be told apart and all stay."""
-    classes = jaccard_classes(docs, **options)
-    kept = classes.where("doc_id = class_id").select("doc_id").distinct()
-    one = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    """``docs`` with one row of each class of :func:`jaccard_classes`: that with
+    the smallest doc_id (a null one last), of rows that repeat a doc_id that
+    with the smallest hash of its text. Fully repeated rows are one row's
+    copies, of which any may stay; rows of other classes all stay, whatever
+    their doc_id."""
+    th = F.xxhash64(F.coalesce("text", F.lit("")))
+    # classes are found by row, named by a key that orders rows as above
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), th.alias("th"))
+    classes = jaccard_classes(docs.select(key.alias("doc_id"), "text"), **options)
+    kept = classes.where("doc_id = class_id").select(F.col("class_id.id").alias("_id"), F.col("class_id.th").alias("_th")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"), th.alias("th"))  # packed, so that no column's name can clash
+    both = rows.join(kept, F.col("own").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left_semi")
+    one = both.dropDuplicates(["own", "th"])
+    return one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
