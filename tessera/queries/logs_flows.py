@@ -820,7 +820,7 @@ def stream_memory(spark, d):
     schema = Tables(spark, d).conversations.schema
     s = spark.readStream.schema(schema).parquet(f"{d}/conversations.parque[t]")
     m = ST.stream_memory(s.select("conv_id", "turn", "role", "text"), 4)
-    return ST.run_available(m, "memory", mode="update")
+    return ST.run_available(m, "memory", mode="update", group=["conv_id"])
 
 
 @query("stream_run_logs", """

@@ -1,16 +1,16 @@
 """Structured Streaming forms of the operators.
 
 Sources are folders where files land (uploads, feeds, logs); every query has
-a checkpoint in the cluster's checkpoint folder, so a restarted or
-re-scheduled query resumes exactly. Results leave through ``foreachBatch``
-into a table (append of each micro-batch's rows, tagged with the batch id);
-``latest`` reads such a table back as "newest row per key", which is how
+a checkpoint; a restarted or re-scheduled query that is given the target and
+checkpoint of its last run resumes there. Results leave through ``foreachBatch``
+into a table with one ``_batch`` partition per micro-batch; a batch that is
+repeated after a failure replaces its own partition, so nothing is stored
+twice. ``latest`` reads such a table back as "newest row per key", which is how
 update-mode aggregates are drained without a driver-side sink.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
@@ -64,17 +64,24 @@ def feed_stream(spark: SparkSession, path: str, schema: T.StructType | str, key:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's checkpoint folder (shared storage
     on a cluster)."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.replace("file:", ""), f"{name}-{uuid.uuid4().hex[:8]}")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def write_batch(batch: DataFrame, batch_id: int, path: str, fmt: str = "parquet") -> None:
+    """Store a micro-batch as the ``_batch`` partition of its id."""
+    batch.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/_batch={batch_id}")
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append",
           trigger_available_now: bool = True, fmt: str = "parquet") -> None:
     """Run a stream into ``path`` through ``foreachBatch``: each micro-batch
-    is appended with its ``_batch`` id. ``availableNow`` processes what has
-    landed and stops (the scheduled-batch form)."""
+    is a ``_batch`` partition; partition -1 is empty and makes the table exist
+    without any input. ``availableNow`` processes what has landed and stops
+    (the scheduled-batch form)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").format(fmt).save(path)
+        write_batch(batch, batch_id, path, fmt)
+
+    write_batch(stream.sparkSession.createDataFrame([], stream.schema), -1, path, fmt)
 
     w = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     q = w.trigger(availableNow=True).start() if trigger_available_now else w.start()
@@ -89,17 +96,33 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parq
     return g.select("_r.*")
 
 
-def run_available(stream: DataFrame, name: str, keys: Sequence[str] | None = None,
-                  mode: str = "append") -> DataFrame:
-    """Scheduled batch: process all available input now, then read the
-    result (newest row per key for update mode)."""
+def newest_batch(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """All rows that the last micro-batch with the key wrote for it: the state
+    of operators that put out several rows per key each time."""
+    df = spark.read.format(fmt).load(path)
+    last = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max("_batch").alias("_last"))
+    same = F.col("_batch") == F.col("_last")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(last, same, "left_semi").drop("_batch")
+
+
+def run_available(stream: DataFrame, name: str, keys: Sequence[str] | None = None, mode: str = "append",
+                  group: Sequence[str] | None = None, target: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Scheduled batch: process all available input now, then read the result:
+    the newest row per ``keys`` or the newest batch per ``group`` for update
+    mode, else all rows. Given ``target`` and ``checkpoint``, a further run
+    takes only input that is new since the last one, and the result is that of
+    all runs; without them each run starts afresh."""
+    if (target is None) != (checkpoint is None):
+        raise ValueError("target and checkpoint belong together")
     spark = stream.sparkSession
-    path = scratch_path(spark, f"{name}-out")
-    drain(stream, path, scratch_path(spark, f"{name}-ckpt"), mode)
-    if not os.path.exists(path.replace("file:", "")) and path.startswith("/"):
-        return spark.createDataFrame([], stream.schema)
+    path = target or scratch_path(spark, f"{name}-out")
+    drain(stream, path, checkpoint or scratch_path(spark, f"{name}-ckpt"), mode)
     if keys:
         return latest(spark, path, keys)
+    if group:
+        return newest_batch(spark, path, group)
     return spark.read.parquet(path).drop("_batch")
 
 
@@ -204,13 +227,12 @@ def stream_run_rollup(stream: DataFrame) -> DataFrame:
 
 def start_ingest(stream: DataFrame, target: str, checkpoint: str, size: int = 512, overlap: int = 50,
                  dims: int = 256, collection: str = "default", trigger_available_now: bool = True) -> None:
-    """files -> chunk -> embed -> append to the chunk table, per micro-batch.
+    """files -> chunk -> embed -> stored in the chunk table, per micro-batch.
     Re-ingested documents win at read time (:func:`latest` on ``id``)."""
     from tessera.plans.flows import rag_ingest
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        chunks = rag_ingest(batch, collection, size, overlap, dims)
-        chunks.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(target)
+        write_batch(rag_ingest(batch, collection, size, overlap, dims), batch_id, target)
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     q = w.trigger(availableNow=True).start() if trigger_available_now else w.start()
@@ -220,11 +242,10 @@ def start_ingest(stream: DataFrame, target: str, checkpoint: str, size: int = 51
 def bridge_to_collection(stream: DataFrame, target: str, checkpoint: str, key: str = "id",
                          collection: str = "default", trigger_available_now: bool = True) -> None:
     """Carry incoming items into a collection table: each micro-batch is
-    stamped with the collection and appended with its batch id; readers take
+    stamped with the collection and stored under its batch id; readers take
     the newest row per key (:func:`latest`), which is the upsert."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("collection", F.lit(collection)).withColumn("_batch", F.lit(batch_id)) \
-            .write.mode("append").parquet(target)
+        write_batch(batch.withColumn("collection", F.lit(collection)), batch_id, target)
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     q = w.trigger(availableNow=True).start() if trigger_available_now else w.start()

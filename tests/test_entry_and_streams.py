@@ -50,3 +50,34 @@ def test_filter_route_stream_equals_batch(spark):
     got = ST.run_available(ST.stream_filter_route(stream, conditions=spec).select("event_id"), "fr-test")
     want = ev.filter(F.col("event_type") == "click").select("event_id")
     assert sorted(rows(got)) == sorted(rows(want))
+
+
+def test_second_run_takes_only_new_input(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / x) for x in ("src", "out", "ckpt"))
+    schema = "conv_id long, turn long, role string, text string"
+    rows = lambda *turns: spark.createDataFrame([(1, t, "user", f"t{t}") for t in turns], schema)
+    run = lambda s, **k: ST.run_available(s, "twice", target=out, checkpoint=ckpt, **k)
+    rows(1, 2).coalesce(1).write.mode("append").json(src)
+    stream = ST.landing_stream(spark, src, schema)
+    assert sorted(r["turn"] for r in run(stream).collect()) == [1, 2]
+    assert sorted(r["turn"] for r in run(stream).collect()) == [1, 2]  # nothing new, nothing twice
+    rows(3).coalesce(1).write.mode("append").json(src)
+    assert sorted(r["turn"] for r in run(stream).collect()) == [1, 2, 3]
+
+
+def test_repeated_batch_is_stored_once(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (2,)], "id long")
+    for _ in range(2):
+        ST.write_batch(df, 0, str(tmp_path))
+    ST.write_batch(df.where("id > 1"), 1, str(tmp_path))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path)).collect())) == [(1, 0), (2, 0), (2, 1)]
+
+
+def test_stream_memory_over_two_batches(spark, tmp_path):
+    src = str(tmp_path / "src")
+    schema = "conv_id long, turn long, role string, text string"
+    for turns in ((1, 2), (4, 5)):
+        spark.createDataFrame([(1, t, "user", f"t{t}") for t in turns], schema).coalesce(1).write.mode("append").json(src)
+    stream = ST.landing_stream(spark, src, schema, max_files=1)
+    got = ST.run_available(ST.stream_memory(stream, 2), "mem2", mode="update", group=["conv_id"])
+    assert sorted(r["turn"] for r in got.collect()) == [4, 5]
