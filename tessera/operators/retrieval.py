@@ -22,12 +22,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.vectors import _topk_rows, block_topk, cosine, embed, word_tokens
+from tessera.operators.vectors import SCORE_CELLS, Best, _hit_schema, _keep_best, block_topk, cosine, embed, query_blocks, word_tokens
 
 BM25_K1 = 1.2
 BM25_B = 0.75
 RRF_K = 60
-MAX_VOCAB = 200_000          # query terms broadcast per scoring pass
 QUERY_BLOCK = 2048           # queries scored per corpus pass
 
 
@@ -42,19 +41,17 @@ def _py_tokens(text: str | None) -> list[str]:
     return [t for t in regex.split(TOKEN_SPLIT, (text or "").lower()) if t]
 
 
-def _doc_terms(corpus: DataFrame, id_col: str, text: str, vocab: list[str]) -> DataFrame:
-    """One row per document: its length and the counts of the query terms
-    it holds (the only part of the text the scoring needs). Tokenizing runs
-    once per document in Arrow batches; the result is small and kept for the
-    statistics and the scoring passes."""
-    from pyspark import StorageLevel
+def _doc_terms(corpus: DataFrame, id_col: str, text: str, vocab: dict[str, int]) -> DataFrame:
+    """One row per document: its length, and the query terms it holds (their
+    numbers) with their counts, the only part of the text that scoring needs.
+    Tokenizing runs once per document in Arrow batches; the result is small and
+    stored for the statistics and the scoring pass."""
+    from tessera.session import cut_lineage, ensure_parallel
 
-    from tessera.session import ensure_parallel
-
-    bvocab = corpus.sparkSession.sparkContext.broadcast(frozenset(vocab))
+    bvocab = corpus.sparkSession.sparkContext.broadcast(vocab)
     id_type = corpus.schema[id_col].dataType
     schema = T.StructType([T.StructField("_id", id_type), T.StructField("_dl", T.LongType()),
-                           T.StructField("_terms", T.ArrayType(T.StringType())),
+                           T.StructField("_terms", T.ArrayType(T.IntegerType())),
                            T.StructField("_tfs", T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,24 +62,23 @@ def _doc_terms(corpus: DataFrame, id_col: str, text: str, vocab: list[str]) -> D
             dls, terms, tfs = [], [], []
             for t in pdf[text]:
                 toks = _py_tokens(t)
-                c = Counter(x for x in toks if x in vs)
+                c = Counter(vs[x] for x in toks if x in vs)
                 dls.append(len(toks))
                 terms.append(list(c))
                 tfs.append([float(v) for v in c.values()])
             yield pd.DataFrame({"_id": pdf[id_col], "_dl": dls, "_terms": terms, "_tfs": tfs})
 
-    src = ensure_parallel(corpus.select(id_col, text))
-    return src.mapInPandas(run, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    return cut_lineage(ensure_parallel(corpus.select(id_col, text)).mapInPandas(run, schema))
 
 
-def _bm25_stats(per_doc: DataFrame) -> tuple[dict, int, int]:
+def _bm25_stats(per_doc: DataFrame) -> tuple[dict[int, int], int, int]:
     """Document frequency per query term, document count and total length
-    (one job over the kept per-document rows)."""
-    docs = per_doc.select(F.lit(None).cast("string").alias("term"), F.col("_dl").alias("dl"))
+    (one job over the stored per-document rows)."""
+    docs = per_doc.select(F.lit(None).cast("int").alias("term"), F.col("_dl").alias("dl"))
     terms = per_doc.select(F.explode("_terms").alias("term"), F.lit(0).cast("long").alias("dl"))
     st = docs.unionByName(terms).groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("dl"))
     dfc, n_docs, total_dl = {}, 0, 0
-    for r in st.collect():  # |vocab| + 1 rows at most
+    for r in st.collect():  # a row per term of one query block, and one
         if r["term"] is None:
             n_docs, total_dl = r["n"], r["dl"] or 0
         else:
@@ -90,39 +86,47 @@ def _bm25_stats(per_doc: DataFrame) -> tuple[dict, int, int]:
     return dfc, n_docs, total_dl
 
 
-def _bm25_block(per_doc: DataFrame, qrows: list, vocab_idx: dict, idf: np.ndarray,
-                avgdl: float, k: int, id_type: T.DataType, q_type: T.DataType, k1: float, b: float) -> DataFrame:
-    """Score one block of queries: each document touches only the rows of
-    its own query terms (sparse); ``k`` rows per query leave each batch."""
-    qids = [r[0] for r in qrows]
-    w = np.zeros((len(vocab_idx), len(qids)), dtype=np.float64)
-    for j, r in enumerate(qrows):
-        for t in r[1]:
-            i = vocab_idx.get(t)
-            if i is not None:
-                w[i, j] = idf[i]
-    sc = per_doc.sparkSession.sparkContext
-    payload = sc.broadcast((qids, vocab_idx, w))
-    schema = T.StructType([T.StructField("query_id", q_type), T.StructField("id", id_type),
-                           T.StructField("score", T.DoubleType())])
+def _bm25_block(rows: list, corpus: DataFrame, id_col: str, text: str, k: int, schema: T.StructType, k1: float, b: float) -> DataFrame | None:
+    """Score one block of queries. Each term has the list of the queries that
+    ask for it; a document adds its term weights along these lists only."""
+    vocab = {t: i for i, t in enumerate(sorted({t for r in rows for t in (r["terms"] or [])}))}
+    if not vocab:
+        return None
+    per_doc = _doc_terms(corpus, id_col, text, vocab)
+    dfc, n_docs, total_dl = _bm25_stats(per_doc)
+    avgdl = total_dl / n_docs if n_docs else 0.0
+    idf = np.array([math.log(1.0 + (n_docs - dfc.get(i, 0) + 0.5) / (dfc.get(i, 0) + 0.5)) for i in range(len(vocab))])
+    pairs = np.array([(vocab[t], j) for j, r in enumerate(rows) for t in (r["terms"] or [])], dtype=np.int64)
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    first = np.searchsorted(pairs[:, 0], np.arange(len(vocab) + 1))
+    payload = corpus.sparkSession.sparkContext.broadcast(([r["q"] for r in rows], pairs[:, 1], first, idf))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qids_, vidx, wm = payload.value
+        qids, asking, first, idf = payload.value
+        n_asking = np.diff(first)
+        # scores are rounded to 9 places, so ties are exact and broken by id; a score of 0 is no hit
+        best = Best(len(qids), k, least=1e-9)
         for pdf in batches:
-            if pdf.empty:
+            held = pdf["_terms"].map(len).to_numpy(np.int64)
+            if not held.sum():
                 continue
-            s = np.zeros((len(pdf), wm.shape[1]), dtype=np.float64)
-            for r, (terms, counts, dl) in enumerate(zip(pdf["_terms"], pdf["_tfs"], pdf["_dl"])):
-                if len(terms) == 0:
+            term = np.concatenate([np.asarray(x, dtype=np.int64) for x in pdf["_terms"]])
+            tf = np.concatenate([np.asarray(x, dtype=np.float64) for x in pdf["_tfs"]])
+            doc = np.repeat(np.arange(len(pdf)), held)
+            weight = idf[term] * tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * pdf["_dl"].to_numpy(np.float64)[doc] / avgdl))
+            # slices of documents by the scores they hold and the additions they take
+            work = np.cumsum(len(qids) + np.bincount(doc, n_asking[term], len(pdf)))
+            cuts = np.flatnonzero(np.diff((work // SCORE_CELLS).astype(np.int64))) + 1
+            for lo, hi in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(pdf)]))):
+                x, y = np.searchsorted(doc, (lo, hi))
+                n = n_asking[term[x:y]]
+                if not n.sum():
                     continue
-                tf = np.asarray(counts, dtype=np.float64)
-                tfn = tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * float(dl) / avgdl))
-                s[r] = tfn @ wm[[vidx[x] for x in terms]]
-            # scores rounded to 9 places: ties are then exact and broken by id
-            s = np.round(s, 9)
-            rows = _topk_rows(pdf["_id"].to_numpy(), s, qids_, k)
-            # a document without any query term scores 0 and is not a hit
-            yield rows[rows["score"] > 0]
+                at = np.repeat(first[term[x:y]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                cell = np.repeat(doc[x:y] - lo, n) * len(qids) + asking[at]
+                s = np.bincount(cell, np.repeat(weight[x:y], n), (hi - lo) * len(qids)).reshape(hi - lo, len(qids))
+                best.add(pdf["_id"].to_numpy()[lo:hi], np.round(s, 9))
+        yield from best.rows(qids)
 
     return per_doc.mapInPandas(run, schema)
 
@@ -133,44 +137,18 @@ def bm25_search(queries: DataFrame, corpus: DataFrame, k: int = 10, qid_col: str
     """Lexical top-k by BM25 (ours: constants above). Output
     ``(query_id, id, score, rank)``; documents sharing no term are no hits.
 
-    Plan: the query set is read in blocks of about ``QUERY_BLOCK`` queries
-    (a hash split when there are more); the corpus is tokenized
-    once into per-document query-term counts (kept), which give the term
-    statistics (one small ``groupBy``) and feed one scoring pass per block. No (document, term)
-    pairs are shuffled and no (query, document) pairs are emitted: every
-    task keeps ``k`` rows per query, a window group limit keeps the global k.
+    Plan: the query set is read in blocks of about ``QUERY_BLOCK`` queries, one
+    at a time; for each, the corpus is tokenized once into per-document counts
+    of the block's terms (stored), which give the term statistics (one small
+    ``groupBy``) and feed one scoring pass. No (document, term) pairs are
+    shuffled and no (query, document) pairs are emitted: every task keeps ``k``
+    rows per query over all of its documents, a window group limit keeps the
+    global k. More queries mean more passes, never a larger broadcast.
     """
+    schema = _hit_schema(corpus, id_col, queries, qid_col)
     qt = queries.select(F.col(qid_col).alias("q"), F.array_distinct(word_tokens(F.col(qtext))).alias("terms"))
-    first = qt.limit(QUERY_BLOCK + 1).collect()
-    blocks: list[list] = []
-    if len(first) <= QUERY_BLOCK:
-        blocks.append([(r["q"], r["terms"]) for r in first])
-    else:
-        nq = qt.count()
-        nb = math.ceil(nq / QUERY_BLOCK)
-        for i in range(nb):
-            # one bounded query block per corpus pass
-            blocks.append([(r["q"], r["terms"]) for r in qt.filter(F.pmod(F.xxhash64("q"), F.lit(nb)) == i).collect()])
-    vocab = sorted({t for blk in blocks for _, terms in blk for t in (terms or [])})
-    if len(vocab) > MAX_VOCAB:
-        raise ValueError("query vocabulary above MAX_VOCAB: search in query batches")
-    id_type = corpus.schema[id_col].dataType
-    q_type = queries.schema[qid_col].dataType
-    schema = T.StructType([T.StructField("query_id", q_type), T.StructField("id", id_type),
-                           T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())])
-    if not vocab:
-        return corpus.sparkSession.createDataFrame([], schema)
-    per_doc = _doc_terms(corpus, id_col, text, vocab)
-    dfc, n_docs, total_dl = _bm25_stats(per_doc)
-    avgdl = total_dl / n_docs if n_docs else 0.0
-    vocab_idx = {t: i for i, t in enumerate(vocab)}
-    idf = np.array([math.log(1.0 + (n_docs - dfc.get(t, 0) + 0.5) / (dfc.get(t, 0) + 0.5)) for t in vocab])
-    parts = [_bm25_block(per_doc, blk, vocab_idx, idf, avgdl, k, id_type, q_type, k1, b) for blk in blocks if blk]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
-    return res.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    parts = [_bm25_block(rows, corpus, id_col, text, k, schema, k1, b) for rows in query_blocks(qt, QUERY_BLOCK)]
+    return _keep_best([p for p in parts if p is not None], k, corpus.sparkSession.createDataFrame([], schema))
 
 
 def dense_search(queries: DataFrame, corpus: DataFrame, k: int = 10, qid_col: str = "query_id",
@@ -242,20 +220,25 @@ def pack_context(hits: DataFrame, budget: int = 2000, text_col: str = "text", ra
                  by: Sequence[str] = ("query_id",)) -> DataFrame:
     """Fill a token budget with ranked chunks (per query, bounded by k).
 
-    Chunks are taken whole while the running token sum fits; the chunk that
-    crosses the budget is cut to the tokens left (4 chars a token) and marked
-    truncated; later chunks are skipped. Output one row per query: the
-    context (``[1] text`` blocks), tokens used and the three counts.
+    The context is ``[1] text`` blocks with a blank line between them, and the
+    budget holds for all of it: marks and blank lines count (4 characters a
+    token, rounded up per block). Blocks are taken whole while the running sum
+    fits; the one that crosses the budget is cut to the tokens left and marked
+    truncated, or skipped if nothing of its text would be left; later ones are
+    skipped. Output one row per query: the context, tokens used and the three
+    counts.
     """
-    tok = F.ceil(F.char_length(F.coalesce(F.col(text_col), F.lit(""))) / F.lit(4.0)).cast("long")
-    w = Window.partitionBy(*by).orderBy(F.col(rank_col)).rowsBetween(Window.unboundedPreceding, 0)
-    h = hits.withColumn("_tok", tok).withColumn("_cum", F.sum("_tok").over(w))
-    h = h.withColumn("_prev", F.col("_cum") - F.col("_tok"))
-    left = F.lit(budget) - F.col("_prev")
+    order = Window.partitionBy(*by).orderBy(F.col(rank_col))
+    n = F.row_number().over(order)
+    h = hits.withColumn("_mark", F.concat(F.when(n > 1, "\n\n").otherwise(""), F.lit("["), n.cast("string"), F.lit("] ")))
+    h = h.withColumn("_block", F.concat("_mark", F.coalesce(F.col(text_col), F.lit(""))))
+    h = h.withColumn("_tok", F.ceil(F.char_length("_block") / F.lit(4.0)).cast("long"))
+    h = h.withColumn("_cum", F.sum("_tok").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    left = F.lit(budget) - F.col("_cum") + F.col("_tok")
     h = h.withColumn("_state", F.when(F.col("_cum") <= budget, F.lit("whole"))
-                     .when(left > 0, F.lit("truncated")).otherwise(F.lit("skipped")))
-    h = h.withColumn("_text", F.when(F.col("_state") == "whole", F.col(text_col))
-                     .when(F.col("_state") == "truncated", F.substring(F.col(text_col), 1, (left * 4).cast("int"))))
+                     .when(left * 4 > F.char_length("_mark"), F.lit("truncated")).otherwise(F.lit("skipped")))
+    h = h.withColumn("_text", F.when(F.col("_state") == "whole", F.col("_block"))
+                     .when(F.col("_state") == "truncated", F.substring(F.col("_block"), F.lit(1), (left * 4).cast("int"))))
     h = h.withColumn("_used", F.when(F.col("_state") == "whole", F.col("_tok"))
                      .when(F.col("_state") == "truncated", left).otherwise(F.lit(0)))
     g = h.groupBy(*by).agg(
@@ -264,8 +247,7 @@ def pack_context(hits: DataFrame, budget: int = 2000, text_col: str = "text", ra
         F.sum(F.when(F.col("_state") == "whole", 1).otherwise(0)).cast("long").alias("n_included"),
         F.sum(F.when(F.col("_state") == "truncated", 1).otherwise(0)).cast("long").alias("n_truncated"),
         F.sum(F.when(F.col("_state") == "skipped", 1).otherwise(0)).cast("long").alias("n_skipped"))
-    ctx = F.array_join(F.transform(F.col("_l"), lambda s, i: F.concat(F.lit("["), (i + 1).cast("string"), F.lit("] "), s["t"])), "\n\n")
-    return g.withColumn("context", ctx).drop("_l")
+    return g.withColumn("context", F.array_join(F.transform("_l", lambda s: s["t"]), "")).drop("_l")
 
 
 def rerank_score(hits: DataFrame, k: int = 5, by: Sequence[str] = ("query_id",), qtext: str = "query_text",

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUERY_BATCH_ROWS = 4096      # query vectors broadcast per corpus pass
+SCORE_CELLS = 1 << 22        # scores (rows x queries) held at once by a task
 DEFAULT_DIMS = 256
 
 # --------------------------------------------------------------------------
@@ -59,16 +60,17 @@ def embed(df: DataFrame, text: str = "text", dims: int = DEFAULT_DIMS, id_col: s
           out: str = "embedding", model: str = "hashed-words") -> DataFrame:
     """Text to an L2-normalised ``dims``-wide vector (feature hashing, ours).
 
-    Word hashing runs JVM-side (``xxhash64`` inside ``transform``): each word
-    becomes a signed bucket. An Arrow-batched pandas UDF adds the signs per
-    bucket with ``numpy.bincount``. A real embedding model replaces this
-    function with a ``mapInPandas`` over the same batches.
+    Word hashing runs JVM-side (``md5`` inside ``transform``): the first seven
+    hex digits of a word choose its bucket, the eighth its sign. An
+    Arrow-batched pandas UDF adds the signs per bucket with ``numpy.bincount``.
+    A real embedding model replaces this function with a ``mapInPandas`` over
+    the same batches.
     """
     if dims < 1:
         raise ValueError("dims must be >= 1")
-    words = word_tokens(F.col(text))
-    signed = F.transform(words, lambda w: (F.pmod(F.xxhash64(w), F.lit(dims)) + 1) *
-                         F.when(F.pmod(F.xxhash64(w, F.lit("sign")), F.lit(2)) == 0, 1).otherwise(-1))
+    hashes = F.transform(word_tokens(F.col(text)), lambda w: F.md5(w.cast("binary")))
+    signed = F.transform(hashes, lambda h: (F.conv(F.substring(h, 1, 7), 16, 10).cast("long") % dims + 1) *
+                         F.when(F.substring(h, 8, 1) < "8", 1).otherwise(-1))
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def bucket_sum(col: pd.Series) -> pd.Series:
@@ -94,26 +96,70 @@ def similarity(df: DataFrame, a: str, b: str, out: str = "score") -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def _topk_rows(ids: np.ndarray, scores: np.ndarray, qids: Sequence, k: int) -> pd.DataFrame:
-    """For a (B x Q) score block keep k best per query: score desc, id asc."""
-    out_q, out_i, out_s = [], [], []
-    b = scores.shape[0]
-    kk = min(k, b)
-    if kk == 0:
-        return pd.DataFrame({"query_id": [], "id": [], "score": []})
-    for j, q in enumerate(qids):
-        s = scores[:, j]
-        if b > kk:
-            thr = np.partition(s, b - kk)[b - kk]
-            cand = np.nonzero(s >= thr)[0]
-        else:
-            cand = np.arange(b)
-        order = np.lexsort((ids[cand], -s[cand]))[:kk]
-        sel = cand[order]
-        out_q.extend([q] * len(sel))
-        out_i.extend(ids[sel].tolist())
-        out_s.extend(s[sel].tolist())
-    return pd.DataFrame({"query_id": out_q, "id": out_i, "score": out_s})
+class Best:
+    """The ``k`` best rows (score desc, id asc) of each of ``n`` queries over
+    all blocks of scores that a task has seen; scores below ``least`` are no hits."""
+
+    def __init__(self, n: int, k: int, least: float = -np.inf):
+        self.k, self.floor = k, np.full(n, least)  # what a newcomer has to reach
+        self.q, self.s, self.ids = np.empty(0, dtype=np.int64), np.empty(0), None
+
+    def add(self, ids: np.ndarray, scores: np.ndarray, queries: np.ndarray | None = None) -> None:
+        """Scores of ``ids`` (rows) for all queries, or for those given (columns)."""
+        floor = self.floor if queries is None else self.floor[queries]
+        if len(ids) > self.k:
+            floor = np.maximum(floor, np.partition(scores, len(ids) - self.k, axis=0)[len(ids) - self.k])
+        row, col = np.nonzero(scores >= floor)
+        if not len(row):
+            return
+        q = np.concatenate((self.q, col if queries is None else queries[col]))
+        s = np.concatenate((self.s, scores[row, col]))
+        new = np.asarray(ids)[row]
+        i = new if self.ids is None else np.concatenate((self.ids, new))
+        names = np.unique(i, return_inverse=True)[1] if i.dtype == object else i
+        order = np.lexsort((names, -s, q))
+        q, s, i = q[order], s[order], i[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        full = place == self.k - 1
+        self.floor[q[full]] = s[full]
+        kept = place < self.k
+        self.q, self.s, self.ids = q[kept], s[kept], i[kept]
+
+    def rows(self, query_ids: Sequence) -> Iterator[pd.DataFrame]:
+        if len(self.q):
+            yield pd.DataFrame({"query_id": [query_ids[j] for j in self.q], "id": self.ids, "score": self.s})
+
+
+def unit_rows(m: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+
+
+def query_blocks(queries: DataFrame, size: int) -> Iterator[list]:
+    """Rows of a query table (id first) in blocks of about ``size``, by hash of
+    the id; one block at a time is on the driver."""
+    n = max(1, math.ceil(queries.count() / size))
+    if n > 1:
+        from tessera.session import cut_lineage
+
+        queries = cut_lineage(queries)
+    for i in range(n):
+        rows = (queries if n == 1 else queries.filter(F.pmod(F.xxhash64(queries.columns[0]), F.lit(n)) == i)).collect()
+        if rows:
+            yield rows
+
+
+def _keep_best(results: list[DataFrame], k: int, empty: DataFrame) -> DataFrame:
+    found = empty
+    for part in results:
+        found = found.unionByName(part) if found is not empty else part
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def _hit_schema(corpus: DataFrame, id_col: str, queries: DataFrame, qid_col: str) -> T.StructType:
+    return T.StructType([T.StructField("query_id", queries.schema[qid_col].dataType),
+                         T.StructField("id", corpus.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
 
 
 def block_topk(corpus: DataFrame, queries: DataFrame, k: int, id_col: str = "id",
@@ -121,52 +167,33 @@ def block_topk(corpus: DataFrame, queries: DataFrame, k: int, id_col: str = "id"
                metric: str = "cosine") -> DataFrame:
     """Exact top-k per query without emitting all (query, doc) pairs.
 
-    Query vectors are read in batches of about ``QUERY_BATCH_ROWS`` (a hash
-    split of the query ids; the number of batches grows with the query set,
-    never the size of one broadcast). Every corpus task scores its Arrow batches against
-    the query block with one matrix product and emits at most ``k`` rows per
-    query; a window group limit then keeps the global ``k`` (score desc, id
-    asc). Output ``(query_id, id, score, rank)``.
+    Query vectors are read in blocks of about ``QUERY_BATCH_ROWS`` (a hash
+    split of the query ids; the number of blocks grows with the query set,
+    never the size of one broadcast). Every corpus task scores slices of its
+    rows against the query block with one matrix product and keeps the best
+    ``k`` rows per query over all of its slices, so a task emits ``k`` rows per
+    query at most; a window group limit then keeps the global ``k`` (score
+    desc, id asc). Output ``(query_id, id, score, rank)``.
     """
-    id_type = corpus.schema[id_col].dataType
-    q_type = queries.schema[qid_col].dataType
-    schema = T.StructType([T.StructField("query_id", q_type), T.StructField("id", id_type),
-                           T.StructField("score", T.DoubleType())])
-    qsel = queries.select(F.col(qid_col).alias("q"), F.col(qvec_col).alias("v"))
-    total = qsel.count()
-    n_batches = max(1, math.ceil(total / QUERY_BATCH_ROWS))
-    results = None
-    for bno in range(n_batches):
-        part = qsel if n_batches == 1 else qsel.filter(F.pmod(F.xxhash64("q"), F.lit(n_batches)) == bno)
-        rows = part.collect()  # bounded: one batch of query vectors
-        if not rows:
-            continue
-        qids = [r["q"] for r in rows]
+    schema = _hit_schema(corpus, id_col, queries, qid_col)
+    results = []
+    for rows in query_blocks(queries.select(F.col(qid_col).alias("q"), F.col(qvec_col).alias("v")), QUERY_BATCH_ROWS):
         qmat = np.asarray([r["v"] for r in rows], dtype=np.float64)
-        if metric == "cosine":
-            qn = np.linalg.norm(qmat, axis=1, keepdims=True)
-            qmat = np.divide(qmat, qn, out=np.zeros_like(qmat), where=qn > 0)
-        bq = corpus.sparkSession.sparkContext.broadcast((qids, qmat))
+        bq = corpus.sparkSession.sparkContext.broadcast(([r["q"] for r in rows], unit_rows(qmat) if metric == "cosine" else qmat))
 
         def run(batches: Iterator[pd.DataFrame], bq=bq) -> Iterator[pd.DataFrame]:
-            qids_, qm = bq.value
+            qids, qm = bq.value
+            best, step = Best(len(qids), k), max(k, SCORE_CELLS // len(qids))
             for pdf in batches:
-                if pdf.empty:
-                    continue
-                m = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
-                if metric == "cosine":
-                    n = np.linalg.norm(m, axis=1, keepdims=True)
-                    m = np.divide(m, n, out=np.zeros_like(m), where=n > 0)
-                # rounded to 9 places so that ties are exact and broken by id
-                s = np.round(m @ qm.T, 9)
-                yield _topk_rows(pdf[id_col].to_numpy(), s, qids_, k)
-
-        part_res = corpus.select(id_col, vec_col).mapInPandas(run, schema)
-        results = part_res if results is None else results.unionByName(part_res)
-    if results is None:
-        return corpus.sparkSession.createDataFrame([], schema.add("rank", T.IntegerType()))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
-    return results.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+                for at in range(0, len(pdf), step):
+                    part = pdf.iloc[at:at + step]
+                    m = np.vstack(part[vec_col].to_numpy()).astype(np.float64)
+                    # rounded to 9 places so that ties are exact and broken by id
+                    best.add(part[id_col].to_numpy(), np.round((unit_rows(m) if metric == "cosine" else m) @ qm.T, 9))
+            yield from best.rows(qids)
+
+        results.append(corpus.select(id_col, vec_col).mapInPandas(run, schema))
+    return _keep_best(results, k, corpus.sparkSession.createDataFrame([], schema))
 
 
 def vector_search(queries: DataFrame, corpus: DataFrame, k: int = 10, filter_expr: Column | None = None,
@@ -176,24 +203,98 @@ def vector_search(queries: DataFrame, corpus: DataFrame, k: int = 10, filter_exp
     return block_topk(c, queries, k, **kw)
 
 
-def ann_search(queries: DataFrame, corpus: DataFrame, k: int = 10, bucket_length: float = 2.0,
-               num_hash_tables: int = 3, threshold: float = 1.5, id_col: str = "id",
-               vec_col: str = "embedding", qid_col: str = "query_id", seed: int = 7) -> DataFrame:
-    """Approximate neighbours: random-projection LSH join on Euclidean
-    distance of unit vectors (candidates only), then exact cosine top-k among
-    candidates. Recall < 1 is the expected trade."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
+#: rows that the lists of the approximate index are fitted on, and lists at most
+ANN_SAMPLE_ROWS, ANN_MAX_LISTS = 20_000, 4096
+#: rows of the sample, and queries among them, on which the number of lists to open is measured
+ANN_TRIAL_ROWS, ANN_TRIAL_QUERIES = 2_000, 200
+
+
+def _lists_to_open(trial: np.ndarray, centres: np.ndarray, k: int, recall: float) -> int:
+    """Nearest lists that a query opens so that they hold a share of ``recall``
+    of the ``k`` best other rows, measured on unit vectors."""
+    half = (centres ** 2).sum(1) / 2
+    own = np.argmax(trial @ centres.T - half, axis=1)
+    q = trial[:ANN_TRIAL_QUERIES]
+    near = q @ trial.T
+    near[np.arange(len(q)), np.arange(len(q))] = -np.inf
+    best = np.argsort(-near, axis=1, kind="stable")[:, :min(k, len(trial) - 1)]
+    place = np.argsort(np.argsort(half - q @ centres.T, axis=1, kind="stable"), axis=1)
+    opened = np.sort(np.take_along_axis(place, own[best], axis=1).ravel())
+    return int(opened[min(len(opened) - 1, math.ceil(recall * len(opened)))]) + 1 if len(opened) else 1
+
+
+def ann_search(queries: DataFrame, corpus: DataFrame, k: int = 10, recall: float = 0.95, lists: int | None = None,
+               probes: int | None = None, id_col: str = "id", vec_col: str = "embedding", qid_col: str = "query_id", qvec_col: str = "embedding",
+               seed: int = 7) -> DataFrame:
+    """Approximate neighbours by an inverted file: ``(query_id, id, score, rank)``.
+
+    About sqrt(rows) list centres (``ANN_MAX_LISTS`` at most, or ``lists``) are
+    fitted with MLlib KMeans on ``ANN_SAMPLE_ROWS`` rows by hash of the id;
+    every row belongs to the list of its nearest centre. A query is compared
+    exactly (cosine) with the rows of its nearest lists: as many (or ``probes``)
+    as reach ``recall`` on ``ANN_TRIAL_ROWS`` of the sample, and further ones
+    until they hold ``k`` rows, so ``k`` rows come back whenever the corpus has
+    them. How few lists that is depends on how the vectors cluster; without
+    any clusters it is most of them. Lists are assigned inside the scoring
+    tasks, so no row is shuffled and a large list is spread over all tasks.
+    """
+    from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    c = corpus.select(F.col(id_col).alias("id"), array_to_vector(l2_normalize(F.col(vec_col))).alias("features"))
-    q = queries.select(F.col(qid_col).alias("query_id"), array_to_vector(l2_normalize(F.col("embedding"))).alias("features"))
-    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-                                      numHashTables=num_hash_tables, seed=seed).fit(c)
-    j = lsh.approxSimilarityJoin(q, c, threshold, distCol="dist")
-    cand = j.select(F.col("datasetA.query_id").alias("query_id"), F.col("datasetB.id").alias("id"),
-                    (1.0 - F.col("dist") * F.col("dist") / 2.0).alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    spark, schema = corpus.sparkSession, _hit_schema(corpus, id_col, queries, qid_col)
+    c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
+    n = lists or min(ANN_MAX_LISTS, math.ceil(math.sqrt(max(1, c.count()))))
+    sample = c.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(ANN_SAMPLE_ROWS).select(
+        array_to_vector(l2_normalize(F.col("v"))).alias("features")).filter("features IS NOT NULL")
+    if sample.isEmpty():
+        return _keep_best([], k, spark.createDataFrame([], schema))
+    centres = np.array(KMeans(k=max(2, n), seed=seed, maxIter=10).fit(sample).clusterCenters())
+    half = (centres ** 2).sum(1) / 2
+    if probes is None:
+        trial = np.vstack([r["features"].toArray() for r in sample.limit(ANN_TRIAL_ROWS).collect()])
+        probes = _lists_to_open(trial, centres, k, recall)
+    bc = spark.sparkContext.broadcast((centres, half))
+
+    def slices(batches: Iterator[pd.DataFrame], width: int) -> Iterator[tuple]:
+        cs, h = bc.value
+        step = max(1, SCORE_CELLS // max(width, len(cs)))
+        for pdf in batches:
+            for at in range(0, len(pdf), step):
+                m = unit_rows(np.vstack(pdf["v"].iloc[at:at + step].to_numpy()).astype(np.float64))
+                yield pdf["id"].to_numpy()[at:at + step], m, np.argmax(m @ cs.T - h, axis=1)
+
+    def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(bc.value[0]), dtype=np.int64)
+        for _, _, near in slices(batches, 1):
+            total += np.bincount(near, minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"list": some, "n": total[some]})
+
+    held = np.zeros(len(centres), dtype=np.int64)
+    for r in c.mapInPandas(sizes, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).collect():  # a row per list
+        held[r["list"]] = r["n"]
+    results = []
+    for rows in query_blocks(queries.select(F.col(qid_col).alias("q"), F.col(qvec_col).alias("v")), QUERY_BATCH_ROWS):
+        qm = unit_rows(np.asarray([r["v"] for r in rows], dtype=np.float64))
+        order = np.argsort(half - qm @ centres.T, axis=1, kind="stable")
+        reach = np.cumsum(held[order], axis=1)
+        opened = (np.arange(len(centres)) < probes) | (reach - held[order] < k)
+        asked = np.zeros((len(centres), len(rows)), dtype=bool)
+        asked[order.ravel(), np.repeat(np.arange(len(rows)), len(centres))] = opened.ravel()
+        bq = spark.sparkContext.broadcast(([r["q"] for r in rows], qm, [np.flatnonzero(a) for a in asked]))
+
+        def run(batches: Iterator[pd.DataFrame], bq=bq) -> Iterator[pd.DataFrame]:
+            qids, q, asking = bq.value
+            best = Best(len(qids), k)
+            for ids, m, near in slices(batches, len(qids)):
+                for x in np.unique(near):
+                    if len(asking[x]):
+                        own = np.flatnonzero(near == x)
+                        best.add(ids[own], np.round(m[own] @ q[asking[x]].T, 9), asking[x])
+            yield from best.rows(qids)
+
+        results.append(c.mapInPandas(run, schema))
+    return _keep_best(results, k, spark.createDataFrame([], schema))
 
 
 # --------------------------------------------------------------------------

@@ -199,7 +199,31 @@ def bm25_search(spark, d):
     return _bm25(spark, d).select("query_id", "id", F.round("score", 4).alias("score"), "rank")
 
 
-@query("hybrid_search", None)
+def _emb_sql(n, table, id_col):
+    """Hashed-word vectors of a table's texts as ``{n}v (id, dim, x)``, zeros left out."""
+    return rf"""
+{n}h AS (SELECT {id_col} AS id, md5(unnest({TOK_SQL.format(c='text')})) AS m FROM {table}),
+{n}b AS (SELECT id, CAST('0x' || substr(m, 1, 7) AS BIGINT) % 256 AS dim,
+  sum(CASE WHEN substr(m, 8, 1) < '8' THEN 1 ELSE -1 END)::DOUBLE AS x FROM {n}h GROUP BY ALL),
+{n}v AS (SELECT id, dim, (x / sqrt(sum(x * x) OVER (PARTITION BY id)))::FLOAT::DOUBLE AS x FROM {n}b WHERE x <> 0)"""
+
+
+#: cosine of every query and document that share a dimension
+_COS_SQL = f"""{_emb_sql('q', 'benchmark', 'item_id')},{_emb_sql('d', 'documents', 'doc_id')},
+nq AS (SELECT id, sqrt(sum(x * x)) AS n FROM qv GROUP BY id), nd AS (SELECT id, sqrt(sum(x * x)) AS n FROM dv GROUP BY id),
+cos AS (SELECT p.query_id, p.id, p.dot / (nq.n * nd.n) AS score FROM (
+  SELECT qv.id AS query_id, dv.id AS id, sum(qv.x * dv.x) AS dot FROM qv JOIN dv USING (dim) GROUP BY ALL) p
+  JOIN nq ON nq.id = p.query_id JOIN nd ON nd.id = p.id)"""
+_BM25_20_SQL = _BM25_SQL.replace("rank <= 10", "rank <= 20")
+
+
+@query("hybrid_search", f"""
+WITH {_BM25_20_SQL}, {_COS_SQL},
+vec AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM cos) WHERE rank <= 20),
+fused AS (SELECT query_id, id, coalesce(1.0::DOUBLE / (60 + bm.rank), 0) + coalesce(1.0::DOUBLE / (60 + vec.rank), 0) AS score,
+  bm.rank AS rank_0, vec.rank AS rank_1 FROM bm FULL JOIN vec USING (query_id, id))
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM fused) WHERE rank <= 10
+""")
 def hybrid_search(spark, d):
     t = Tables(spark, d)
     return RT.hybrid_search(t.benchmark.withColumnRenamed("item_id", "query_id"), t.documents, k=10, depth=20)
@@ -242,21 +266,26 @@ def permission_search(spark, d):
     return r.select("doc_id", F.col("collection").alias("lang"))
 
 
-@query("pack_context", f"""
-WITH {_BM25_SQL},
-h AS (SELECT bm.query_id, bm.rank, docs.text, CAST(ceil(length(docs.text) / 4.0) AS BIGINT) AS tok
-      FROM bm JOIN documents docs ON docs.doc_id = bm.id),
+#: mark of the n-th block of a context
+_MARK_SQL = "CASE WHEN rank > 1 THEN E'\\n\\n' ELSE '' END || '[' || CAST(rank AS VARCHAR) || '] '"
+#: packs rows ``m (query_id, rank, mark, text)`` into 2000 tokens
+_PACK_SQL = """
+h AS (SELECT query_id, rank, mark, mark || coalesce(text, '') AS text, CAST(ceil(length(mark || coalesce(text, '')) / 4.0) AS BIGINT) AS tok FROM m),
 c AS (SELECT *, sum(tok) OVER (PARTITION BY query_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM h),
-s AS (SELECT *, CASE WHEN cum <= 2000 THEN 'whole' WHEN 2000 - (cum - tok) > 0 THEN 'truncated' ELSE 'skipped' END AS st,
+s AS (SELECT *, CASE WHEN cum <= 2000 THEN 'whole' WHEN (2000 - (cum - tok)) * 4 > length(mark) THEN 'truncated' ELSE 'skipped' END AS st,
         2000 - (cum - tok) AS lft FROM c)
 SELECT query_id,
   CAST(sum(CASE st WHEN 'whole' THEN tok WHEN 'truncated' THEN lft ELSE 0 END) AS BIGINT) AS tokens_used,
   CAST(sum(CASE WHEN st = 'whole' THEN 1 ELSE 0 END) AS BIGINT) AS n_included,
   CAST(sum(CASE WHEN st = 'truncated' THEN 1 ELSE 0 END) AS BIGINT) AS n_truncated,
   CAST(sum(CASE WHEN st = 'skipped' THEN 1 ELSE 0 END) AS BIGINT) AS n_skipped,
-  string_agg(CASE WHEN st <> 'skipped' THEN '[' || CAST(rank AS VARCHAR) || '] ' ||
-    CASE WHEN st = 'whole' THEN text ELSE substr(text, 1, CAST(lft * 4 AS INTEGER)) END END, E'\\n\\n' ORDER BY rank) AS context
-FROM s GROUP BY query_id
+  string_agg(CASE WHEN st = 'whole' THEN text WHEN st = 'truncated' THEN substr(text, 1, CAST(lft * 4 AS INTEGER)) END, '' ORDER BY rank) AS context
+FROM s GROUP BY query_id"""
+
+
+@query("pack_context", f"""
+WITH {_BM25_SQL},
+m AS (SELECT bm.query_id, bm.rank, {_MARK_SQL} AS mark, docs.text FROM bm JOIN documents docs ON docs.doc_id = bm.id),{_PACK_SQL}
 """)
 def pack_context(spark, d):
     t = Tables(spark, d)
@@ -295,7 +324,16 @@ def recall_at_k(spark, d):
     return r.select("query_id", "relevant", "found", "recall")
 
 
-@query("rerank_lexical", None)
+@query("rerank_lexical", f"""
+WITH {_BM25_20_SQL}, {_COS_SQL},
+qt AS (SELECT item_id AS query_id, list_distinct({TOK_SQL.format(c='text')}) AS qw FROM benchmark),
+dw AS (SELECT doc_id AS id, list_distinct({TOK_SQL.format(c='text')}) AS w FROM documents WHERE doc_id IN (SELECT id FROM bm)),
+s AS (SELECT bm.query_id, bm.id, bm.rank, round(0.5::DOUBLE * coalesce(cos.score, 0) +
+    0.5::DOUBLE * CASE WHEN len(qw) > 0 THEN len(list_intersect(qw, w)) / len(qw) ELSE 0 END, 6) AS rerank_score
+  FROM bm JOIN qt USING (query_id) JOIN dw ON dw.id = bm.id LEFT JOIN cos ON cos.query_id = bm.query_id AND cos.id = bm.id)
+SELECT query_id, id, rank, rerank, rerank_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, id) AS rerank FROM s) WHERE rerank <= 5
+""")
 def rerank_lexical(spark, d):
     t = Tables(spark, d)
     hits = _bm25(spark, d, 20).join(t.documents.select(F.col("doc_id").alias("id"), "text"), "id") \
@@ -306,11 +344,19 @@ def rerank_lexical(spark, d):
 # ------------------------------------------------------------------ vectors
 
 
-@query("embed_text", None)
+@query("embed_text", f"""
+WITH {_emb_sql('d', 'documents', 'doc_id')}
+SELECT doc_id, 'hashed-words' AS model, 256 AS dimensions, round(coalesce(sqrt(sum(x * x)), 0), 4) AS norm,
+  count(x) AS n_nonzero, round(coalesce(sum(x * (dim + 1)), 0), 3) AS checksum
+FROM documents LEFT JOIN dv ON dv.id = doc_id GROUP BY doc_id
+""")
 def embed_text(spark, d):
     docs = Tables(spark, d).documents
     e = V.embed(docs, "text", 256, id_col="doc_id")
-    return e.select("doc_id", "model", "dimensions", F.round(V.norm(F.col("embedding")), 4).alias("norm"))
+    placed = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))
+    return e.select("doc_id", "model", "dimensions", F.round(V.norm(F.col("embedding")), 4).alias("norm"),
+                    F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("n_nonzero"),
+                    F.round(F.aggregate(placed, F.lit(0.0), lambda a, x: a + x), 3).alias("checksum"))
 
 
 def _pairs(spark, d):
@@ -353,7 +399,8 @@ def _second_space(spark, d):
     """Stand-in second vector space: coordinates reversed plus a small
     deterministic noise from a hash of (id, position)."""
     e = Tables(spark, d).embeddings
-    noise = lambda x, i: x.cast("double") + (F.pmod(F.xxhash64(F.col("vec_id"), i), F.lit(1000)) - 500) / 1e6
+    place = lambda i: F.md5(F.concat_ws(":", F.col("vec_id").cast("string"), i.cast("string")).cast("binary"))
+    noise = lambda x, i: x.cast("double") + (F.conv(F.substring(place(i), 1, 7), 16, 10).cast("long") % 1000 - 500) / 1e6
     return e.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("source"),
                     F.transform(F.reverse("embedding"), noise).alias("target"))
 
@@ -389,7 +436,13 @@ def fit_procrustes(spark, d):
     return _one_row(spark, {"dims": int(w.shape[0]), "orthogonality_error": round(float(np.abs(w @ w.T - np.eye(w.shape[0])).max()), 6)})
 
 
-@query("cka", None)
+@query("cka", """
+WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i, unnest(list_reverse(embedding))::DOUBLE AS r FROM embeddings),
+y AS (SELECT vec_id, i, x, r + (CAST('0x' || substr(md5(vec_id || ':' || i), 1, 7) AS BIGINT) % 1000 - 500) / 1e6 AS y FROM v),
+c AS (SELECT vec_id, i, x - avg(x) OVER (PARTITION BY i) AS x, y - avg(y) OVER (PARTITION BY i) AS y FROM y),
+g AS (SELECT a.i, b.i AS j, sum(a.x * b.x) AS xx, sum(a.x * b.y) AS xy, sum(a.y * b.y) AS yy FROM c a JOIN c b USING (vec_id) GROUP BY ALL)
+SELECT round(sum(xy * xy) / (sqrt(sum(xx * xx)) * sqrt(sum(yy * yy))), 4) AS cka FROM g
+""")
 def cka(spark, d):
     return _one_row(spark, {"cka": round(V.cka(_second_space(spark, d)), 4)})
 

@@ -256,7 +256,7 @@ def sort_desc(spark, d):
     return O.sort_rows(c, "c_name", "descending", tiebreak=["c_custkey"])
 
 
-@query("sort_random", None)
+@query("sort_random", "SELECT o_orderkey, o_custkey FROM orders")
 def sort_random(spark, d):
     return O.sort_rows(Tables(spark, d).orders.select("o_orderkey", "o_custkey"), None, "random", seed=7)
 

@@ -22,6 +22,7 @@ from tessera.operators import registry as U
 from tessera.operators import text as TX
 from tessera.operators.ordering import positions
 from tessera.plans import flows as X
+from tessera.queries import docs_search as D
 from tessera.queries import query
 from tessera.session import Tables
 from tessera.sources import files as S
@@ -633,7 +634,11 @@ def switch_flow(spark, d):
     return X.switch_flow(li, _SW_RULES, fns).select("l_orderkey", "l_linenumber", "output", "action")
 
 
-@query("rag_ingest", None)
+@query("rag_ingest", """
+SELECT doc_id || ':' || CAST(s / 462 AS INTEGER) AS id, CAST(doc_id AS VARCHAR) AS document_id, CAST(s / 462 AS INTEGER) AS chunk_no,
+  'default' AS bucket, 'main' AS collection, 64 AS dims
+FROM (SELECT doc_id, unnest(generate_series(0, greatest(length(text) - 50 - 1, 0), 462)) AS s FROM documents)
+""")
 def rag_ingest(spark, d):
     docs = Tables(spark, d).documents
     return X.rag_ingest(docs, "main", 512, 50, 64, metadata={"team": "docs"}).select(
@@ -665,10 +670,38 @@ def bucket_context_query(spark, d):
                             filters={"source": {"$prefix": "src"}}, sessions=t.conversations, n_turns=2)
 
 
-query("bucket_context", None)(bucket_context_query)
+_BUCKET_SQL = f"""
+WITH corpus AS (SELECT doc_id, text, source FROM documents WHERE lang IN ('en', 'fr') AND source LIKE 'src%'),
+{D._BM25_SQL.replace("FROM documents", "FROM corpus")}, {D._COS_SQL.replace("FROM documents", "FROM corpus")},
+vec AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM cos) WHERE rank <= 10),
+fused AS (SELECT query_id, id, coalesce(1.0::DOUBLE / (60 + bm.rank), 0) + coalesce(1.0::DOUBLE / (60 + vec.rank), 0) AS score
+  FROM bm FULL JOIN vec USING (query_id, id)),
+hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM fused) WHERE rank <= 10),
+m AS (SELECT query_id, rank, {D._MARK_SQL} AS mark, '[' || source || ':' || id || '] ' || text AS text FROM hits JOIN corpus ON doc_id = id),
+packed AS (WITH {D._PACK_SQL}),
+hist AS (SELECT conv_id, string_agg(role || ': ' || text, E'\\n' ORDER BY turn) AS history FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations) WHERE rn <= 2 GROUP BY conv_id)
+SELECT item_id AS query_id, coalesce(tokens_used, 0) AS tokens_used, coalesce(n_included, 0) AS n_included,
+  coalesce(n_truncated, 0) AS n_truncated, coalesce(n_skipped, 0) AS n_skipped, context, history
+FROM benchmark LEFT JOIN packed ON packed.query_id = item_id LEFT JOIN hist ON conv_id = item_id
+"""
 
+query("bucket_context", _BUCKET_SQL)(bucket_context_query)
 
-@query("route_intent", None)
+
+@query("route_intent", f"""
+WITH routes AS (SELECT * FROM (VALUES ('billing', 'invoice payment refund charge price order'),
+  ('tech', 'error bug crash code install server'), ('other', 'hello thanks question general')) t(label, text)),
+conv AS (SELECT conv_id || ':' || turn AS cid, conv_id, turn, text FROM conversations),
+{D._emb_sql('r', 'routes', 'label')},{D._emb_sql('c', 'conv', 'cid')},
+nr AS (SELECT id, sqrt(sum(x * x)) AS n FROM rv GROUP BY id), nc AS (SELECT id, sqrt(sum(x * x)) AS n FROM cv GROUP BY id),
+dots AS (SELECT cv.id AS cid, rv.id AS label, sum(cv.x * rv.x) AS dot FROM cv JOIN rv USING (dim) GROUP BY ALL),
+s AS (SELECT conv_id, turn, routes.label, coalesce(dot / (nr.n * nc.n), 0) AS score FROM conv CROSS JOIN routes
+  LEFT JOIN dots ON dots.cid = conv.cid AND dots.label = routes.label
+  LEFT JOIN nr ON nr.id = routes.label LEFT JOIN nc ON nc.id = conv.cid)
+SELECT conv_id, turn, CASE WHEN score > 0 THEN label ELSE 'default' END AS route, round(score, 6) AS confidence FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY score DESC, label DESC) AS rn FROM s) WHERE rn = 1
+""")
 def route_intent(spark, d):
     routes = [{"name": "billing", "description": "invoice payment refund charge price order"},
               {"name": "tech", "description": "error bug crash code install server"},
@@ -815,7 +848,13 @@ def stream_pair_calls(spark, d):
     return ST.run_available(ST.stream_pair_calls(calls, results, "1 hour"), "pairs")
 
 
-@query("stream_memory", None)
+@query("stream_memory", """
+WITH c AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n,
+    sum(CASE WHEN role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS s FROM conversations),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM c WHERE role <> 'system')
+SELECT conv_id, turn, role, text FROM c WHERE role = 'system'
+UNION ALL SELECT conv_id, turn, role, text FROM o WHERE n <= 4 OR rn <= greatest(4 - s, 0)
+""")
 def stream_memory(spark, d):
     schema = Tables(spark, d).conversations.schema
     s = spark.readStream.schema(schema).parquet(f"{d}/conversations.parque[t]")
@@ -872,7 +911,7 @@ def register_operator(spark, d):
         U.unregister_operator("big_orders")
 
 
-@query("code_rows", None)
+@query("code_rows", "SELECT o_orderkey, round_even(o_totalprice / 1000, 1) AS price_k FROM orders")
 def code_rows(spark, d):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"o_orderkey": pdf["o_orderkey"], "price_k": (pdf["o_totalprice"] / 1000).round(1)})

@@ -366,7 +366,7 @@ def dt_format(spark, d):
                      C.dt_format(F.col("l_shipdate"), "Day dd of MM, yyyy at HH:mm:ss").alias("formatted"))
 
 
-@query("dt_now", None)
+@query("dt_now", "SELECT o_orderkey, strftime(now() AT TIME ZONE 'UTC', '%Y-%m-%d') AS today FROM orders")
 def dt_now(spark, d):
     return Tables(spark, d).orders.select("o_orderkey", C.dt_now("yyyy-MM-dd").alias("today"))
 
