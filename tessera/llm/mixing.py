@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.text import plain_word_count
+from tessera.operators.ordering import positions
+from tessera.session import cut_lineage
 
 # fixed values: weights by rank of the source, repeating; most copies of a document
 WEIGHTS = (5, 2, 1)
@@ -32,22 +34,23 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_cop
     Sources by code point, null last, get the weights in turn and share the
     sum of all sizes by weight. A target above ``max_copies`` times its source
     stops there, and the excess is shared again by weight among the others,
-    until none is above. That ends at one water level: the sources with the
-    smallest ``max_copies * size / weight`` are full, all others get
-    ``weight * level``. The windows run over one row per source.
+    until none is above. That ends at one water level: sources whose
+    ``max_copies * size / weight`` is below it are full, all others get
+    ``weight * level``. Each round of sharing is one aggregate over the sources
+    (a row each) that brings three sums to the driver.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    w = F.get(F.array(*[F.lit(float(x)) for x in weights]), ((F.row_number().over(by_name) - 1) % len(weights)).cast("int"))
-    t = sizes.withColumn("w", w).withColumn("cap", F.lit(float(max_copies)) * F.col("source_size"))
-    t = t.withColumn("ratio", F.col("cap") / F.col("w"))
-    by_ratio = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_ratio.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    t = t.withColumn("level", (F.sum("source_size").over(whole) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(after))
-    # the level stands at the first source that is not full
-    t = t.withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "source", "level"))).over(whole)["level"])
-    return t.select("source", "source_size", F.least("cap", F.col("w") * F.col("level")).alias("target"))
+    place = positions(sizes.select("source", "source_size"), [], [F.col("source").asc_nulls_last()], name="place")
+    w = F.get(F.array(*[F.lit(float(x)) for x in weights]), (F.col("place") % len(weights)).cast("int"))
+    t = cut_lineage(place.select("source", "source_size", w.alias("w"), (F.lit(float(max_copies)) * F.col("source_size")).alias("cap")))
+    level, n_full = 0.0, -1
+    while True:
+        full = F.col("w") * level > F.col("cap")
+        r = t.agg(F.sum("source_size").alias("all"), F.sum(F.when(full, F.col("cap"))).alias("held"),
+                  F.sum(F.when(~full, F.col("w"))).alias("w"), F.count_if(full).alias("n")).first()
+        if r["n"] == n_full or not r["w"]:
+            break
+        level, n_full = ((r["all"] or 0) - (r["held"] or 0.0)) / r["w"], r["n"]
+    return t.select("source", "source_size", F.least("cap", F.col("w") * level).alias("target"))
 
 
 def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -128,7 +131,7 @@ def mix_sources(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIG
     kept = [c for c in docs.columns if c not in added and (keep_text or c != "text")]
     size = docs.select(F.struct(*kept).alias("row"), "doc_id", "source", plain_word_count(F.col("text")).alias("_size"))
     narrow = size.select("doc_id", "source", "_size")
-    by_length = narrow.groupBy("source", "_size").agg(F.count(F.lit(1)).alias("n"))
+    by_length = cut_lineage(narrow.groupBy("source", "_size").agg(F.count(F.lit(1)).alias("n")))
     targets = source_targets(by_length.groupBy("source").agg(F.sum(F.col("n") * F.col("_size")).alias("source_size")), weights, max_copies)
 
     def plan(pdf: pd.DataFrame) -> pd.DataFrame:
