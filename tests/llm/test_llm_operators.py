@@ -189,6 +189,25 @@ def test_disclosing_terms(spark, docs):
     assert pii.scan_personal_data(docs).count() == docs.count() and pii.scan_personal_data(docs.limit(0)).count() == 0
 
 
+def test_terms_far_from_their_entity(spark, monkeypatch):
+    """A name ten words and a paragraph from its number, in three documents only; and terms in blocks."""
+    filler = [f"some plain filler words that every one of them has {i}" for i in range(3)]
+    rows = [(None if i == 0 else i, f"Zorblatt {filler[i]} +1 555 010 99{i:02d}\nthen Quxley, xzorblatt zorblatt") for i in range(3)]
+    rows += [(100 + i, f"{filler[i % 3]} then xzorblatt") for i in range(300)] + [rows[1]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {f"term:{m.start()}:{m.end()}" for m in re.finditer("(?i)\\b(zorblatt|quxley)\\b", rows[1][1])}
+    for size in (pii.TERMS_PER_PASS, 1):
+        monkeypatch.setattr(pii, "TERMS_PER_PASS", size)
+        got = [r for r in pii.scan_personal_data(df).collect()]
+        assert len(got) == len(rows) and len(want) == 3
+        for r in got:
+            assert set(r["spans"].split(",")[1:]) == (want if r["n_phone"] else set()) and r["n_term"] == (3 if r["n_phone"] else 0)
+    assert "orblatt +" not in "".join(r["text"] for r in pii.sanitise(df).where("text LIKE '%[phone]%'").collect())
+    text = "é1.2.3.4x a@b.co, ok+1 (555) 010-9999é z"
+    plain = pii.masked(text, pii.base_spans(text))
+    assert len(plain) == len(text) and plain.split() == [",", "ok", "z"]
+
+
 # --- 4: quality --------------------------------------------------------------
 
 def brute_signals(text):
