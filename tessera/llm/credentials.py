@@ -23,11 +23,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a run is a match of [0-9a-f]+, so shorter runs fail as a whole
 KINDS = ("assign", "access", "hex", "guess")
 
-#: words that announce a credential, wider than the base pattern, and the value
+#: words that announce a credential, wider than the base pattern, and the value;
+#: an authorization header may name a scheme before the value
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|bearer"""
-    r"""|(?:api|access|private|secret|auth|client)[_\x20-]?(?:key|token|secret))["']?\x20*(?::|=>?|\x20is\x20|\x20)\x20*(["']?)"""
-    r"""([^\s"',;<>()]{6,})""", re.I | re.A)
+    r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?P<header>orization)?|bearer"""
+    r"""|(?:api|access|private|secret|auth|client)[_\x20-]?(?:key|token|secret))["']?\x20*(?::|=>?|\x20is\x20|\x20)\x20*(?P<quote>["']?)"""
+    r"""(?(header)(?:(?:bearer|basic|token|api-?key|negotiate|ntlm)[\x20\t]+)?)(?P<value>[^\s"',;<>()]{6,})""", re.I | re.A)
 #: a value that is not quoted and follows a blank only must look like a token
 TOKEN_LIKE = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])", re.A | re.S)
 MIN_LOG10_GUESSES = 8.0
@@ -123,15 +124,17 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def guess_spans(text: str, least: float = MIN_LOG10_GUESSES) -> list[tuple[int, int, str, float]]:
     """(start, end, "guess", log10 guesses) of credential values that cost
     ``least`` or more to guess."""
-    out = []
-    for m in CONTEXT.finditer(text):
-        value = m[2].rstrip(".:!?")
-        blank = not m[1] and text[m.start(2) - 1] == " " and not re.search(r"[:=]|\bis\b", text[m.start():m.start(2)])
-        if len(value) < 6 or blank and not TOKEN_LIKE.match(value):
-            continue
-        cost = log10_guesses(value)
-        if cost >= least:
-            out.append((m.start(2), m.start(2) + len(value), "guess", cost))
+    out, m = [], CONTEXT.search(text)
+    while m:
+        start, value = m.start("value"), m["value"].rstrip(".:!?")
+        blank = not m["quote"] and text[start - 1] == " " and not re.search(r"[:=]|\bis\b", text[m.start():start])
+        right = len(value) >= 6 and (not blank or TOKEN_LIKE.match(value))
+        cost = log10_guesses(value) if right else 0.0
+        secret = right and cost >= least
+        if secret:
+            out.append((start, start + len(value), "guess", cost))
+        # what is no secret may be the context of one ("auth passphrase: ..."); it is short or has no such word but at its end
+        m = CONTEXT.search(text, m.end() if secret else start)
     return out
 
 

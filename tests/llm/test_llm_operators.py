@@ -123,6 +123,19 @@ def test_guess_costs():
     assert credentials.guess_spans("the secret of the thing; pass on") == []
 
 
+def test_context_behind_a_rejected_value():
+    found = lambda t: [t[a:b] for a, b, _, _ in credentials.guess_spans(t)]
+    for token in ("mF_9.B5f-4.1JqM", "dXNlcjpodW50ZXI0Mg==", "xkqzvbWJHPGM"):
+        for scheme in ("Bearer", "Basic", "Token", "bearer ", "Negotiate"):
+            for text in (f"Authorization: {scheme} {token}", f'{{"Authorization": "{scheme} {token}"}}', f"-H 'Proxy-Authorization: {scheme} {token}'"):
+                assert found(text) == [token], text
+    assert found("auth passphrase: x9K!vQ2#mZ7p") == ["x9K!vQ2#mZ7p"]
+    assert found("password: password token: b7db7aa4a5fcc78305") == ["b7db7aa4a5fcc78305"]
+    assert found("token: Bearer mF_9.B5f-4.1JqM and Authorization: Bearer x") == ["mF_9.B5f-4.1JqM"]
+    assert found("Authorization: Bearer") == [] and found("the secret token and the password phrase") == []
+    assert len(found("token=" * 50_000)) == 1 and found("pass " + "a-" * 50_000 + "pwd: ") == []  # linear time
+
+
 def test_cheapest_cut_is_exact():
     """The recurrence against a search over all cuts into the same kinds of spans."""
     def spans(v):
