@@ -24,10 +24,12 @@ MIN_WORDS = 5
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, w, a``: every line, its words and their hash."""
-    one = docs.where(F.col("text").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    one = one.select("doc_id", "line_no", plain_words(F.col("line")).alias("w"))
-    return one.select("doc_id", "line_no", "w", F.xxhash64("w").alias("a"))
+    """``doc_id, th, line_no, w, a``: every line, its words and their hash; a
+    row is named by its doc_id and the hash of its text."""
+    one = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"),
+                                                       F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    one = one.select("doc_id", "th", "line_no", plain_words(F.col("line")).alias("w"))
+    return one.select("doc_id", "th", "line_no", "w", F.xxhash64("w").alias("a"))
 
 
 def _half_keys(n: Column) -> list[Column]:
@@ -43,34 +45,36 @@ def _slot(word: Column, place: Column) -> Column:
 
 
 def near_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, line_no`` of every line to remove: those whose words equal
-    those of an earlier line, or are within one word edit of an earlier one.
+    """``doc_id, th, line_no`` of every line to remove: those whose words equal
+    those of an earlier line, or are within one word edit of an earlier one;
+    ``th`` is the hash of the row's text.
 
-    Earlier means a smaller (doc_id, line number), a null doc_id first. A line
+    Earlier means a smaller (doc_id, th, line number), a null doc_id first. A line
     within one edit of an earlier line goes even if that one goes too. Lines
     of fewer than ``min_words`` words stay and remove nothing.
     """
     n = F.size("w")
     same, less = _half_keys(n), _half_keys(n - 1)
-    seen = _lines(docs).select("doc_id", "line_no", "a", F.xxhash64(F.lit(7), "w").alias("b"), n.alias("n"),
+    seen = _lines(docs).select("doc_id", "th", "line_no", "a", F.xxhash64(F.lit(7), "w").alias("b"), n.alias("n"),
                                same[0].alias("k1"), same[1].alias("k2"), less[0].alias("k3"), less[1].alias("k4"))
-    seen = cut_lineage(seen).where(F.col("n") >= min_words).withColumn("at", F.struct("doc_id", "line_no"))
+    seen = cut_lineage(seen).where(F.col("n") >= min_words)
+    at = F.struct("doc_id", "th", "line_no")
     # lines that share a half with a line of other words; only they can have a neighbour
     halves = seen.select("a", F.explode(F.array("k1", "k2", "k3", "k4")).alias("k"))
     shared = halves.groupBy("k").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("k")
     wanted = halves.join(small(cut_lineage(shared)), "k", "left_semi").select("a").distinct()
     wanted = small(cut_lineage(wanted))
     some = _lines(docs).join(wanted, "a", "left_semi").where(F.size("w") >= min_words)
-    some = some.select(F.struct("doc_id", "line_no").alias("at"), F.xxhash64(F.lit(7), "w").alias("b"), "a", "w")
+    some = some.select(at.alias("at"), F.xxhash64(F.lit(7), "w").alias("b"), "a", "w")
     # the earliest line of each word list; one list has one hash but for chance
     some = some.groupBy("a", "b").agg(F.min(F.struct("at", "w")).alias("x")).select("x.at", "x.w", F.size("x.w").alias("n"))
     some = cut_lineage(some)
     removed = _verified(_candidates(some), some)
     # equal words: 128 bits of hash
-    firsts = seen.groupBy("a", "b").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("copies"))
+    firsts = seen.groupBy("a", "b").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("copies"))
     firsts = firsts.join(removed.select(F.col("at").alias("first"), F.lit(True).alias("near")), "first", "left").where("copies > 1 OR near")
-    both = seen.select("doc_id", "line_no", "at", "a", "b").join(firsts, ["a", "b"])
-    return both.where("near OR at <> first").select("doc_id", "line_no")
+    both = seen.select("doc_id", "th", "line_no", "a", "b").join(firsts, ["a", "b"])
+    return both.where(F.col("near") | (at != F.col("first"))).select("doc_id", "th", "line_no")
 
 
 def _candidates(lines: DataFrame) -> DataFrame:
@@ -116,14 +120,15 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Reads ``doc_id, text``; all other columns pass through. Lines end at
     ``\\n``; those that stay keep their characters and order. A null text stays
-    null with 0 lines; a text that loses every line becomes empty. Rows that
-    repeat a doc_id count as one document and lose the same line numbers; a
-    null doc_id counts as one document too. An empty table gives no rows.
+    null with 0 lines; a text that loses every line becomes empty. Rows are
+    told apart by doc_id and text, a null doc_id like any other; only those that
+    repeat both count as one document and lose the same line numbers. An empty
+    table gives no rows.
     """
-    gone = near_lines(docs, min_words).groupBy(F.col("doc_id").alias("id")).agg(
+    gone = near_lines(docs, min_words).groupBy(F.col("doc_id").alias("id"), "th").agg(
         F.sort_array(F.collect_set("line_no")).alias("gone"))  # lines of one document
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"))  # packed, so that no column's name can clash
-    both = rows.join(gone, F.col("own").eqNullSafe(F.col("id")), "left")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"), F.xxhash64("text").alias("hash"))  # packed, so that no column's name can clash
+    both = rows.join(gone, F.col("own").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("th")), "left")
     both = both.withColumn("lines", F.split("row.text", "\n"))
     touched = F.col("gone").isNotNull() & F.col("lines").isNotNull()
     both = both.withColumn("kept", F.when(touched, F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))))

@@ -490,6 +490,28 @@ def test_line_dedup_matches_brute_force(docs, rows):
     assert linededup.dedupe_lines(docs).count() == len(rows) and linededup.dedupe_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    r = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(12)]
+    line = lambda: " ".join(r.choices(vocabulary, k=r.randint(4, 6)))
+    pool = [line() for _ in range(12)]
+    rows = [(None if i % 3 == 0 else i % 5, "\n".join(r.choice(pool) if r.random() < 0.3 else line() + " " + r.choice("xyz") * 3 + str(i) + " u" + str(j)
+                                                      for j in range(r.randint(1, 5)))) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    th = {x["text"]: x["th"] for x in df.select("text", F.xxhash64("text").alias("th")).collect()}
+    order = lambda x: (x[0] is not None, x[0] or 0, x[1], x[2])
+    lines = sorted({(d, th[t], i, tuple(plain(x))) for d, t in rows for i, x in enumerate(t.split("\n")) if len(plain(x)) >= 5}, key=order)
+
+    def near(a, b):
+        a, b = sorted((a, b), key=len)
+        return sum(x != y for x, y in zip(a, b)) <= 1 if len(a) == len(b) else any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+    gone = {x[:3] for k, x in enumerate(lines) if any(near(x[3], y[3]) for y in lines[:k])}
+    assert {tuple(x) for x in linededup.near_lines(df).select("doc_id", "th", "line_no").collect()} == gone and len(gone) > 10
+    want = [(d, "\n".join(x for i, x in enumerate(t.split("\n")) if (d, th[t], i) not in gone)) for d, t in rows]
+    assert sorted(map(repr, map(tuple, linededup.dedupe_lines(df).select("doc_id", "text").collect()))) == sorted(map(repr, want))
+
+
 # --- 10: toxicity ------------------------------------------------------------
 
 def test_grammar_weighs_clauses():
