@@ -23,9 +23,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier line equals or nearly equals; a
-    document that loses all of its lines goes. ``n_chars`` follows the text."""
-    clean = linededup.dedupe_lines(docs).where("_n_removed = 0 OR text <> ''")
+    """Documents without lines that an earlier line equals or nearly equals, long
+    lines of few words included where they are equal; a document that loses all
+    of its lines goes. ``n_chars`` follows the text."""
+    clean = linededup.dedupe_lines(docs, min_chars=linededup.MIN_CHARS).where("_n_removed = 0 OR text <> ''")
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return clean.select(*docs.columns)

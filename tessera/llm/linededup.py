@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from tessera.llm.text import plain_words, small
 from tessera.session import cut_lineage
 
-#: lines of fewer words are never removed
+#: lines of fewer words are not near to any line
 MIN_WORDS = 5
+#: characters, without blanks, from which on exact copies of a line of fewer words go if they are asked for
+MIN_CHARS = 20
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -44,23 +46,31 @@ def _slot(word: Column, place: Column) -> Column:
     return F.xxhash64(word, place.cast("long"))
 
 
-def near_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def near_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_chars: int | None = None) -> DataFrame:
     """``doc_id, th, line_no`` of every line to remove: those whose words equal
     those of an earlier line, or are within one word edit of an earlier one;
     ``th`` is the hash of the row's text.
 
     Earlier means a smaller (doc_id, th, line number), a null doc_id first. A line
     within one edit of an earlier line goes even if that one goes too. Lines
-    of fewer than ``min_words`` words stay and remove nothing.
+    of fewer than ``min_words`` words stay and remove nothing; with ``min_chars``
+    those of so many characters or more, blanks left out, go as exact copies of
+    an earlier line (a line of an unspaced script is one word).
     """
     n = F.size("w")
     same, less = _half_keys(n), _half_keys(n - 1)
-    seen = _lines(docs).select("doc_id", "th", "line_no", "a", F.xxhash64(F.lit(7), "w").alias("b"), n.alias("n"),
+    chars = F.lit(0) if min_chars is None else F.char_length(F.array_join("w", ""))
+    seen = _lines(docs).select("doc_id", "th", "line_no", "a", F.xxhash64(F.lit(7), "w").alias("b"), n.alias("n"), chars.alias("chars"),
                                same[0].alias("k1"), same[1].alias("k2"), less[0].alias("k3"), less[1].alias("k4"))
-    seen = cut_lineage(seen).where(F.col("n") >= min_words)
+    seen = cut_lineage(seen.drop("chars") if min_chars is None else seen)
+    long = seen.where(F.col("n") >= min_words)
+    if min_chars is None:
+        seen = long
+    else:  # exact copies of lines of few but long words too
+        seen = seen.where((F.col("n") >= min_words) | (F.col("chars") >= min_chars))
     at = F.struct("doc_id", "th", "line_no")
     # lines that share a half with a line of other words; only they can have a neighbour
-    halves = seen.select("a", F.explode(F.array("k1", "k2", "k3", "k4")).alias("k"))
+    halves = long.select("a", F.explode(F.array("k1", "k2", "k3", "k4")).alias("k"))
     shared = halves.groupBy("k").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("k")
     wanted = halves.join(small(cut_lineage(shared)), "k", "left_semi").select("a").distinct()
     wanted = small(cut_lineage(wanted))
@@ -114,7 +124,7 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return both.where(same & tail).select(F.col("late").alias("at")).distinct()
 
 
-def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_chars: int | None = None) -> DataFrame:
     """``docs`` with the lines of :func:`near_lines` cut out of ``text``, and
     ``_n_lines, _n_removed`` (which replace columns of these names).
 
@@ -125,7 +135,7 @@ def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     repeat both count as one document and lose the same line numbers. An empty
     table gives no rows.
     """
-    gone = near_lines(docs, min_words).groupBy(F.col("doc_id").alias("id"), "th").agg(
+    gone = near_lines(docs, min_words, min_chars).groupBy(F.col("doc_id").alias("id"), "th").agg(
         F.sort_array(F.collect_set("line_no")).alias("gone"))  # lines of one document
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own"), F.xxhash64("text").alias("hash"))  # packed, so that no column's name can clash
     both = rows.join(gone, F.col("own").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("th")), "left")

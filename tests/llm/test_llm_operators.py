@@ -512,6 +512,17 @@ def test_line_dedup_tells_rows_of_one_id_apart(spark):
     assert sorted(map(repr, map(tuple, linededup.dedupe_lines(df).select("doc_id", "text").collect()))) == sorted(map(repr, want))
 
 
+def test_long_lines_of_few_words(spark):
+    import corpus_pipeline
+
+    chinese, link, brief = "本网站内容版权归原作者所有未经许可不得转载违者必究", "https://example.org/a/very/long/path?x=1", "read more"
+    rows = [(i, f"own line {i}\n{chinese}\n{link}  ok\n{brief}\n{' ' * 30}", "xx", "s", 1) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, df, "").collect()}
+    assert got == {i: t if i == 0 else f"own line {i}\n{brief}\n{' ' * 30}" for i, t, *_ in rows}
+    assert linededup.near_lines(df).count() == 0  # the floor of op9_line_dedup's SQL
+
+
 # --- 10: toxicity ------------------------------------------------------------
 
 def test_grammar_weighs_clauses():
