@@ -118,11 +118,12 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, similarity: float = SIMILAR
     gives no rows.
     """
     bands, rows = choose_bands(similarity, recall, max_hashes)
-    sig = cut_lineage(map_texts(docs, _signatures(bands, rows, n), ["doc_id"], "text", "cls binary, bands array<long>"))
+    docs = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
+    sig = cut_lineage(map_texts(docs, _signatures(bands, rows, n), ["doc_id", "th"], "text", "cls binary, bands array<long>"))
     # a class is all texts with the same words
     classes = sig.groupBy("cls").agg(F.min("doc_id").alias("copy_of"), F.count(F.lit(1)).alias("n"),
-                                     F.min(F.struct("doc_id", "bands")).alias("r"))
-    classes = cut_lineage(classes.select("cls", "copy_of", "n", F.col("r.bands").alias("bands")))
+                                     F.min(F.struct("doc_id", "th", "bands")).alias("r"))
+    classes = cut_lineage(classes.select("cls", "copy_of", "n", F.struct("r.doc_id", "r.th").alias("first"), F.col("r.bands").alias("bands")))
     # nodes of the candidate graph are 8 bytes of the class key: a collision would only widen a component
     node = F.xxhash64("cls")
     banded = classes.select(node.alias("k"), F.explode("bands").alias("h"))
@@ -130,7 +131,7 @@ def jaccard_classes(docs: DataFrame, n: int = NGRAM, similarity: float = SIMILAR
     components = connected_components(banded.join(shared, "h").select("k", "head"))
     roots = components.select("root").distinct().withColumn("node", F.col("root"))
     members = components.unionByName(roots)
-    near = classes.select("cls", "copy_of", "n", node.alias("node")).join(members, "node").drop("node")
+    near = classes.select("cls", "first", "n", node.alias("node")).join(members, "node").drop("node")
     near = cut_lineage(near)  # candidates only
     links = cut_lineage(verify(near, docs, n, similarity))
     degrees = links.groupBy("cls").agg(F.sum("linked").alias("linked"))
@@ -146,16 +147,18 @@ def verify(near: DataFrame, docs: DataFrame, n: int, similarity: float) -> DataF
     """``cls, linked, head`` rows: documents of other texts linked to ``cls``
     in one block, and a class of the block that it is chained to.
 
-    ``near`` has ``cls, copy_of, n, root`` of the candidates. Sets can
+    ``near`` has ``cls, first, n, root`` of the candidates, ``first`` with the
+    doc_id and the hash of the text of one row of the class; ``docs`` has
+    ``doc_id, th, text``. Sets can
     only be similar if one size is at least ``similarity`` of the other, so
     sizes are cut into levels of that ratio, and only equal and adjacent
     levels of a component meet. A level with many texts is cut into blocks by
     hash, and each pair of blocks is compared in one place.
     """
-    ids = near.select(F.col("copy_of").alias("_id"), F.col("cls").alias("_cls"))
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")))
+    ids = near.select(F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th"), F.col("cls").alias("_cls"))
+    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
     sets = map_texts(texts, _window_sets(n), ["_cls"], "text", "cls binary, windows binary, n_distinct int")
-    # a repeated doc_id brings other texts along; equal texts give equal sets
+    # repeated rows come along; equal texts give equal sets
     sets = sets.where("_cls = cls").select("cls", "windows", "n_distinct").dropDuplicates(["cls"])
     level = F.floor(F.log(F.col("n_distinct").cast("double")) / F.lit(-math.log(similarity))).cast("int")
     sets = cut_lineage(sets.join(near.select("cls", "n", "root"), "cls").withColumn("level", level))

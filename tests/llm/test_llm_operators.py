@@ -308,6 +308,22 @@ def test_rows_of_one_id_are_told_apart(spark):
     assert [t for t in got if t[1]] == sorted([(1, a, "x"), (1, b, "x"), (None, "only one", "z")], key=str) and empty == [(2, "", "e")]
 
 
+def test_null_ids_fetch_their_own_texts(spark, monkeypatch):
+    """Candidates without a doc_id, or of one, meet no other rows' texts."""
+    words = [f"w{i}" for i in range(100)]
+    rows = [(None if i % 2 else 7, " ".join(words[:i] + ["changed"] + words[i + 1:])) for i in range(0, 90, 3)]
+    df, fetched, plain_map = spark.createDataFrame(rows + rows[:1], "doc_id long, text string"), [], jaccard.map_texts
+
+    def spy(frame, fn, keys, *more):
+        if keys == ["_cls"]:
+            fetched.append(frame.count())
+        return plain_map(frame, fn, keys, *more)
+
+    monkeypatch.setattr(jaccard, "map_texts", spy)
+    got = jaccard.jaccard_classes(df).collect()
+    assert fetched == [len(rows) + 1] and len(got) == len(rows) + 1 and {(r["class_id"], r["n_links"]) for r in got} == {(7, len(rows))}
+
+
 def test_bands_reach_the_target():
     bands, k = jaccard.choose_bands()
     assert 1 - (1 - 0.8 ** k) ** bands >= jaccard.TARGET_RECALL and bands * k <= jaccard.MAX_HASHES
