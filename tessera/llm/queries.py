@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, credentials, decontam, jaccard, linededup, mixing, pii, quality, toxicity, warc
+from tessera.llm import chat, convrepair, credentials, decontam, jaccard, lexical, linededup, mixing, pii, quality, topk, toxicity, warc
 from tessera.llm.text import read
 from tessera.session import ensure_checkpoint_dir
 
@@ -146,3 +146,37 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op11_ranked_search", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {FOLDED.format("text")} AS words FROM documents),
+n AS (SELECT doc_id, r, len(words) AS n, words FROM d WHERE len(words) > 0),
+a AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM n) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, a GROUP BY term, docs),
+q AS (SELECT DISTINCT item_id, unnest({FOLDED.format("text")}) AS term FROM benchmark),
+s AS (SELECT q.item_id, n.r, n.doc_id, CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (10 + (90 * n.n * a.docs) // a.total)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN n ON n.r = tf.r, a GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+""")
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op12_exact_topk", """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, CAST(list_inner_product(q.v, e.v) AS BIGINT) AS score
+  FROM e AS q JOIN e ON q.vec_id IS DISTINCT FROM e.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+""")
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.exact_topk(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convrepair.repair_report(read(spark, sf_dir, "conversations"))
