@@ -59,6 +59,10 @@ def lit_family(v: Any) -> str:
 # --------------------------------------------------------------------------
 
 
+# fixed values: characters that a number's text may be surrounded by
+JS_SPACE = " \t\n\x0b\x0c\r\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def js_number_literal(v: Any) -> float:
     """``Number(v)`` for a config value; NaN is returned as ``math.nan``."""
     if v is None:
@@ -68,17 +72,17 @@ def js_number_literal(v: Any) -> float:
     if isinstance(v, (int, float)):
         return float(v)
     if isinstance(v, str):
-        s = v.strip()
+        s = v.strip(JS_SPACE)
         if s == "":
             return 0.0
         try:
-            if re.fullmatch(r"[+-]?0[xX][0-9a-fA-F]+", s):
-                return float(int(s, 16))
+            if re.fullmatch(r"0([xX][0-9a-fA-F]+|[oO][0-7]+|[bB][01]+)", s):
+                return float(int(s, 0)) if int(s, 0) < 1 << 1024 else math.inf
             if s in ("Infinity", "+Infinity"):
                 return math.inf
             if s == "-Infinity":
                 return -math.inf
-            if re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", s):
+            if re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?", s):
                 return float(s)
         except ValueError:
             pass
@@ -112,6 +116,21 @@ def js_string_literal(v: Any) -> str:
 # --------------------------------------------------------------------------
 
 
+_DIGITS = {4: "0-9a-fA-F", 3: "0-7", 1: "01"}
+
+
+def _binary_base(t: Column, prefix: str, bits: int) -> Column:
+    """Value of ``0x`` / ``0o`` / ``0b`` digits of any number as the nearest
+    double; null for other texts. The first 60 bits are taken as a long whose
+    last bit also stands for any bit set behind them, which rounds right."""
+    digits = F.regexp_replace(F.substring(t, 3, 1 << 30), "^0+", "")
+    take = 60 // bits
+    head = F.conv(F.substring(digits, 1, take), 1 << bits, 10).cast("long")
+    more = F.substring(digits, take + 1, 1 << 30).rlike("[^0]") & (head % 2 == 0)
+    value = (head + F.when(more, 1).otherwise(0)).cast("double") * F.pow(F.lit(2.0), bits * F.greatest(F.length(digits) - take, F.lit(0)))
+    return F.when(t.rlike(rf"^0[{prefix}][{_DIGITS[bits]}]+$"), F.when(digits == "", F.lit(0.0)).otherwise(value))
+
+
 def js_number(c: Column, dtype: T.DataType) -> Column:
     """``Number(c)`` as a double column; null where JS gives NaN or the value is missing."""
     fam = family(dtype)
@@ -121,10 +140,10 @@ def js_number(c: Column, dtype: T.DataType) -> Column:
     if fam == "boolean":
         return F.when(c, F.lit(1.0)).when(~c, F.lit(0.0))
     if fam == "string":
-        t = F.trim(c)
+        t = F.trim(c, F.lit(JS_SPACE))
         number = F.when(t.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), t.try_cast("double"))
-        for prefix, base in (("xX", 16), ("oO", 8), ("bB", 2)):  # 0x10, 0o7, 0b1
-            number = F.coalesce(number, F.when(t.rlike(rf"^0[{prefix}][0-9a-fA-F]+$"), F.conv(F.substring(t, 3, 64), base, 10).try_cast("double")))
+        for digits, bits in (("xX", 4), ("oO", 3), ("bB", 1)):  # 0x1f, 0o17, 0b11
+            number = F.coalesce(number, _binary_base(t, digits, bits))
         number = F.coalesce(number, F.when(t.isin("Infinity", "+Infinity", "-Infinity"), t.try_cast("double")))
         return F.when(t == "", F.lit(0.0)).otherwise(number)
     if fam == "date":
