@@ -27,6 +27,11 @@ from tessera.sources import files as S
 # --------------------------------------------------------------- X1 ingest
 
 
+#: chunks of ingested documents; a stored table replaces them by ``document_id``
+CHUNK_SCHEMA = ("id string, document_id string, chunk_no int, text string, embedding array<float>, "
+                "bucket string, collection string, metadata map<string,string>")
+
+
 def rag_ingest(docs: DataFrame, collection: str, size: int = 512, overlap: int = 50, dims: int = 256,
                id_col: str = "doc_id", text: str = "text", html: bool = False,
                metadata: dict[str, Any] | None = None) -> DataFrame:

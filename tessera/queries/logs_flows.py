@@ -26,6 +26,7 @@ from tessera.queries import docs_search as D
 from tessera.queries import query
 from tessera.session import Tables
 from tessera.sources import files as S
+from tessera.sources.versioned import VersionedTable
 from tessera.streaming import streams as ST
 
 # ------------------------------------------------------------- usage bodies
@@ -634,15 +635,28 @@ def switch_flow(spark, d):
     return X.switch_flow(li, _SW_RULES, fns).select("l_orderkey", "l_linenumber", "output", "action")
 
 
-@query("rag_ingest", """
+#: chunks of documents of which every tenth was stored again, shorter
+_REINGEST_SQL = """
+v AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN substr(text, 1, 300) ELSE text END AS text FROM documents),
+c AS (SELECT doc_id, s, text FROM (SELECT doc_id, text, unnest(generate_series(0, greatest(length(text) - 50 - 1, 0), 462)) AS s FROM v))"""
+
+
+def _shorter(docs):
+    return docs.filter(F.col("doc_id") % 10 == 0).withColumn("text", F.substring("text", 1, 300))
+
+
+@query("rag_ingest", f"""
+WITH {_REINGEST_SQL}
 SELECT doc_id || ':' || CAST(s / 462 AS INTEGER) AS id, CAST(doc_id AS VARCHAR) AS document_id, CAST(s / 462 AS INTEGER) AS chunk_no,
-  'default' AS bucket, 'main' AS collection, 64 AS dims
-FROM (SELECT doc_id, unnest(generate_series(0, greatest(length(text) - 50 - 1, 0), 462)) AS s FROM documents)
+  md5(substr(text, s + 1, 512)) AS text_md5, 'default' AS bucket, 'main' AS collection, 'docs' AS team, 64 AS dims FROM c
 """)
 def rag_ingest(spark, d):
     docs = Tables(spark, d).documents
-    return X.rag_ingest(docs, "main", 512, 50, 64, metadata={"team": "docs"}).select(
-        "id", "document_id", "chunk_no", "bucket", "collection", F.size("embedding").alias("dims"))
+    t = VersionedTable.create(spark, ST.scratch_path(spark, "chunks"), X.CHUNK_SCHEMA, "document_id")
+    for part in (docs, _shorter(docs)):
+        t.upsert(X.rag_ingest(part, "main", 512, 50, 64, metadata={"team": "docs"}))
+    return t.read().select("id", "document_id", "chunk_no", F.md5("text").alias("text_md5"), "bucket", "collection",
+                           F.col("metadata")["team"].alias("team"), F.size("embedding").alias("dims"))
 
 
 @query("rag_context", None)
@@ -751,23 +765,40 @@ def validate_metadata(spark, d):
     return v.select("doc_id", F.array_join("errors", ",").alias("errors"), "valid")
 
 
-@query("upsert_vectors", """
-SELECT vec_id, CASE WHEN label = 0 THEN 2 ELSE 1 END AS version, label FROM embeddings
+#: the whole vector as text: components in ten-thousandths
+_VECTOR_SQL = "array_to_string(list_transform({0}, lambda x: CAST(floor(CAST(x AS DOUBLE) * 10000) AS BIGINT)), ',')"
+
+
+def _vector_text(c):
+    return F.array_join(F.transform(c, lambda x: F.floor(x.cast("double") * 10000).cast("string")), ",")
+
+
+def _vector_table(spark, rows):
+    t = VersionedTable.create(spark, ST.scratch_path(spark, "vectors"), "vec_id long, embedding array<float>, label int, version int", "vec_id")
+    t.append(rows)
+    return t
+
+
+@query("upsert_vectors", f"""
+SELECT vec_id, CASE WHEN label = 0 THEN 2 ELSE 1 END AS version, label,
+  {_VECTOR_SQL.format("CASE WHEN label = 0 THEN list_reverse(embedding) ELSE embedding END")} AS vector FROM embeddings
 """)
 def upsert_vectors(spark, d):
     e = Tables(spark, d).embeddings
-    target = e.select("vec_id", "embedding", "label", F.lit(1).alias("version"))
+    t = _vector_table(spark, e.select("vec_id", "embedding", "label", F.lit(1).alias("version")))
     updates = e.filter(F.col("label") == 0).select("vec_id", F.reverse("embedding").alias("embedding"), "label",
                                                    F.lit(2).alias("version"))
-    stale = e.filter(F.col("label") == 1).select("vec_id", "embedding", "label", F.lit(0).alias("version"))
-    u = S.upsert(target, updates.unionByName(stale), "vec_id", version_col="version")
-    return u.select("vec_id", "version", "label")
+    stale = e.filter(F.col("label") == 1).select("vec_id", F.reverse("embedding").alias("embedding"), "label", F.lit(0).alias("version"))
+    t.upsert(updates.unionByName(stale), version_col="version")
+    return t.read().select("vec_id", "version", "label", _vector_text("embedding").alias("vector"))
 
 
-@query("delete_vectors", "SELECT vec_id FROM embeddings WHERE label <> 9")
+@query("delete_vectors", f"SELECT vec_id, {_VECTOR_SQL.format('embedding')} AS vector FROM embeddings WHERE label <> 9")
 def delete_vectors(spark, d):
     e = Tables(spark, d).embeddings
-    return S.delete_by_key(e, e.filter(F.col("label") == 9).select(F.col("vec_id")), "vec_id").select("vec_id")
+    t = _vector_table(spark, e.withColumn("version", F.lit(1)))
+    t.delete(e.filter(F.col("label") == 9).select("vec_id"))
+    return t.read().select("vec_id", _vector_text("embedding").alias("vector"))
 
 
 @query("vector_import", """
@@ -880,17 +911,20 @@ def stream_run_logs(spark, d):
     return ST.run_available(ST.stream_run_rollup(logs), "runlogs", keys=["run_id", "block_id"], mode="update")
 
 
-@query("stream_ingest", """
+@query("stream_ingest", f"""
+WITH {_REINGEST_SQL}
 SELECT CAST(doc_id AS VARCHAR) || ':' || CAST(CAST(s / 462 AS INTEGER) AS VARCHAR) AS id, CAST(doc_id AS VARCHAR) AS document_id,
-  CAST(s / 462 AS INTEGER) AS chunk_no, 'default' AS collection
-FROM (SELECT doc_id, unnest(generate_series(0, greatest(length(text) - 50 - 1, 0), 462)) AS s FROM documents)
+  CAST(s / 462 AS INTEGER) AS chunk_no, md5(substr(text, s + 1, 512)) AS text_md5, 'default' AS collection FROM c
 """)
 def stream_ingest(spark, d):
-    schema = Tables(spark, d).documents.schema
-    s = spark.readStream.schema(schema).parquet(f"{d}/documents.parque[t]")
-    target = ST.scratch_path(spark, "chunks")
+    docs = Tables(spark, d).documents
+    s = spark.readStream.schema(docs.schema).parquet(f"{d}/documents.parque[t]")
+    target, landing = ST.scratch_path(spark, "chunks"), ST.scratch_path(spark, "landing")
     ST.start_ingest(s.select("doc_id", "text"), target, ST.scratch_path(spark, "ingest-ckpt"), dims=64)
-    return ST.latest(spark, target, ["id"]).select("id", "document_id", "chunk_no", "collection")
+    _shorter(docs).select("doc_id", "text").write.json(landing)  # later versions land; another stream takes them into the same table
+    later = ST.landing_stream(spark, landing, "doc_id long, text string")
+    t = ST.start_ingest(later, target, ST.scratch_path(spark, "ingest-ckpt"), dims=64)
+    return t.read().select("id", "document_id", "chunk_no", F.md5("text").alias("text_md5"), "collection")
 
 
 @query("scheduled_batch", "SELECT event_id, event_type, value FROM events WHERE value > 45")
@@ -957,14 +991,13 @@ def feed_poll(spark, d):
     return ST.run_available(ST.stream_dedupe(entries, "entry_id", "published", "40 days"), "feed").select("entry_id")
 
 
-@query("ingest_bridge", "SELECT CAST(vec_id AS VARCHAR) AS id, label, 'vectors' AS collection FROM embeddings")
+@query("ingest_bridge", f"SELECT CAST(vec_id AS VARCHAR) AS id, label, {_VECTOR_SQL.format('embedding')} AS vector, 'vectors' AS collection FROM embeddings")
 def ingest_bridge(spark, d):
     emb = Tables(spark, d).embeddings
     s = spark.readStream.schema(emb.schema).parquet(f"{d}/embeddings.parque[t]")
-    target = ST.scratch_path(spark, "bridge")
-    ST.bridge_to_collection(s.select(F.col("vec_id").cast("string").alias("id"), "label", "embedding"), target,
-                            ST.scratch_path(spark, "bridge-ckpt"), key="id", collection="vectors")
-    return ST.latest(spark, target, ["id"]).select("id", "label", "collection")
+    t = ST.bridge_to_collection(s.select(F.col("vec_id").cast("string").alias("id"), "label", "embedding"), ST.scratch_path(spark, "bridge"),
+                                ST.scratch_path(spark, "bridge-ckpt"), key="id", collection="vectors")
+    return t.read().select("id", "label", _vector_text("embedding").alias("vector"), "collection")
 
 
 def _register_export():

@@ -25,6 +25,7 @@ from tessera.operators import filters as FL
 from tessera.operators import logs as LG
 from tessera.operators import routing as R
 from tessera.session import ensure_checkpoint_dir
+from tessera.sources.versioned import VersionedTable
 
 # ------------------------------------------------------------------ sources
 
@@ -225,28 +226,43 @@ def stream_run_rollup(stream: DataFrame) -> DataFrame:
                                                     n("timeout"), F.sum("duration_ms").cast("long").alias("total_ms"))
 
 
-def start_ingest(stream: DataFrame, target: str, checkpoint: str, size: int = 512, overlap: int = 50,
-                 dims: int = 256, collection: str = "default", trigger_available_now: bool = True) -> None:
-    """files -> chunk -> embed -> stored in the chunk table, per micro-batch.
-    Re-ingested documents win at read time (:func:`latest` on ``id``)."""
-    from tessera.plans.flows import rag_ingest
-
+def _upsert_batches(stream: DataFrame, table: VersionedTable, checkpoint: str, prepare: Callable[[DataFrame], DataFrame], trigger_available_now: bool) -> None:
+    """Every micro-batch replaces its documents in the table; a batch repeated
+    after a failure is known by its number and changes nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(rag_ingest(batch, collection, size, overlap, dims), batch_id, target)
+        if not batch.isEmpty():
+            table.upsert(prepare(batch), writer=(checkpoint, batch_id))
 
     w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     q = w.trigger(availableNow=True).start() if trigger_available_now else w.start()
     q.awaitTermination()
 
 
+def _newest(batch: DataFrame, key: str, order_col: str | None) -> DataFrame:
+    """One row per key of a micro-batch: the highest by ``order_col``, else by all columns."""
+    cols = [order_col] if order_col else []
+    cols += [f.name for f in batch.schema.fields if not isinstance(f.dataType, T.MapType) and f.name != order_col]
+    row = F.struct(*[F.col(f"`{c}`") for c in batch.columns])
+    return batch.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, F.struct(*[F.col(f"`{c}`") for c in cols])).alias("_r")).select("_r.*")
+
+
+def start_ingest(stream: DataFrame, target: str, checkpoint: str, size: int = 512, overlap: int = 50,
+                 dims: int = 256, collection: str = "default", trigger_available_now: bool = True, order_col: str | None = None) -> VersionedTable:
+    """files -> chunk -> embed -> chunk table, per micro-batch. A document that
+    comes again replaces all of its chunks, so a shorter version leaves none of
+    the old ones; twice in one batch, the newest by ``order_col`` counts."""
+    from tessera.plans.flows import CHUNK_SCHEMA, rag_ingest
+
+    table = VersionedTable.open(stream.sparkSession, target, CHUNK_SCHEMA, "document_id")
+    _upsert_batches(stream, table, checkpoint, lambda batch: rag_ingest(_newest(batch, "doc_id", order_col), collection, size, overlap, dims), trigger_available_now)
+    return table
+
+
 def bridge_to_collection(stream: DataFrame, target: str, checkpoint: str, key: str = "id",
-                         collection: str = "default", trigger_available_now: bool = True) -> None:
+                         collection: str = "default", trigger_available_now: bool = True, order_col: str | None = None) -> VersionedTable:
     """Carry incoming items into a collection table: each micro-batch is
-    stamped with the collection and stored under its batch id; readers take
-    the newest row per key (:func:`latest`), which is the upsert."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.withColumn("collection", F.lit(collection)), batch_id, target)
-
-    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
-    q = w.trigger(availableNow=True).start() if trigger_available_now else w.start()
-    q.awaitTermination()
+    stamped with the collection and replaces the rows that share its keys."""
+    schema = T.StructType([*stream.schema.fields, T.StructField("collection", T.StringType())])
+    table = VersionedTable.open(stream.sparkSession, target, schema, key)
+    _upsert_batches(stream, table, checkpoint, lambda batch: _newest(batch, key, order_col).withColumn("collection", F.lit(collection)), trigger_available_now)
+    return table
