@@ -182,9 +182,9 @@ class VersionedTable:
         m = self.manifest(version)
         return self._rows(m, m["entries"])
 
-    def lookup(self, keys: DataFrame) -> DataFrame:
+    def lookup(self, keys: DataFrame, version: int | None = None) -> DataFrame:
         """Rows of the documents named by ``keys`` (the ``by`` columns); only their buckets are read."""
-        m = self.manifest()
+        m = self.manifest(version)
         wanted = keys.select(*m["by"]).distinct()
         buckets = [str(r[0]) for r in wanted.select(self._bucket_of(m)).distinct().collect()]  # at most a row per bucket
         k = wanted.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(m["by"])])
@@ -205,9 +205,13 @@ class VersionedTable:
         cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
         return rows.select(*cols, F.lit(m["version"] + 1).cast("long").alias(SEQ)).withColumn(BUCKET, self._bucket_of(m))
 
-    def append(self, rows: DataFrame, writer: tuple[str, int] | None = None) -> dict:
+    def _base(self, base: int | None) -> dict:
+        """The manifest that a commit builds on: the current one, or an older one (versions in between are left out)."""
+        return self.manifest() if base is None else self.manifest(base) | {"version": self.version}
+
+    def append(self, rows: DataFrame, writer: tuple[str, int] | None = None, base: int | None = None) -> dict:
         """Adds rows; nothing is rewritten and no document replaced."""
-        m = self.manifest()
+        m = self._base(base)
         if done := self._done(m, writer):
             return done
         name = f"data/{uuid.uuid4().hex}"
@@ -254,9 +258,9 @@ class VersionedTable:
             e["data"] = [*e["data"], f"data/{name}-new/{BUCKET}={b}"]
         return self._commit(m, entries, {"kind": "upsert", "added": added, "rewritten": rewritten}, writer)
 
-    def delete(self, keys: DataFrame, writer: tuple[str, int] | None = None) -> dict:
+    def delete(self, keys: DataFrame, writer: tuple[str, int] | None = None, base: int | None = None) -> dict:
         """Hides the documents named by ``keys``; no row is rewritten."""
-        m = self.manifest()
+        m = self._base(base)
         if done := self._done(m, writer):
             return done
         name = f"deletes/{uuid.uuid4().hex}"
