@@ -104,15 +104,18 @@ class VersionedTable:
             raise FileNotFoundError(f"no table at {path}")
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str, schema: T.StructType | str, by: str | Sequence[str], buckets: int = 64) -> VersionedTable:
-        """An empty table with the columns of ``schema`` (a struct, or DDL)."""
+    def create(cls, spark: SparkSession, path: str, schema: T.StructType | str, by: str | Sequence[str], buckets: int = 64,
+               place: Sequence[str] | None = None) -> VersionedTable:
+        """An empty table with the columns of ``schema`` (a struct, or DDL). Buckets
+        go by the columns ``place``, some of ``by``; by default by all of them."""
         schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         by = [by] if isinstance(by, str) else list(by)
-        missing = [c for c in by if c not in schema.fieldNames()]
+        place = list(place or by)
+        missing = [c for c in by if c not in schema.fieldNames()] + [c for c in place if c not in by]
         if missing or {BUCKET, SEQ} & set(schema.fieldNames()) or buckets < 1:
             raise ValueError(f"key columns {by}, {buckets} buckets and columns {schema.fieldNames()} make no table")
         Folder(spark, path).create(_manifest_name(0), json.dumps(
-            {"version": 0, "schema": schema.json(), "by": by, "buckets": buckets, "entries": {}, "writers": {}, "commit": {"kind": "create"}}))
+            {"version": 0, "schema": schema.json(), "by": by, "place": place, "buckets": buckets, "entries": {}, "writers": {}, "commit": {"kind": "create"}}))
         return cls(spark, path)
 
     @classmethod
@@ -155,7 +158,7 @@ class VersionedTable:
     # ------------------------------------------------------------- reading
 
     def _bucket_of(self, m: dict) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(c) for c in m["by"]]), F.lit(m["buckets"])).cast("int")
+        return F.pmod(F.xxhash64(*[F.col(c) for c in m["place"]]), F.lit(m["buckets"])).cast("int")
 
     def _rows(self, m: dict, buckets: Iterable[str], keep_seq: bool = False) -> DataFrame:
         schema = T.StructType([*T.StructType.fromJson(json.loads(m["schema"])).fields, T.StructField(SEQ, T.LongType())])
@@ -183,12 +186,13 @@ class VersionedTable:
         return self._rows(m, m["entries"])
 
     def lookup(self, keys: DataFrame, version: int | None = None) -> DataFrame:
-        """Rows of the documents named by ``keys`` (the ``by`` columns); only their buckets are read."""
+        """Rows of the documents named by ``keys`` (the ``by`` columns, or those of ``place``); only their buckets are read."""
         m = self.manifest(version)
-        wanted = keys.select(*m["by"]).distinct()
+        named = m["by"] if set(m["by"]) <= set(keys.columns) else m["place"]
+        wanted = keys.select(*named).distinct()
         buckets = [str(r[0]) for r in wanted.select(self._bucket_of(m)).distinct().collect()]  # at most a row per bucket
-        k = wanted.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(m["by"])])
-        return self._rows(m, buckets).join(k, _same(m["by"], k.columns), "left_semi")
+        k = wanted.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(named)])
+        return self._rows(m, buckets).join(k, _same(named, k.columns), "left_semi")
 
     # ------------------------------------------------------------- writing
 
