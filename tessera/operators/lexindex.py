@@ -59,7 +59,7 @@ class LexicalIndex:
         self._docs, self._postings, self._cells, self._dead = (VersionedTable(spark, f"{self.path}/{n}") for n in ("docs", "postings", "cells", "dead"))
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str, id_type: str = "long", buckets: int = 64) -> LexicalIndex:
+    def create(cls, spark: SparkSession, path: str, id_type: str = "long", buckets: int = 16) -> LexicalIndex:
         path = path.rstrip("/")
         VersionedTable.create(spark, f"{path}/docs", f"id {id_type}, doc_no long, collection string, dl long", "id", buckets)
         VersionedTable.create(spark, f"{path}/postings", "term string, collection string, cell long, n int, top_tf array<int>, "

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pandas as pd
@@ -24,6 +25,10 @@ from pyspark.sql import types as T
 
 from tessera.operators.vectors import SCORE_CELLS, Best, _hit_schema, _keep_best, block_topk, cosine, embed, query_blocks, word_tokens
 
+if TYPE_CHECKING:
+    from tessera.operators.lexindex import LexicalIndex
+    from tessera.operators.vecindex import VectorIndex
+
 BM25_K1 = 1.2
 BM25_B = 0.75
 RRF_K = 60
@@ -176,15 +181,25 @@ def rrf(*ranked: DataFrame, k: int = 10, c: int = RRF_K) -> DataFrame:
     return g.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def hybrid_search(queries: DataFrame, corpus: DataFrame, k: int = 10, depth: int | None = None,
+def hybrid_search(queries: DataFrame, corpus: DataFrame | None, k: int = 10, depth: int | None = None,
                   qid_col: str = "query_id", qtext: str = "text", id_col: str = "doc_id",
-                  text: str = "text", dims: int = 256) -> DataFrame:
+                  text: str = "text", dims: int = 256, index: LexicalIndex | None = None, vectors: VectorIndex | None = None,
+                  probes: int | None = None) -> DataFrame:
     """BM25 and vector top-``depth`` lists fused by reciprocal rank; keep k.
     ``rank_0`` is the lexical rank, ``rank_1`` the vector rank (null when
-    the document was not in that list)."""
+    the document was not in that list).
+
+    A stored ``index`` of the corpus, and stored ``vectors`` of its texts'
+    embeddings, take the place of tokenizing and embedding it; with both the
+    corpus itself is not read."""
     depth = depth or k
-    lex = bm25_search(queries, corpus, depth, qid_col, qtext, id_col, text)
-    vec = dense_search(queries, corpus, depth, qid_col, qtext, id_col, text, dims)
+    lex = index.search(queries, depth, qid_col, qtext) if index else bm25_search(queries, corpus, depth, qid_col, qtext, id_col, text)
+    if vectors:
+        q = embed(queries.select(F.col(qid_col).alias("query_id"), F.col(qtext).alias("text")), "text", dims, id_col="query_id")
+        # a text without words has no direction: it is near to nothing
+        vec = vectors.search(q.where(F.exists("embedding", lambda x: x != 0)), depth, probes=probes)
+    else:
+        vec = dense_search(queries, corpus, depth, qid_col, qtext, id_col, text, dims)
     return rrf(lex, vec, k=k)
 
 
@@ -206,14 +221,17 @@ def restrict(corpus: DataFrame, grants: DataFrame, user: str | None = None,
     for one of the roles, with permission ``search`` (semi join)."""
     from tessera.operators.joins import bounded_broadcast
 
+    return corpus.join(bounded_broadcast(granted(grants, user, roles, collection_col)), on=collection_col, how="left_semi")
+
+
+def granted(grants: DataFrame, user: str | None = None, roles: Sequence[str] = (), collection_col: str = "collection") -> DataFrame:
+    """Collections that the caller may search, one row each."""
     cond = F.lit(False)
     if user is not None:
         cond = cond | ((F.col("subject_type") == "user") & (F.col("subject_id") == user))
     if roles:
         cond = cond | ((F.col("subject_type") == "role") & F.col("subject_id").isin(list(roles)))
-    allowed = grants.filter(cond & (F.col("permission") == "search")).select(
-        F.col("collection_id").alias(collection_col)).distinct()
-    return corpus.join(bounded_broadcast(allowed), on=collection_col, how="left_semi")
+    return grants.filter(cond & (F.col("permission") == "search")).select(F.col("collection_id").alias(collection_col)).distinct()
 
 
 def pack_context(hits: DataFrame, budget: int = 2000, text_col: str = "text", rank_col: str = "rank",

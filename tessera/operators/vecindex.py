@@ -58,11 +58,11 @@ class VectorIndex:
 
     @classmethod
     def create(cls, spark: SparkSession, path: str, sample_of: DataFrame, id_col: str = "id", vec_col: str = "embedding", recall: float = 0.95,
-               k: int = 10, lists: int | None = None, buckets: int = 256, seed: int = 7) -> VectorIndex:
+               k: int = 10, lists: int | None = None, buckets: int | None = None, seed: int = 7) -> VectorIndex:
         """An empty index for vectors of the commonest length, with centres fitted
         on ``ANN_SAMPLE_ROWS`` rows of ``sample_of`` by hash of the id. About sqrt(rows) lists, ``ANN_MAX_LISTS``
         at most; the lists that a query opens reach ``recall`` of its ``k`` best
-        on ``ANN_TRIAL_ROWS`` of the sample."""
+        on ``ANN_TRIAL_ROWS`` of the sample. By default about 8 lists share a bucket."""
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.functions import array_to_vector
 
@@ -80,6 +80,7 @@ class VectorIndex:
         probes = _lists_to_open(trial, centres, k, recall)
         spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "list int, centre array<double>").write.parquet(f"{path}/centres")
         id_type = sample_of.schema[id_col].dataType.simpleString()
+        buckets = buckets or max(1, n // 8)
         VersionedTable.create(spark, f"{path}/lists", f"list int, id {id_type}, codes binary, step float, vector array<float>", ["list", "id"], buckets, ["list"])
         VersionedTable.create(spark, f"{path}/ids", f"id {id_type}, list int", "id", buckets)
         Folder(spark, path).create("_manifest/000000000000.json", json.dumps(

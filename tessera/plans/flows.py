@@ -17,6 +17,8 @@ from tessera.functions.scalars import token_estimate
 from tessera.operators import aggregates as A
 from tessera.operators import filters as FL
 from tessera.operators import joins as J
+from tessera.operators.lexindex import LexicalIndex
+from tessera.operators.vecindex import VectorIndex
 from tessera.operators import retrieval as RT
 from tessera.operators import routing as R
 from tessera.operators import shaping as P
@@ -51,9 +53,11 @@ def rag_ingest(docs: DataFrame, collection: str, size: int = 512, overlap: int =
 
 
 def rag_context(queries: DataFrame, corpus: DataFrame, k: int = 5, template: str = "{{context}}\n\nQ: {{query}}",
-                depth: int = 20, qid_col: str = "query_id", qtext: str = "text") -> DataFrame:
-    """search (hybrid) -> rerank -> prompt template; everything before the LLM."""
-    hits = RT.hybrid_search(queries, corpus, k=depth, depth=depth, qid_col=qid_col, qtext=qtext)
+                depth: int = 20, qid_col: str = "query_id", qtext: str = "text", index: LexicalIndex | None = None,
+                vectors: VectorIndex | None = None) -> DataFrame:
+    """search (hybrid) -> rerank -> prompt template; everything before the LLM.
+    With a stored ``index`` and ``vectors`` only the texts of the hits are read from the corpus."""
+    hits = RT.hybrid_search(queries, corpus, k=depth, depth=depth, qid_col=qid_col, qtext=qtext, index=index, vectors=vectors)
     q = queries.select(F.col(qid_col).alias("query_id"), F.col(qtext).alias("query_text"))
     h = hits.join(corpus.select(F.col("doc_id").alias("id"), "text"), "id").join(q, "query_id")
     rr = RT.rerank_score(h, k=k)

@@ -9,9 +9,12 @@ from tessera.operators import retrieval as RT
 from tessera.operators import text as TX
 from tessera.operators import vectors as V
 from tessera.operators.joins import judge
+from tessera.operators.lexindex import LexicalIndex
+from tessera.operators.vecindex import VectorIndex
 from tessera.queries import query
 from tessera.session import Tables
 from tessera.sources import files as S
+from tessera.streaming import streams as ST
 
 TOK_SQL = r"list_filter(regexp_split_to_array(lower({c}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
 
@@ -159,21 +162,47 @@ ex AS (SELECT label, unnest(v) AS x, unnest(range(len(v))) AS dim FROM e),
 c AS (SELECT label, list(m ORDER BY dim) AS cv FROM (SELECT label, dim, avg(x) AS m FROM ex GROUP BY label, dim) GROUP BY label)"""
 
 
-def _centroid_queries(spark, d):
-    emb = Tables(spark, d).embeddings
-    return V.centroids(emb, "label").select(F.col("label").alias("query_id"), F.col("centroid").alias("embedding"))
-
-
-@query("vector_search", f"""
-WITH {_CENTROID_SQL},
-s AS (SELECT c.label AS query_id, e.vec_id AS id, list_cosine_similarity(e.v, c.cv) AS score FROM c, e)
+#: every vector whose id is divisible by 50, against all of them
+_NEAREST_SQL = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, e.vec_id AS id, list_cosine_similarity(e.v, q.v) AS score FROM e, e AS q WHERE q.vec_id % 50 = 0)
 SELECT query_id, id, round(score, 4) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM s) WHERE rank <= 10
-""")
-def vector_search(spark, d):
+"""
+
+
+def _vectors(spark, d):
+    """(queries, all vectors)"""
     emb = Tables(spark, d).embeddings.select(F.col("vec_id").alias("id"), "embedding")
-    r = V.vector_search(_centroid_queries(spark, d), emb, k=10)
-    return r.select("query_id", "id", F.round("score", 4).alias("score"), "rank")
+    return emb.filter(F.col("id") % 50 == 0).withColumnRenamed("id", "query_id"), emb
+
+
+def _rounded(hits):
+    return hits.select("query_id", "id", F.round("score", 4).alias("score"), "rank")
+
+
+@query("vector_search", _NEAREST_SQL)
+def vector_search(spark, d):
+    q, emb = _vectors(spark, d)
+    return _rounded(V.vector_search(q, emb, k=10))
+
+
+def _vector_index(spark, d):
+    """Stored in two additions; every third vector first with a wrong value and under a wrong id, then replaced and removed."""
+    q, emb = _vectors(spark, d)
+    ix = VectorIndex.create(spark, ST.scratch_path(spark, "vector-index"), emb)
+    third = emb.filter(F.col("id") % 3 == 0)
+    wrong = third.withColumn("id", -F.col("id") - 1)
+    ix.add(third.withColumn("embedding", F.reverse("embedding")).unionByName(wrong))
+    ix.add(emb)
+    ix.remove(wrong)
+    return q, ix
+
+
+@query("ann_index_all_lists", _NEAREST_SQL)
+def ann_index_all_lists(spark, d):
+    q, ix = _vector_index(spark, d)
+    return _rounded(ix.search(q, k=10, probes=len(ix.centres)))
 
 
 _BM25_SQL = f"""
@@ -229,6 +258,31 @@ def hybrid_search(spark, d):
     return RT.hybrid_search(t.benchmark.withColumnRenamed("item_id", "query_id"), t.documents, k=10, depth=20)
 
 
+#: documents of which some were replaced by shorter versions and some removed
+_CHANGED_SQL = """corpus AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN substr(text, 1, 300) ELSE text END AS text, lang
+  FROM documents WHERE doc_id % 7 <> 3)"""
+
+
+@query("index_search", f"""WITH {_CHANGED_SQL}, {_BM25_SQL.replace("FROM documents", "FROM corpus")}
+SELECT query_id, id, round(score, 4) AS score, rank FROM bm""")
+def index_search(spark, d):
+    t = Tables(spark, d)
+    docs = t.documents.select("doc_id", "text", "lang")
+    ix = LexicalIndex.create(spark, ST.scratch_path(spark, "lexical-index"))
+    for rest in (0, 1):
+        ix.add(docs.filter(F.col("doc_id") % 2 == rest), collection="lang", writer=("ingest", rest))
+    ix.add(docs.filter(F.col("doc_id") % 10 == 0).withColumn("text", F.substring("text", 1, 300)), collection="lang", writer=("ingest", 2))
+    ix.remove(docs.filter(F.col("doc_id") % 7 == 3).select("doc_id"), "doc_id")
+    return _rounded(LexicalIndex.open(spark, ix.path).search(t.benchmark.withColumnRenamed("item_id", "query_id")))
+
+
+def _index(spark, d):
+    """Every document, in the collection of its language."""
+    ix = LexicalIndex.create(spark, ST.scratch_path(spark, "lexical-index"))
+    ix.add(Tables(spark, d).documents.select("doc_id", "text", "lang"), collection="lang")
+    return ix
+
+
 @query("multi_collection_search", rf"""
 WITH q AS (SELECT item_id AS query_id, unnest(list_distinct({TOK_SQL.format(c='text')})) AS term FROM benchmark),
 d AS (SELECT doc_id, lang, {TOK_SQL.format(c='text')} AS toks FROM documents),
@@ -244,11 +298,9 @@ SELECT query_id, collection, id, round(score, 4) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, collection, id) AS rank FROM per) WHERE rank <= 10
 """)
 def multi_collection_search(spark, d):
-    t = Tables(spark, d)
-    docs = t.documents
-    langs = sorted(r[0] for r in docs.select("lang").distinct().collect())
-    corpora = {lang: docs.filter(F.col("lang") == lang) for lang in langs}
-    r = RT.search_many(t.benchmark.withColumnRenamed("item_id", "query_id"), corpora, k=10)
+    # one index, one run over it for all collections
+    q = Tables(spark, d).benchmark.withColumnRenamed("item_id", "query_id")
+    r = _index(spark, d).search(q, k=10, per_collection=True)
     return r.select("query_id", "collection", "id", F.round("score", 4).alias("score"), "rank")
 
 
@@ -259,11 +311,17 @@ def _grants(spark):
     return spark.createDataFrame(rows, "collection_id string, subject_type string, subject_id string, permission string")
 
 
-@query("permission_search", "SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'fr')")
+@query("permission_search", f"""
+WITH corpus AS (SELECT * FROM documents WHERE lang IN ('en', 'fr')), {_BM25_SQL.replace("FROM documents", "FROM corpus")}
+SELECT query_id, id, lang, round(score, 4) AS score, rank FROM bm JOIN documents ON doc_id = id
+""")
 def permission_search(spark, d):
-    docs = Tables(spark, d).documents.select("doc_id", F.col("lang").alias("collection"))
-    r = RT.restrict(docs, _grants(spark), user="u1", roles=["support"])
-    return r.select("doc_id", F.col("collection").alias("lang"))
+    # a search of the granted collections, by their own figures: no better hit of another collection takes a place
+    t = Tables(spark, d)
+    r = _index(spark, d).search(t.benchmark.withColumnRenamed("item_id", "query_id"), k=10,
+                                collections=RT.granted(_grants(spark), user="u1", roles=["support"]))
+    lang = t.documents.select(F.col("doc_id").alias("id"), "lang")
+    return r.join(lang, "id").select("query_id", "id", "lang", F.round("score", 4).alias("score"), "rank")
 
 
 #: mark of the n-th block of a context
@@ -478,8 +536,8 @@ def quantize_sq8(spark, d):
 
 @query("ann_search", None)
 def ann_search(spark, d):
-    emb = Tables(spark, d).embeddings.select(F.col("vec_id").alias("id"), "embedding")
-    return V.ann_search(_centroid_queries(spark, d), emb, k=10)
+    q, ix = _vector_index(spark, d)
+    return ix.search(q, k=10)
 
 
 @query("migration_quote", """

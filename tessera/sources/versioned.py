@@ -104,10 +104,11 @@ class VersionedTable:
             raise FileNotFoundError(f"no table at {path}")
 
     @classmethod
-    def create(cls, spark: SparkSession, path: str, schema: T.StructType | str, by: str | Sequence[str], buckets: int = 64,
+    def create(cls, spark: SparkSession, path: str, schema: T.StructType | str, by: str | Sequence[str], buckets: int = 16,
                place: Sequence[str] | None = None) -> VersionedTable:
         """An empty table with the columns of ``schema`` (a struct, or DDL). Buckets
-        go by the columns ``place``, some of ``by``; by default by all of them."""
+        go by the columns ``place``, some of ``by``; by default by all of them. An
+        upsert rewrites whole buckets: take about as many as the table has gigabytes."""
         schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         by = [by] if isinstance(by, str) else list(by)
         place = list(place or by)
@@ -119,7 +120,7 @@ class VersionedTable:
         return cls(spark, path)
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, schema: T.StructType | str | None = None, by: str | Sequence[str] = (), buckets: int = 64) -> VersionedTable:
+    def open(cls, spark: SparkSession, path: str, schema: T.StructType | str | None = None, by: str | Sequence[str] = (), buckets: int = 16) -> VersionedTable:
         """The table at ``path``; made if it does not exist and a schema is given."""
         if schema is not None and not Folder(spark, path).names("_manifest"):
             return cls.create(spark, path, schema, by, buckets)
