@@ -869,14 +869,29 @@ def stream_dedupe(spark, d):
     return ST.run_available(dd, "dedupe").select("user_id", "event_type")
 
 
-@query("stream_pair_calls", None)
+@query("stream_pair_calls", """
+WITH ev AS (SELECT CAST(user_id AS VARCHAR) AS run_id,
+    CAST(row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) - 1 AS VARCHAR) AS call_id,
+    event_type, ts, props FROM events WHERE event_type IN ('click', 'view')),
+c AS (SELECT run_id, call_id, 'search' AS tool, ts AS call_ts FROM ev WHERE event_type = 'click'),
+r AS (SELECT run_id, call_id, ts AS result_ts, props AS result FROM ev WHERE event_type = 'view')
+SELECT coalesce(c.run_id, r.run_id) AS run_id, coalesce(c.call_id, r.call_id) AS call_id, c.tool, c.call_ts, r.result_ts, r.result,
+  round((epoch_us(r.result_ts) - epoch_us(c.call_ts)) / 1e6, 6) AS duration_s
+FROM c FULL OUTER JOIN r ON c.run_id = r.run_id AND c.call_id = r.call_id AND r.result_ts BETWEEN c.call_ts AND c.call_ts + INTERVAL 36 HOUR
+""")
 def stream_pair_calls(spark, d):
-    s = _events_stream(spark, d)
-    calls = s.filter(F.col("event_type") == "click").select(F.col("user_id").alias("run_id"),
-                                                            F.col("event_id").alias("call_id"), "ts", F.lit("search").alias("tool"))
-    results = s.filter(F.col("event_type") == "view").select(F.col("user_id").alias("run_id"),
-                                                             (F.col("event_id") - 1).alias("call_id"), "ts")
-    return ST.run_available(ST.stream_pair_calls(calls, results, "1 hour"), "pairs")
+    from tessera.queries.joins_graph import _agent_events
+
+    landing = ST.scratch_path(spark, "calls")
+    log = _agent_events(spark, d)
+    log.repartition(3, "call_id").write.parquet(landing)  # three files land, one is taken at a time
+    s = ST.landing_stream(spark, landing, log.schema, "parquet", max_files=1)
+    calls = s.filter(F.col("type") == "tool_call").select("run_id", "call_id", "ts", F.col("tool_name").alias("tool"))
+    results = s.filter(F.col("type") == "tool_result").select("run_id", "call_id", "ts", "result")
+    # the delay covers the month of data: files are dealt by call, not by time
+    p = ST.pair_calls_now(calls, results, "36 hours", "40 days")
+    wall = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return p.select("run_id", "call_id", "tool", wall("call_ts"), wall("result_ts"), "result", "duration_s")
 
 
 @query("stream_memory", """
