@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,16 +76,26 @@ def js_regex(pattern: str) -> str:
     return "".join(out)
 
 
+def _java_pattern(pattern: str) -> Any:
+    """The pattern as Java, which runs it, compiles it."""
+    from pyspark import SparkContext
+
+    return SparkContext.getOrCreate()._jvm.java.util.regex.Pattern.compile(js_regex(pattern))
+
+
 def valid_regex(pattern: str) -> bool:
     try:
-        # named groups and references are spelled otherwise in Python
-        re.compile(re.sub(r"\\k<(\w+)>", r"(?P=\1)", re.sub(r"\(\?<(?![=!])", "(?P<", pattern)))
-        js_regex(pattern)
+        _java_pattern(pattern)
         return True
-    except (re.error, ValueError):
+    except (Py4JJavaError, IllegalArgumentException, ValueError):
         return False
 
 
+def regex_groups(pattern: str) -> int:
+    """Number of capturing groups, named ones included."""
+    return _java_pattern(pattern).matcher("").groupCount()
+
+
 def _present(c: Column, dtype: T.DataType) -> Column:
     """Not null (and not NaN for float columns): the guard that makes a plain
     comparison null-free. ``pred & present`` keeps the comparison itself a

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.filters import js_regex, valid_regex
+from tessera.operators.filters import js_regex, regex_groups, valid_regex
+from tessera.session import cut_lineage, ensure_parallel
 
 # --------------------------------------------------------------------------
 # chunking
@@ -162,34 +163,69 @@ BLOCK_TAGS = ("p", "div", "article", "section", "li", "ul", "ol", "h1", "h2", "h
               "br", "tr", "table", "header", "footer", "main", "blockquote", "pre")
 
 
+#: elements without content, and those that may stand in a head
+VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+HEAD_TAGS = ("title", "base", "link", "meta", "script", "style", "noscript", "template")
+#: elements that the page's own text starts with: an open nav ends before them
+CONTENT_TAGS = ("body", "main", "article")
+
+
 class _TextParser(HTMLParser):
+    """Text outside of the skipped elements, by a stack of open elements.
+
+    An end tag closes all elements opened inside its own; without an open one
+    it is ignored. A head ends at the first thing that cannot stand in it, a
+    nav at the page's own content; a skipped element that is still open at the
+    end of the page was never closed, and its text is taken back.
+    """
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.title: list[str] = []
         self.parts: list[str] = []
-        self.skip = 0
-        self.in_title = False
+        self.open: list[tuple[str, int]] = []  # element, length of ``parts`` where it began
+
+    def _close(self, at: int) -> None:
+        """Ends the elements from place ``at`` of the stack on; skipped ones lose their text."""
+        for tag, start in self.open[at:]:
+            if tag in SKIP_TAGS:
+                del self.parts[start:]
+                break
+        del self.open[at:]
+
+    def _end(self, *tags: str) -> bool:
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at][0] in tags:
+                self._close(at)
+                return True
+        return False
 
     def handle_starttag(self, tag, attrs):
-        if tag == "title":
-            self.in_title = True
-        elif tag in SKIP_TAGS:
-            self.skip += 1
-        elif tag in BLOCK_TAGS:
+        if tag not in HEAD_TAGS and tag not in ("head", "html"):
+            self._end("head")
+        if tag in CONTENT_TAGS:
+            self._end("nav")
+        if tag in BLOCK_TAGS:
+            self.parts.append("\n")
+        if tag not in VOID_TAGS:
+            self.open.append((tag, len(self.parts)))
+
+    def handle_startendtag(self, tag, attrs):
+        if tag in BLOCK_TAGS:
             self.parts.append("\n")
 
     def handle_endtag(self, tag):
-        if tag == "title":
-            self.in_title = False
-        elif tag in SKIP_TAGS:
-            self.skip = max(self.skip - 1, 0)
-        elif tag in BLOCK_TAGS:
+        self._end(tag)
+        if tag in BLOCK_TAGS:
             self.parts.append("\n")
 
     def handle_data(self, data):
-        if self.in_title:
+        if self.open and self.open[-1][0] == "title":
             self.title.append(data)
-        elif not self.skip:
+            return
+        if data.strip() and self.open and self.open[-1][0] == "head":
+            self._end("head")
+        if not (self.open and self.open[-1][0] in ("script", "style")):
             self.parts.append(data)
 
 
@@ -248,10 +284,32 @@ def parse_markdown(df: DataFrame, text: str = "text", id_col: str = "doc_id") ->
 # --------------------------------------------------------------------------
 
 
+#: a group that may be left out: an alternative, or a quantifier that allows none
+_FREE_GROUP = re.compile(r"\||\)(\?|\*|\{0)")
+
+
+def _first_group(pattern: str) -> Callable[[Column], Column]:
+    """Group 1 of the first match, or the whole match where the group took no part."""
+    source = re.sub(r"\\k<(\w+)>", r"(?P=\1)", js_regex(pattern).replace("\\z", "\\Z"))
+
+    @F.pandas_udf(T.StringType())
+    def first(texts: pd.Series) -> pd.Series:
+        import regex
+
+        p = regex.compile(source, regex.ASCII)
+        found = [p.search(t) if isinstance(t, str) else None for t in texts]
+        return pd.Series([None if m is None else m[0] if m[1] is None else m[1] for m in found], dtype=object)
+
+    return first
+
+
 def extract_fields(df: DataFrame, text: str, fields: Sequence[dict]) -> DataFrame:
-    """Per field ``{name, pattern, type}``: first match, group 1 if the
-    pattern has one else the whole match, cast to int / float / bool / str;
-    null when nothing matches. An invalid pattern raises."""
+    """Per field ``{name, pattern, type}``: first match, group 1 (by number or
+    name) if the pattern has one that takes part, else the whole match, cast to
+    int / float / bool / str; null when nothing matches. An invalid pattern
+    raises. A column expression, but for patterns whose first group need not
+    take part in a match: only there an Arrow UDF can tell an empty group from
+    none."""
     cols = {}
     t = F.col(text)
     for f in fields:
@@ -259,8 +317,11 @@ def extract_fields(df: DataFrame, text: str, fields: Sequence[dict]) -> DataFram
         if not valid_regex(pat):
             raise ValueError(f"invalid pattern {pat!r}")
         jp = js_regex(pat)
-        group = 1 if re.compile(pat).groups >= 1 else 0
-        raw = F.when(F.regexp_like(t, F.lit(jp)), F.regexp_extract(t, jp, group))
+        group = min(1, regex_groups(pat))
+        if group and _FREE_GROUP.search(pat):
+            raw = _first_group(pat)(t)
+        else:
+            raw = F.when(F.regexp_like(t, F.lit(jp)), F.regexp_extract(t, jp, group))
         typ = f.get("type", "str")
         if typ == "int":
             v = F.regexp_substr(raw, F.lit(r"^\s*[+-]?\d+")).try_cast("long")
@@ -288,7 +349,8 @@ def extract_table(df: DataFrame, col: str, schema: dict, path: str = "line_items
 # --------------------------------------------------------------------------
 
 SHINGLE = 5
-SHORT_QUOTES_BROADCAST = 10_000
+#: quotes, and bytes of them, of one automaton (about 100 bytes a character in a task)
+AUTOMATON_QUOTES, AUTOMATON_BYTES = 50_000, 1 << 20
 
 
 def _tokens(c: Column) -> Column:
@@ -310,9 +372,9 @@ def citation_matches(cites: DataFrame, corpus: DataFrame, cite_id: str = "cite_i
     quote may be partial words in the document), of length ``min(5, inner
     words)``. Among the quote's shingles the rarest in the corpus is used, so
     hot boilerplate shingles do not fan out. Every candidate is confirmed
-    with ``contains``. Quotes with no inner word (1-2 words) are checked by a
-    scan of the corpus against a broadcast list of those quotes, in batches
-    of ``SHORT_QUOTES_BROADCAST``.
+    with ``contains``. Quotes with no inner word (1-2 words) go into an
+    automaton that finds all of them in one pass over a text; blocks of bounded
+    size, a scan of the corpus for each. An empty quote is in every text.
     """
     q = cites.select(F.col(cite_id).alias("cite_id"), F.col(text).alias("quote")) \
         .withColumn("_tok", _tokens(F.col("quote")))
@@ -331,7 +393,8 @@ def citation_matches(cites: DataFrame, corpus: DataFrame, cite_id: str = "cite_i
         for k in sorted(ks):
             part = dtok.select("doc_id", F.lit(k).alias("_k"), F.explode(_shingles(F.col("_dt"), k)).alias("sh"))
             dsh = part if dsh is None else dsh.unionByName(part)
-        dsh = dsh.join(qsh.select("_k", "sh").distinct(), on=["_k", "sh"], how="left_semi").distinct()
+        # stored: the shingles of the corpus are made once, for the frequencies and the candidates
+        dsh = cut_lineage(dsh.join(qsh.select("_k", "sh").distinct(), on=["_k", "sh"], how="left_semi").distinct())
         freq = dsh.groupBy("_k", "sh").agg(F.count(F.lit(1)).alias("_df"))
         rare = qsh.join(freq, on=["_k", "sh"], how="left").fillna({"_df": 0}).groupBy("cite_id").agg(
             F.min_by(F.struct("_k", "sh"), F.struct("_df", "sh")).alias("_r")).select("cite_id", "_r._k", "_r.sh")
@@ -339,15 +402,7 @@ def citation_matches(cites: DataFrame, corpus: DataFrame, cite_id: str = "cite_i
         ok = cand.join(long_q.select("cite_id", "quote"), "cite_id").join(docs, "doc_id") \
             .filter(F.col("doc").contains(F.col("quote")))
         parts.append(ok.select("cite_id", "doc_id"))
-    short = q.filter(F.col("_k") < 1).select("cite_id", "quote")
-    short_rows = short.limit(SHORT_QUOTES_BROADCAST * 1000 + 1).count()
-    if short_rows:
-        # quotes of one or two words: a scan of the corpus per bounded batch
-        nb = max(1, -(-short_rows // SHORT_QUOTES_BROADCAST))
-        for i in range(nb):
-            b = short if nb == 1 else short.filter(F.pmod(F.xxhash64("cite_id"), F.lit(nb)) == i)
-            hits = docs.join(F.broadcast(b), F.col("doc").contains(F.col("quote")))
-            parts.append(hits.select("cite_id", "doc_id"))
+    parts += _short_quote_matches(q.filter(F.col("_k") < 1).select("cite_id", "quote"), docs)
     if not parts:
         return cites.sparkSession.createDataFrame([], T.StructType([
             T.StructField("cite_id", cites.schema[cite_id].dataType),
@@ -358,6 +413,46 @@ def citation_matches(cites: DataFrame, corpus: DataFrame, cite_id: str = "cite_i
     return res.distinct()
 
 
+def _short_quote_matches(quotes: DataFrame, docs: DataFrame) -> list[DataFrame]:
+    """(cite_id, doc_id) of every quote in every text that holds it, a scan for each block of quotes."""
+    quotes = cut_lineage(quotes.where("quote IS NOT NULL").distinct())
+    size = quotes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("quote")), F.lit(0)).alias("bytes")).first()
+    blocks = max(-(-size["n"] // AUTOMATON_QUOTES), -(-size["bytes"] // AUTOMATON_BYTES))
+    schema = T.StructType([T.StructField("cite_id", quotes.schema["cite_id"].dataType), T.StructField("doc_id", docs.schema["doc_id"].dataType)])
+    docs = ensure_parallel(docs.where("doc IS NOT NULL"))
+    parts = []
+    for i in range(blocks):
+        rows = quotes.where(F.pmod(F.xxhash64("cite_id", "quote"), F.lit(blocks)) == i).collect()  # about AUTOMATON_QUOTES
+        asked: dict[str, list] = {}
+        for r in rows:
+            asked.setdefault(r["quote"], []).append(r["cite_id"])
+        if asked:
+            parts.append(docs.select("doc_id", "doc").mapInPandas(_automaton_pass(docs.sparkSession.sparkContext.broadcast(asked)), schema))
+    return parts
+
+
+def _automaton_pass(sent) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import ahocorasick
+
+        asked = sent.value
+        automaton = ahocorasick.Automaton()
+        for quote in asked:
+            if quote:
+                automaton.add_word(quote, quote)
+        automaton.make_automaton()
+        for pdf in batches:
+            cite, doc = [], []
+            for key, text in zip(pdf["doc_id"].astype(object), pdf["doc"]):
+                found = {quote for _, quote in automaton.iter(text)} if len(automaton) else set()
+                for quote in found | ({""} & asked.keys()):
+                    cite += asked[quote]
+                    doc += [key] * len(asked[quote])
+            yield pd.DataFrame({"cite_id": pd.Series(cite, dtype=object), "doc_id": pd.Series(doc, dtype=object)})
+
+    return run
+
+
 def verify_citations(cites: DataFrame, corpus: DataFrame, cite_id: str = "cite_id", text: str = "text",
                      doc_id: str = "doc_id") -> DataFrame:
     """Is each quote verbatim in the corpus? ``cite_id, found, n_docs``

@@ -52,3 +52,60 @@ def test_summaries_and_casts_survive_any_text(spark):
     out = A.summarize(df, None, [(f, "v") for f in ("count", "sum", "avg", "min", "max")]).collect()[0].asDict()
     huge = float(0xfffffffffffffffff)
     assert out == {"count_v": 4, "sum_v": huge + 5.0, "avg_v": (huge + 5.0) / 3, "min_v": 0.0, "max_v": huge}
+
+
+# --- pages, patterns, citations ----------------------------------------------
+
+@pytest.mark.parametrize("page, title, text", [
+    ("<html><head><title>T</title><body><p>Hello</p></body></html>", "T", "Hello"),  # no </head>
+    ("<head><title>T</title>Hello", "T", "Hello"),  # text ends a head
+    ("<body><nav><a>Home</a><main><p>Hello</p></main></body>", "", "Hello"),  # unclosed nav before the content
+    ("<body><div><nav><a>Home</a></div><p>Hello</p>", "", "Hello"),  # ended by its parent
+    ("<nav><a>Home</a> <p>Hello</p>", "", "Home\nHello"),  # never closed, and nothing else: taken back
+    ("<nav>a<nav>b</nav>c</nav>d", "", "d"), ("</nav></div>x</p>y", "", "x\ny"), ("a<br>b<br/>c<hr>d", "", "a\nb\ncd"),
+    ("<p>a<script>b</script>c<style>d</style><noscript>e</noscript></p>f", "", "ac\nf"), ("", "", ""), (None, "", ""),
+    ("<title>A &amp; B</title><p>x &lt; y</p><!-- no -->", "A & B", "x < y"), ("<template><p>x</p></template>y", "", "y"),
+])
+def test_pages(page, title, text):
+    from tessera.operators.text import html_to_text
+
+    assert html_to_text(page) == (title, text)
+
+
+@pytest.mark.parametrize("pattern, text, typ, value", [
+    (r"(?<year>\d{4})", "in 2024", "int", 2024), (r"\d{4}", "in 2024", "int", 2024), (r"(\d+)?px", "px 3px", "str", "px"), (r"(\d*)px", "px 3px", "str", ""),
+    (r"(\d+)?px", "12px", "str", "12"), (r"a|b(c)", "xa", "str", "a"), (r"b(c)|a", "xbc", "str", "c"), (r"(?<a>x)(?<b>y)\k<a>", "xyx", "str", "x"),
+    (r"(\d+)", "none", "int", None), (r"v=(\S+)", "v=1.5e1 z", "float", 15.0), (r"ok: (\w+)", "ok: Yes", "bool", True), (r"(?:a)(b)$", "ab\n", "str", None), (r"é+", "caféé", "str", "éé"),
+])
+def test_fields(spark, pattern, text, typ, value):
+    from tessera.operators.text import extract_fields
+
+    df = spark.createDataFrame([(text,)], "t string")
+    assert extract_fields(df, "t", [{"name": "f", "pattern": pattern, "type": typ}]).first()["f"] == value
+
+
+@pytest.mark.parametrize("pattern", ["(", "[a", "(?<n>a)(?<n>b)", "a{2,1}", "[^]"])
+def test_bad_patterns_raise(spark, pattern):
+    from tessera.operators.text import extract_fields
+
+    with pytest.raises(ValueError):
+        extract_fields(spark.createDataFrame([("a",)], "t string"), "t", [{"name": "f", "pattern": pattern}])
+
+
+def test_citations_of_every_length(spark, monkeypatch):
+    from tessera.operators import text as TX
+
+    monkeypatch.setattr(TX, "AUTOMATON_QUOTES", 7)
+    r = random.Random(9)
+    words = ["ab", "b", "éa", "c", "abc", "d."]
+    docs = [(i if i % 9 else None, " ".join(r.choices(words, k=r.randint(0, 12)))) for i in range(60)] + [(100, None), (101, ""), (102, "x" * 200_000 + " ab b")]
+    cites = [(i, " ".join(r.choices(words, k=r.randint(1, 7)))) for i in range(40)] + [(50, "b"), (51, "b"), (52, ""), (53, None), (54, " "), (55, "a b"), (56, "zz"), (57, "x" * 1000)]
+    c, d = spark.createDataFrame(cites, "cite_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    want = {(i, j) for i, q in cites for j, t in docs if q is not None and t is not None and q in t}
+    found = TX.citation_matches(c, d)
+    # a document without an id is no match by itself in the joins of longer quotes
+    assert {tuple(x) for x in found.collect() if x[1] is not None} == {x for x in want if x[1] is not None}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    got = {x["cite_id"]: x["found"] for x in TX.verify_citations(c, d.where("doc_id IS NOT NULL")).collect()}
+    assert got == {i: any(x == i and j is not None for x, j in want) for i, _ in cites}
