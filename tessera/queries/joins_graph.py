@@ -334,13 +334,23 @@ lp(graph, id, depth) AS (
 """
 
 
-@query("graph_cycles", _REACH + """
-SELECT graph, count(*) AS stuck_nodes, true AS finished FROM stuck GROUP BY graph
+@query("graph_cycles", _REACH + """,
+back AS (SELECT DISTINCT a.graph, a.src AS id, a.dst AS other FROM reach a JOIN reach b ON a.graph = b.graph AND a.src = b.dst AND a.dst = b.src),
+knot AS (SELECT graph, id, min(other) AS knot FROM back GROUP BY graph, id)
+SELECT stuck.graph, count(*) AS stuck_nodes, count(knot.id) AS cycle_nodes, count(DISTINCT knot.knot) AS knots, true AS finished
+FROM stuck LEFT JOIN knot ON knot.graph = stuck.graph AND knot.id = stuck.id GROUP BY stuck.graph
 """)
 def graph_cycles(spark, d):
     return G.cyclic_graphs(_nodes(spark, d), _edges(spark, d))
 
 
+@query("graph_cycle_nodes", _REACH + """
+SELECT stuck.graph, stuck.id, cyc.id IS NOT NULL AS on_cycle FROM stuck LEFT JOIN cyc ON cyc.graph = stuck.graph AND cyc.id = stuck.id
+""")
+def graph_cycle_nodes(spark, d):
+    return G.cycle_nodes(_nodes(spark, d), _edges(spark, d)).select("graph", "id", "on_cycle")
+
+
 @query("graph_layers", _REACH + """
 SELECT n.graph, n.id, CAST(max(lp.depth) AS INTEGER) AS layer FROM n LEFT JOIN lp ON n.graph = lp.graph AND n.id = lp.id
 GROUP BY n.graph, n.id
