@@ -25,6 +25,7 @@ from tessera.plans import flows as X
 from tessera.queries import docs_search as D
 from tessera.queries import query
 from tessera.session import Tables
+from tessera.sources import feeds as FD
 from tessera.sources import files as S
 from tessera.sources.versioned import VersionedTable
 from tessera.streaming import streams as ST
@@ -996,14 +997,32 @@ def webhook_source(spark, d):
     return ST.run_available(s.select("doc_id", "lang"), "landing")
 
 
-@query("feed_poll", "SELECT DISTINCT CAST(user_id AS VARCHAR) || ':' || event_type AS entry_id FROM events")
+@query("feed_poll", """
+SELECT CAST(user_id AS VARCHAR) AS feed, CASE WHEN user_id % 2 = 0 THEN 'rss' ELSE 'atom' END AS format, 'urn:event:' || event_id AS entry_id,
+  event_type || ' & more' AS title, 'https://example.org/e/' || event_id AS link, date_trunc('second', ts) AS published,
+  CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END AS run FROM events
+""")
 def feed_poll(spark, d):
+    # a feed for each user; the first snapshots lack every third entry, the second ones have all
     ev = Tables(spark, d).events
-    s = spark.readStream.schema(ev.schema).parquet(f"{d}/events.parque[t]")
-    entries = s.select(F.concat_ws(":", F.col("user_id").cast("string"), "event_type").alias("entry_id"),
-                       F.col("ts").alias("published"))
-    # entries repeat within the month: each id is new once (the delay covers the data)
-    return ST.run_available(ST.stream_dedupe(entries, "entry_id", "published", "40 days"), "feed").select("entry_id")
+    at = F.date_trunc("second", "ts")
+    key, link, title = F.concat(F.lit("urn:event:"), "event_id"), F.concat(F.lit("https://example.org/e/"), "event_id"), F.concat("event_type", F.lit(" &amp; more"))
+    rss = F.concat(F.lit("<item><title>"), title, F.lit("</title><link>"), link, F.lit('</link><guid isPermaLink="false">'), key,
+                   F.lit("</guid><pubDate>"), F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate></item>"))
+    atom = F.concat(F.lit("<entry><id>"), key, F.lit('</id><title>'), title, F.lit('</title><link rel="self" href="x"/><link href="'), link,
+                    F.lit('"/><published>'), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z</published></entry>"))
+    is_rss = F.col("user_id") % 2 == 0
+    ev = ev.select("user_id", "event_id", F.when(is_rss, rss).otherwise(atom).alias("entry"))
+    folder, target, checkpoint = (ST.scratch_path(spark, n) for n in ("feeds", "entries", "feeds-ckpt"))
+    runs = []
+    for run, rows in ((1, ev.filter(F.col("event_id") % 3 != 0)), (2, ev)):
+        body = rows.groupBy("user_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "entry")), asc=False), lambda x: x["entry"]), "").alias("body"))
+        xml = F.when(is_rss, F.concat(F.lit('<rss version="2.0"><channel><title>t</title>'), "body", F.lit("</channel></rss>"))).otherwise(
+            F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>t</title>'), "body", F.lit("</feed>")))
+        body.select(xml.alias("value"), F.col("user_id").alias("feed"), F.lit(run).alias("poll")).repartition("feed").write.mode("append").partitionBy("feed", "poll").text(folder)
+        runs.append(FD.new_entries(spark, folder, target, checkpoint).withColumn("run", F.lit(run)))
+    new = runs[0].unionByName(runs[1])
+    return new.select("feed", "format", "entry_id", "title", "link", F.col("published").cast("timestamp_ntz").alias("published"), "run")
 
 
 @query("ingest_bridge", f"SELECT CAST(vec_id AS VARCHAR) AS id, label, {_VECTOR_SQL.format('embedding')} AS vector, 'vectors' AS collection FROM embeddings")
