@@ -183,14 +183,18 @@ def event_stats(events: DataFrame, run_col: str = "run_id", ts_col: str = "ts")
 
 
 # fixed values: migration price per million vectors and the free tier
-PRICE_PER_MILLION_RETAINED = 0.10
-PRICE_PER_MILLION_REEMBED = 0.50
+CENTS_PER_MILLION_RETAINED = 10
+CENTS_PER_MILLION_ELSE = 50
 FREE_VECTORS = 100_000
 
 
 def quote(df: DataFrame, retain: bool = True, vec_col: str = "embedding") -> DataFrame:
-    """Vectors, dimensions and price of a migration."""
-    rate = PRICE_PER_MILLION_RETAINED if retain else PRICE_PER_MILLION_REEMBED
-    g = df.agg(F.count(F.lit(1)).alias("vectors"), F.max(F.size(vec_col)).alias("dims"))
-    billable = F.greatest(F.col("vectors") - F.lit(FREE_VECTORS), F.lit(0))
-    return g.withColumn("price_usd", F.round(billable / 1e6 * rate, 6))
+    """Price of a migration: the first ``FREE_VECTORS`` are free, the rest costs
+    the rate of vectors kept (``retain``) or not, in whole cents, rounded up."""
+    rate = CENTS_PER_MILLION_RETAINED if retain else CENTS_PER_MILLION_ELSE
+    g = df.agg(F.count(F.lit(1)).alias("n_total_vectors"), F.coalesce(F.max(F.size(vec_col)), F.lit(0)).alias("src_dim"))
+    billable = F.greatest(F.col("n_total_vectors") - F.lit(FREE_VECTORS), F.lit(0))
+    cents = F.ceil(billable * rate / 1e6).cast("long")
+    return g.withColumn("retain_on_cloud", F.lit(retain)).withColumn("rate_per_million_cents", F.lit(rate)).withColumn("quote_cents", cents) \
+        .withColumn("quote_usd", F.col("quote_cents") / 100).withColumn("free_tier", F.col("n_total_vectors") <= FREE_VECTORS) \
+        .withColumn("requires_payment", F.col("quote_cents") > 0)

@@ -153,7 +153,8 @@ def allowed_tools(df: DataFrame, rules: Sequence[dict], by: str, chosen_col: str
     pairs = [(r["name"], list(r.get("allowed_tools") or [])) for r in rules]
     m = F.create_map(*[x for name, tools in pairs for x in (F.lit(name), F.array(*[F.lit(t) for t in tools]).cast("array<string>"))]) \
         if pairs else F.create_map().cast("map<string,array<string>>")
-    lists = df.select(by, F.try_element_at(m, F.col(chosen_col)).alias("_t"))
-    g = lists.groupBy(by).agg(F.array_sort(F.array_distinct(F.flatten(
-        F.collect_list(F.coalesce(F.col("_t"), F.array().cast("array<string>")))))).alias("_u"))
+    # distinct choices first: a key with many rows brings each rule once
+    chosen = df.select(by, chosen_col).distinct()
+    lists = chosen.select(by, F.explode_outer(F.try_element_at(m, F.col(chosen_col))).alias("_t"))
+    g = lists.groupBy(by).agg(F.array_sort(F.collect_set("_t")).alias("_u"))
     return g.withColumn("allowed_tools", F.when(F.size("_u") > 0, F.col("_u"))).drop("_u")

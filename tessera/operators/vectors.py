@@ -324,26 +324,58 @@ def centroids(df: DataFrame, label_col: str, vec_col: str = "embedding") -> Data
         label_col, F.transform("_c", lambda s: s["m"]).alias("centroid"))
 
 
+#: components of the label vectors that are broadcast at once
+LABEL_CELLS = 1 << 22
+
+
 def classify(df: DataFrame, label_vectors: DataFrame, label_col: str = "label", vec_col: str = "embedding",
-             temperature: float = 0.1, max_labels: int = 1000) -> DataFrame:
-    """Nearest label vector by cosine; ``scores`` = softmax of cosine /
-    ``temperature`` over labels (ours). Label vectors are a bounded broadcast
-    (checked against ``max_labels``) folded into one array literal."""
-    rows = label_vectors.limit(max_labels + 1).collect()
-    if len(rows) > max_labels:
-        raise ValueError(f"more than {max_labels} labels")
-    labels = [(str(r[label_col]), [float(x) for x in r["centroid"]]) for r in rows]
-    arr = F.array(*[F.struct(F.lit(n).alias("label"), F.array(*[F.lit(x) for x in v]).alias("v")) for n, v in labels])
-    scored = F.transform(arr, lambda s: F.struct(s["label"].alias("label"),
-                                                 cosine(F.col(vec_col), s["v"]).alias("cos")))
-    d = df.withColumn("_s", scored)
-    mx = F.array_max(F.transform("_s", lambda s: s["cos"]))
-    d = d.withColumn("_mx", mx).withColumn("_den", F.aggregate(
-        F.transform("_s", lambda s: F.exp((s["cos"] - F.col("_mx")) / temperature)), F.lit(0.0), lambda a, x: a + x))
-    best = F.array_max(F.transform("_s", lambda s: F.struct(s["cos"].alias("c"), s["label"].alias("l"))))
-    return d.withColumn("predicted", best["l"]).withColumn("score", best["c"]).withColumn(
-        "scores", F.map_from_entries(F.transform("_s", lambda s: F.struct(
-            s["label"], F.exp((s["cos"] - F.col("_mx")) / temperature) / F.col("_den"))))).drop("_s", "_mx", "_den")
+             temperature: float = 0.1) -> DataFrame:
+    """Nearest label vector by cosine (ties to the greater label): ``predicted``
+    and ``score``; ``scores`` = softmax of cosine / ``temperature`` over the
+    labels (ours).
+
+    One matrix product for a slice of rows. Label vectors are broadcast in
+    blocks of about ``LABEL_CELLS`` components, one pass over the rows for each;
+    any number of them. ``scores`` names every label, so it is given only while
+    the labels fit into one block, else it is null.
+    """
+    labels = label_vectors.select(F.col(label_col).cast("string").alias("l"), F.col("centroid").cast("array<double>").alias("v"))
+    width = labels.agg(F.max(F.size("v"))).first()[0]
+    if not width:
+        raise ValueError("no label vectors")
+    blocks = list(query_blocks(labels, max(1, LABEL_CELLS // width)))
+    fields = [T.StructField("predicted", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("scores", T.MapType(T.StringType(), T.DoubleType()))]
+    base = T.StructType([f for f in df.schema.fields if f.name not in ("predicted", "score", "scores")])
+    out = df.select(*[F.col(f"`{f.name}`") for f in base.fields])
+    for i, block in enumerate(blocks):
+        rows = sorted(((r["l"], r["v"]) for r in block), key=lambda r: r[0], reverse=True)  # the first of equal maxima is the greater label
+        sent = df.sparkSession.sparkContext.broadcast(([n for n, _ in rows], unit_rows(np.array([v for _, v in rows], dtype=np.float64))))
+
+        def run(batches: Iterator[pd.DataFrame], sent=sent, first=i == 0, alone=len(blocks) == 1) -> Iterator[pd.DataFrame]:
+            names, m = sent.value
+            for pdf in batches:
+                if first:
+                    pdf["predicted"], pdf["score"], pdf["scores"] = None, np.nan, None
+                label, score, scores = pdf["predicted"].to_numpy(dtype=object).copy(), pdf["score"].to_numpy(dtype=np.float64).copy(), [None] * len(pdf)
+                step = max(1, SCORE_CELLS // len(names))
+                for a in range(0, len(pdf), step):
+                    x = np.vstack(pdf[vec_col].iloc[a:a + step].to_numpy()).astype(np.float64)
+                    cos = np.round(unit_rows(x) @ m.T, 12)  # equal cosines stay equal whatever the order of the sums
+                    at = np.argmax(cos, axis=1)
+                    best = cos[np.arange(len(at)), at]
+                    for j in range(len(at)):
+                        name = names[at[j]]
+                        if label[a + j] is None or (best[j], name) > (score[a + j], label[a + j]):
+                            label[a + j], score[a + j] = name, best[j]
+                    if alone:
+                        e = np.exp((cos - best[:, None]) / temperature)
+                        e /= e.sum(axis=1, keepdims=True)
+                        scores[a:a + len(at)] = [dict(zip(names, r.tolist())) for r in e]
+                pdf["predicted"], pdf["score"], pdf["scores"] = label, score, scores
+                yield pdf
+
+        out = out.mapInPandas(run, T.StructType([*base.fields, *fields]))
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -513,23 +545,18 @@ def drift(runs: DataFrame, monitors: DataFrame, now: Column | None = None) -> Da
     ).drop("_prev")
 
 
-def quantize_sq8(df: DataFrame, vec_col: str = "embedding", max_dims: int = 65_536) -> tuple[DataFrame, DataFrame]:
+def quantize_sq8(df: DataFrame, vec_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
     """Scalar 8-bit quantisation: per-dimension min/max over the table (a
     ``posexplode`` + grouped min/max), codes 0..255 per element, and the
-    reconstruction ``min + code * (max - min) / 255``. The range table has
-    one row per dimension (checked against ``max_dims``) and is folded into
-    the expression as a literal."""
+    reconstruction ``min + code * (max - min) / 255``. The ranges of all
+    dimensions are one row, no larger than two vectors; it joins every row by
+    broadcast. Any number of dimensions."""
     ex = df.select(F.posexplode(vec_col).alias("dim", "x"))
     rng = ex.groupBy("dim").agg(F.min("x").cast("double").alias("lo"), F.max("x").cast("double").alias("hi"))
-    rows = rng.orderBy("dim").limit(max_dims + 1).collect()
-    if len(rows) > max_dims:
-        raise ValueError("too many dimensions")
-    lo = F.array(*[F.lit(float(r["lo"])) for r in rows])
-    hi = F.array(*[F.lit(float(r["hi"])) for r in rows])
-    rlit = F.arrays_zip(lo.alias("lo"), hi.alias("hi"))
-    code = F.zip_with(F.col(vec_col), rlit, lambda x, r: F.when(
+    one = rng.groupBy(F.lit(0).alias("_one")).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "lo", "hi"))), lambda r: F.struct(r["lo"].alias("lo"), r["hi"].alias("hi"))).alias("_range"))
+    code = F.zip_with(F.col(vec_col), F.col("_range"), lambda x, r: F.when(
         r["hi"] > r["lo"], F.least(F.lit(255.0), F.greatest(F.lit(0.0), F.round((x - r["lo"]) / (r["hi"] - r["lo"]) * 255)))
     ).otherwise(F.lit(0.0)).cast("int"))
-    q = df.withColumn("codes", code)
-    back = F.zip_with(F.col("codes"), rlit, lambda c, r: r["lo"] + c * (r["hi"] - r["lo"]) / 255.0)
-    return q.withColumn("restored", back), rng
+    q = df.withColumn("_one", F.lit(0)).join(F.broadcast(one), "_one", "left").withColumn("codes", F.slice(code, 1, F.greatest(F.size(vec_col), F.lit(0))))
+    back = F.zip_with(F.col("codes"), F.slice("_range", 1, F.greatest(F.size(vec_col), F.lit(0))), lambda c, r: r["lo"] + c * (r["hi"] - r["lo"]) / 255.0)
+    return q.withColumn("restored", back).drop("_one", "_range"), rng

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from tessera.operators import migration as MG
 from tessera.operators import retrieval as RT
 from tessera.operators import text as TX
 from tessera.operators import vectors as V
@@ -14,6 +15,7 @@ from tessera.operators.vecindex import VectorIndex
 from tessera.queries import query
 from tessera.session import Tables
 from tessera.sources import files as S
+from tessera.sources.versioned import VersionedTable
 from tessera.streaming import streams as ST
 
 TOK_SQL = r"list_filter(regexp_split_to_array(lower({c}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
@@ -463,13 +465,21 @@ def _second_space(spark, d):
                     F.transform(F.reverse("embedding"), noise).alias("target"))
 
 
-@query("project_vectors", None)
+#: cosine of each vector in reverse to its stand-in; a map fitted on the pairs comes within three places of the reversal
+_REVERSED_SQL = """
+WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i, unnest(list_reverse(embedding))::DOUBLE AS r FROM embeddings),
+y AS (SELECT vec_id, r, r + (CAST('0x' || substr(md5(vec_id || ':' || i), 1, 7) AS BIGINT) % 1000 - 500) / 1e6 AS y FROM v)
+SELECT vec_id AS id, round(sum(r * y) / sqrt(sum(r * r) * sum(y * y)), 3) AS {name} FROM y GROUP BY vec_id
+"""
+
+
+@query("project_vectors", _REVERSED_SQL.format(name="cos_to_target"))
 def project_vectors(spark, d):
     # the map comes from the data (a ridge fit), then every vector is projected
     p = _second_space(spark, d)
     w = V.fit_ridge(p, 1e-3)
     out = V.project(p, w, vec_col="source", out="projected")
-    return out.select("id", F.round(V.cosine(F.col("projected"), F.col("target")), 4).alias("cos_to_target"))
+    return out.select("id", F.round(V.cosine(F.col("projected"), F.col("target")), 3).alias("cos_to_target"))
 
 
 def _one_row(spark, values: dict):
@@ -511,12 +521,17 @@ def migration_feasibility(spark, d):
     return _one_row(spark, {k: (round(v, 4) if isinstance(v, float) else v) for k, v in f.items()})
 
 
-@query("migrate_vectors", None)
+@query("migrate_vectors", _REVERSED_SQL.format(name="retention"))
 def migrate_vectors(spark, d):
     p = _second_space(spark, d)
     w = V.fit_procrustes(p)
-    m = V.migrate(p.select("id", F.col("source").alias("embedding"), "target"), w)
-    return m.select("id", F.round(V.cosine(F.col("projected"), F.col("target")), 4).alias("retention"))
+    src = p.select("id", F.col("source").alias("embedding"))
+    target = VersionedTable.create(spark, ST.scratch_path(spark, "migrated"), "id long, embedding array<double>", "id")
+    job = MG.Migration(src, w, target, "job", ranges=6, truth=p.select("id", "target"))
+    job.run(stop_after=3)  # ended after three ranges
+    MG.Migration(src, w, target, "job", ranges=6, truth=p.select("id", "target")).run()  # started again: the other three
+    moved = target.read().select("id", F.col("embedding").alias("projected")).join(p.select("id", "target"), "id")
+    return moved.select("id", F.round(V.cosine(F.col("projected"), F.col("target")), 3).alias("retention"))
 
 
 @query("quantize_sq8", """
@@ -541,13 +556,24 @@ def ann_search(spark, d):
 
 
 @query("migration_quote", """
-SELECT count(*) AS vectors, max(len(embedding)) AS dims, round(greatest(count(*) - 100000, 0) / 1e6 * 0.10, 6) AS price_usd
-FROM embeddings
+WITH n AS (SELECT 'embeddings' AS source, count(*) AS n, max(len(embedding)) AS dim FROM embeddings
+  UNION ALL SELECT 'lines', CAST(sum(l_linenumber) AS BIGINT), 2 FROM lineitem),
+r AS (SELECT * FROM (VALUES (true, 10), (false, 50)) t(retain, rate))
+SELECT source, n AS n_total_vectors, dim AS src_dim, retain AS retain_on_cloud, rate AS rate_per_million_cents,
+  CAST(ceil(greatest(n - 100000, 0) * rate / 1e6) AS BIGINT) AS quote_cents, ceil(greatest(n - 100000, 0) * rate / 1e6) / 100 AS quote_usd,
+  n <= 100000 AS free_tier, n > 100000 AS requires_payment FROM n, r
 """)
 def migration_quote(spark, d):
     from tessera.operators.aggregates import quote
 
-    return quote(Tables(spark, d).embeddings, retain=True)
+    t = Tables(spark, d)
+    # a second source above the free tier: line n of an order makes n vectors
+    lines = t.lineitem.select(F.explode(F.sequence(F.lit(1), F.col("l_linenumber"))), F.array("l_quantity", "l_extendedprice").alias("embedding"))
+    parts = [quote(src, retain).withColumn("source", F.lit(name)) for name, src in (("embeddings", t.embeddings), ("lines", lines)) for retain in (True, False)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _drift_runs(spark, d):
