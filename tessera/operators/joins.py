@@ -162,14 +162,68 @@ def expand_neighbors(hits: DataFrame, edges: DataFrame, relations: Sequence[str]
         "neighbors", F.coalesce(F.col("neighbors"), F.array().cast(agg.schema["neighbors"].dataType)))
 
 
+#: tasks that a node with many hits is spread over
+HUB_SALTS = 8
+
+
+def _capped(edges: DataFrame, relations: Sequence[str] | None, direction: str, cap: int) -> DataFrame:
+    """The ``cap`` strongest neighbours of every node: ``(_node, nid)``."""
+    e = edges if not relations else edges.filter(F.col("relation").isin(list(relations)))
+    sides = {"outgoing": [("source", "target")], "incoming": [("target", "source")], "both": [("source", "target"), ("target", "source")]}[direction]
+    parts = [e.select(F.col(a).alias("_node"), F.col(b).alias("nid"), "relation", "weight", F.lit("outgoing" if a == "source" else "incoming").alias("direction")) for a, b in sides]
+    w = Window.partitionBy("_node").orderBy(F.col("weight").desc(), F.col("nid"), F.col("relation"), F.col("direction"))
+    return reduce(lambda a, b: a.unionByName(b), parts).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap).select("_node", "nid").distinct()
+
+
+def _salted(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(HUB_SALTS)).cast("int"))
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(HUB_SALTS)])))
+
+
+def expand_hops(hits: DataFrame, edges: DataFrame, hops: int = 2, relations: Sequence[str] | None = None, direction: str = "both",
+                cap: int = 10, id_col: str = "id", by: Sequence[str] = ("query_id",)) -> DataFrame:
+    """Nodes within ``hops`` steps of each query's hits: ``(*by, id, hop)``, the
+    fewest steps (0 for the hits themselves).
+
+    From a node a step goes to its ``cap`` strongest neighbours. A node is
+    visited once for a query, so the frontier holds new nodes alone and a walk in
+    circles ends. The cap is applied before any join, and rows that ask for the
+    same node are spread over ``HUB_SALTS`` tasks, so neither a hub's edges nor a
+    node that many queries hit pile up in one task.
+    """
+    from tessera.session import cut_lineage
+
+    if not 1 <= cap <= 100 or hops < 0:
+        raise ValueError("cap must be in 1..100, hops not negative")
+    near = _capped(edges, relations, direction, cap)
+    if hops > 1:
+        near = cut_lineage(near)
+    seen = cut_lineage(hits.select(*by, F.col(id_col).alias("id")).distinct().withColumn("hop", F.lit(0)))
+    front = seen
+    for hop in range(1, hops + 1):
+        asked = near.join(front.select("id").distinct(), F.col("_node") == F.col("id"), "left_semi")
+        step = _salted(front.select(*by, F.col("id").alias("_node")), by).join(_copies(asked), ["_node", "_salt"])
+        new = step.select(*by, F.col("nid").alias("id")).distinct().join(seen.select(*by, "id"), [*by, "id"], "left_anti")
+        front = cut_lineage(new.withColumn("hop", F.lit(hop)))
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front)
+    return seen
+
+
 def hit_subgraph(hits: DataFrame, edges: DataFrame, id_col: str = "id",
                  by: Sequence[str] = ("query_id",)) -> DataFrame:
-    """Edges whose two ends are both among a query's hits."""
-    h = hits.select(*by, id_col).distinct()
-    src = h.withColumnRenamed(id_col, "source")
-    tgt = h.withColumnRenamed(id_col, "target")
-    j = edges.join(src, on="source", how="inner")
-    return j.join(tgt, on=[*by, "target"], how="left_semi")
+    """Edges whose two ends are both among a query's hits. Hits of the same
+    node, and a hub's edges, are spread over ``HUB_SALTS`` tasks."""
+    h = hits.select(*by, F.col(id_col).alias("_id")).distinct()
+    own = _copies(_salted(h, by).withColumnRenamed("_salt", "_q").withColumnRenamed("_id", "source"))
+    e = edges.join(h.select(F.col("_id").alias("source")).distinct(), "source", "left_semi").join(h.select(F.col("_id").alias("target")).distinct(), "target", "left_semi")
+    # a hub's edges by their other end, its hits by copies for each of those shares
+    j = _salted(e, ["target"]).join(own.drop("_q"), ["source", "_salt"]).drop("_salt")
+    return j.join(h.withColumnRenamed("_id", "target"), on=[*by, "target"], how="left_semi").select(*by, *edges.columns)
 
 
 _HEX32 = "^[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}$"

@@ -169,16 +169,46 @@ def expand_neighbors(spark, d):
         "/", s["id"], s["relation"], s["direction"])), ",").alias("neighbors"))
 
 
-@query("search_graph", f"""
-WITH e AS {EDGES_SQL}, n AS {NODES_SQL},
-hits AS (SELECT graph AS query_id, id FROM n WHERE type <> 'system')
-SELECT e.graph AS query_id, e.source, e.target, e.relation FROM e
-JOIN hits s ON s.id = e.source JOIN hits t ON t.id = e.target AND t.query_id = s.query_id
-""")
+def _search_graph_sql(hops):
+    from tessera.queries.docs_search import _BM25_SQL
+
+    bm25 = _BM25_SQL.replace("FROM documents", "FROM corpus").replace("rank <= 10", "rank <= 3").strip()
+    return f"""
+WITH RECURSIVE corpus AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS doc_id, text FROM conversations), {bm25},
+e AS {EDGES_SQL},
+nb AS (SELECT DISTINCT node, nid FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY weight DESC, nid, relation, direction) AS rn FROM (
+  SELECT source AS node, target AS nid, relation, weight, 'outgoing' AS direction FROM e
+  UNION ALL SELECT target, source, relation, weight, 'incoming' FROM e)) WHERE rn <= 2),
+r(query_id, id, hop) AS (SELECT query_id, id, 0 FROM bm UNION SELECT r.query_id, nb.nid, r.hop + 1 FROM r JOIN nb ON nb.node = r.id WHERE r.hop < {hops}),
+v AS (SELECT query_id, id, min(hop) AS hop FROM r GROUP BY ALL)
+SELECT s.query_id, e.source, e.target, e.relation, s.hop AS source_hop, t.hop AS target_hop
+FROM e JOIN v s ON s.id = e.source JOIN v t ON t.id = e.target AND t.query_id = s.query_id
+"""
+
+
+def _search_graph(spark, d, hops):
+    # the three turns that answer a query best, what lies within some steps of them, and the edges among all of these
+    from tessera.operators.retrieval import bm25_search
+
+    t = Tables(spark, d)
+    turns = t.conversations.select(F.concat_ws(":", "conv_id", "turn").alias("doc_id"), "text")
+    hits = bm25_search(t.benchmark.withColumnRenamed("item_id", "query_id"), turns, 3)
+    edges = _edges(spark, d)
+    nodes = J.expand_hops(hits.select("query_id", "id"), edges, hops, cap=2)
+    sub = J.hit_subgraph(nodes, edges)
+    hop = lambda side: nodes.select("query_id", F.col("id").alias(side), F.col("hop").alias(f"{side}_hop"))
+    return sub.join(hop("source"), ["query_id", "source"]).join(hop("target"), ["query_id", "target"]).select(
+        "query_id", "source", "target", "relation", "source_hop", "target_hop")
+
+
+@query("search_graph", _search_graph_sql(2))
 def search_graph(spark, d):
-    hits = _nodes(spark, d).filter(F.col("type") != "system").select(F.col("graph").alias("query_id"), "id")
-    sg = J.hit_subgraph(hits, _edges(spark, d))
-    return sg.select("query_id", "source", "target", "relation")
+    return _search_graph(spark, d, 2)
+
+
+@query("search_graph_deep", _search_graph_sql(3))
+def search_graph_deep(spark, d):
+    return _search_graph(spark, d, 3)
 
 
 @query("resolve_bucket", """
