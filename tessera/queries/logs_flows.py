@@ -734,12 +734,10 @@ SELECT doc_id, 'docs' AS bucket, lang AS collection, '18' AS week, 'growth' AS t
 def ingest_upload(spark, d):
     docs = Tables(spark, d).documents.select("doc_id", "lang", F.create_map(F.lit("source"), F.col("source"),
                                                                              F.lit("team"), F.lit("old")).alias("metadata"))
-    parts = []
-    for lang in sorted(r[0] for r in docs.select("lang").distinct().collect()):
-        parts.append(S.ingest_upload(docs.filter(F.col("lang") == lang), "docs", lang, {"week": 18, "team": "growth"}))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    # one scan: the collection is a column; written by bucket and collection, and read back
+    path = ST.scratch_path(spark, "uploads")
+    S.write_collection(S.ingest_upload(docs, "docs", F.col("lang"), {"week": 18, "team": "growth"}), path)
+    u = spark.read.parquet(path)
     return u.select("doc_id", "bucket", "collection", F.col("metadata")["week"].alias("week"),
                     F.col("metadata")["team"].alias("team"), F.col("metadata")["source"].alias("source"))
 
@@ -802,15 +800,33 @@ def delete_vectors(spark, d):
     return t.read().select("vec_id", _vector_text("embedding").alias("vector"))
 
 
-@query("vector_import", """
-SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS dims, round(list_sum(CAST(embedding AS DOUBLE[])), 3) + 0.0 AS total FROM embeddings
+@query("vector_import", f"""
+SELECT list_value('pgvector', 'pinecone', 'weaviate', 'chroma')[vec_id % 4 + 1] AS layout, 'v' || vec_id AS id,
+  {_VECTOR_SQL.format('embedding')} AS vector, CAST(label AS VARCHAR) AS label, NULL AS error FROM embeddings
+UNION ALL
+SELECT list_value('pgvector', 'pinecone', 'weaviate', 'chroma')[vec_id % 4 + 1], CASE WHEN vec_id % 4 = 0 THEN 'broken' END, NULL, NULL,
+  CASE WHEN vec_id % 4 = 0 THEN 'no vector of numbers' ELSE 'no id' END FROM embeddings WHERE vec_id % 50 < 4
 """)
 def vector_import(spark, d):
-    e = Tables(spark, d).embeddings.select("vec_id", F.concat(F.lit("["), F.array_join(
-        F.transform("embedding", lambda x: x.cast("double").cast("string")), ", "), F.lit("]")).alias("vtext"))
-    v = S.vectors_from_text(e, "vec_id", "vtext")
-    return v.select("id", F.size("vector").alias("dims"),
-                    (F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x), 3) + 0.0).alias("total"))
+    # a quarter of the vectors in each layout, and a broken line after some of them
+    e = Tables(spark, d).embeddings
+    key, label = F.concat(F.lit("v"), "vec_id"), F.create_map(F.lit("label"), F.col("label").cast("string"))
+    v = F.transform("embedding", lambda x: x.cast("double"))
+    line = {
+        "pgvector": F.concat_ws("\t", key, F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: x.cast("string")), ","), F.lit("]")), F.to_json(label)),
+        "pinecone": F.to_json(F.struct(key.alias("id"), v.alias("values"), label.alias("metadata"))),
+        "weaviate": F.to_json(F.struct(key.alias("id"), F.lit("Doc").alias("class"), v.alias("vector"), label.alias("properties"))),
+        "chroma": F.to_json(F.struct(F.array(key).alias("ids"), F.array(v).alias("embeddings"), F.array(label).alias("metadatas"))),
+    }
+    out = None
+    for i, layout in enumerate(S.LAYOUTS):
+        path = ST.scratch_path(spark, layout)
+        own = e.filter(F.col("vec_id") % 4 == i)
+        broken = F.lit("broken\t[1,x]") if layout == "pgvector" else F.lit('{"id": ')
+        own.select(F.explode(F.when(F.col("vec_id") % 50 < 4, F.array(line[layout], broken)).otherwise(F.array(line[layout]))).alias("value")).write.text(path)
+        part = S.import_vectors(spark, path, layout).select(F.lit(layout).alias("layout"), "id", _vector_text("vector").alias("vector"), F.col("metadata")["label"].alias("label"), "error")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def export_answers(spark, d):

@@ -51,10 +51,11 @@ MAX_JSON_BYTES = 4096
 KEY_PATTERN = r"^[A-Za-z0-9_.-]+$"
 
 
-def ingest_upload(df: DataFrame, bucket: str, collection: str | None = None,
+def ingest_upload(df: DataFrame, bucket: str, collection: str | Column | None = None,
                   metadata: dict[str, Any] | None = None, meta_col: str = "metadata") -> DataFrame:
-    """Stamp every row with the bucket, the collection and the per-upload
-    metadata (values coerced to text, merged over the row's own metadata)."""
+    """Stamp every row with the bucket, the collection (a name, or a column that
+    holds each row's) and the per-upload metadata (values coerced to text,
+    merged over the row's own metadata)."""
     meta = {k: (json.dumps(v) if isinstance(v, bool) else str(v)) for k, v in (metadata or {}).items()}
     if isinstance(metadata, dict):
         for k, v in metadata.items():
@@ -62,7 +63,7 @@ def ingest_upload(df: DataFrame, bucket: str, collection: str | None = None,
                 meta[k] = "true" if v else "false"
     stamp = F.create_map(*[x for k, v in meta.items() for x in (F.lit(k), F.lit(v))]) if meta \
         else F.create_map().cast("map<string,string>")
-    out = df.withColumn("bucket", F.lit(bucket)).withColumn("collection", F.lit(collection))
+    out = df.withColumn("bucket", F.lit(bucket)).withColumn("collection", collection if isinstance(collection, Column) else F.lit(collection))
     if meta_col in df.columns:
         merged = F.map_from_entries(F.array_union(
             F.filter(F.map_entries(F.col(meta_col)), lambda e: ~F.array_contains(F.map_keys(stamp), e["key"])),
@@ -162,6 +163,53 @@ def vectors_from_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("string").alias("id"), parse_vector_text(F.col(text_col)).alias("vector"))
 
 
+# fixed values: fields of a JSON line in each store's export
+_EXPORT_FIELDS = {
+    "pinecone": "id string, values array<double>, metadata map<string,string>",
+    "weaviate": "id string, vector array<double>, properties map<string,string>",
+    "chroma": "ids array<string>, embeddings array<array<double>>, metadatas array<map<string,string>>",
+}
+LAYOUTS = ("pgvector", *_EXPORT_FIELDS)
+
+
+def import_vectors(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    """Vectors of an exported store: ``(id, vector, metadata, error)``.
+
+    Every layout is lines of text, so Spark reads it in file ranges, one task
+    each, whatever the size of a file:
+
+    * ``pgvector``: ``id <tab> [x,y,...] <tab> metadata as JSON`` (the last may be missing);
+    * ``pinecone``: ``{"id", "values", "metadata"}``;
+    * ``weaviate``: ``{"id", "vector", "properties"}``;
+    * ``chroma``: ``{"ids", "embeddings", "metadatas"}``, lists of equal length, a batch a line.
+
+    A line, or an entry of a batch, without an id or a whole vector of numbers
+    comes back with ``error`` and without a vector; nothing is dropped but
+    empty lines. Metadata values are text.
+    """
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout}")
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    none = F.create_map().cast("map<string,string>")
+    if layout == "pgvector":
+        part = F.split("value", "\t", 3)
+        meta = F.from_json(F.try_element_at(part, F.lit(3)), "map<string,string>")
+        rows = lines.select(F.nullif(part[0], F.lit("")).alias("id"), parse_vector_text(F.try_element_at(part, F.lit(2))).alias("vector"), meta.alias("metadata"))
+    else:
+        r = lines.select(F.from_json("value", _EXPORT_FIELDS[layout]).alias("r"))
+        if layout == "chroma":
+            whole = F.coalesce(F.size("r.ids") == F.size("r.embeddings"), F.lit(False))
+            entry = F.transform(F.when(whole, F.col("r.ids")).otherwise(F.array(F.lit(None).cast("string"))), lambda x, i: F.struct(
+                x.alias("id"), F.get("r.embeddings", i).alias("vector"), F.get("r.metadatas", i).alias("metadata")))
+            rows = r.select(F.explode(entry).alias("e")).select("e.*")
+        else:
+            vector, meta = ("values", "metadata") if layout == "pinecone" else ("vector", "properties")
+            rows = r.select(F.col("r.id").alias("id"), F.col(f"r.{vector}").alias("vector"), F.col(f"r.{meta}").alias("metadata"))
+    usable = F.coalesce((F.size("vector") > 0) & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x)), F.lit(False))
+    error = F.when(F.col("id").isNull(), "no id").when(~usable, "no vector of numbers")
+    return rows.select("id", F.when(error.isNull(), F.col("vector")).alias("vector"), F.coalesce("metadata", none).alias("metadata"), error.alias("error"))
+
+
 # ----------------------------------------------------------- S14 front matter
 
 LIST_KEYS = ("allowed-tools", "blocked-tools", "procedures", "constraints")

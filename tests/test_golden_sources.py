@@ -47,3 +47,30 @@ def test_metadata_limits(spark):
 def test_vector_text_import(spark):
     df = spark.createDataFrame([(7, "[0.5, -1.25,2]")], "id int, v string")
     assert rows(S.vectors_from_text(df, "id", "v")) == [("7", [0.5, -1.25, 2.0])]
+
+
+def test_every_export_layout(spark, tmp_path):
+    files = {
+        "pgvector": 'a\t[1, -2.5]\t{"k": 1}\nb\t[3]\n\t[1]\nc\t[1,x]\nd\n\n',
+        "pinecone": '{"id": "a", "values": [1, -2.5], "metadata": {"k": 1}}\n{"id": "b", "values": [3]}\n{"values": [1]}\n{"id": "c", "values": [1, "x"]}\n{"id": "d"}\nnot json\n',
+        "weaviate": '{"id": "a", "class": "C", "vector": [1, -2.5], "properties": {"k": 1}}\n{"id": "b", "vector": [3]}\n{"vector": [1]}\n{"id": "d", "vector": []}\n',
+        "chroma": '{"ids": ["a", "b"], "embeddings": [[1, -2.5], [3]], "metadatas": [{"k": 1}, null]}\n{"ids": ["c"], "embeddings": []}\n{"ids": ["d"], "embeddings": [[]]}\n',
+    }
+    for layout, text in files.items():
+        (tmp_path / layout).write_text(text)
+        got = rows(S.import_vectors(spark, str(tmp_path / layout), layout), "id", "vector", "metadata", "error")
+        good = sorted(r for r in got if r[3] is None)
+        assert good == [("a", [1.0, -2.5], {"k": "1"}, None), ("b", [3.0], {}, None)], layout
+        bad = [r for r in got if r[3] is not None]
+        assert len(bad) == sum(1 for line in text.split("\n") if line.strip()) - (1 if layout == "chroma" else 2) and all(r[1] is None for r in bad), layout
+        assert {r[3] for r in bad} == {"no id", "no vector of numbers"}, layout
+
+
+def test_collections_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "c")
+    df = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(30)], "id int, lang string")
+    S.write_collection(S.ingest_upload(df, "b", F.col("lang")), path)
+    part = spark.read.parquet(path).where("bucket = 'b' AND collection = 'a'")
+    assert part.count() == 10 and len(part.inputFiles()) > 0
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "collection" in plan.split("PartitionFilters: [")[1].split("]")[0]
