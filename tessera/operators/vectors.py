@@ -549,14 +549,14 @@ def quantize_sq8(df: DataFrame, vec_col: str = "embedding") -> tuple[DataFrame,
     """Scalar 8-bit quantisation: per-dimension min/max over the table (a
     ``posexplode`` + grouped min/max), codes 0..255 per element, and the
     reconstruction ``min + code * (max - min) / 255``. The ranges of all
-    dimensions are one row, no larger than two vectors; it joins every row by
-    broadcast. Any number of dimensions."""
+    dimensions are one value, no larger than two vectors, that a scalar subquery
+    gives to every row. Any number of dimensions."""
     ex = df.select(F.posexplode(vec_col).alias("dim", "x"))
     rng = ex.groupBy("dim").agg(F.min("x").cast("double").alias("lo"), F.max("x").cast("double").alias("hi"))
-    one = rng.groupBy(F.lit(0).alias("_one")).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "lo", "hi"))), lambda r: F.struct(r["lo"].alias("lo"), r["hi"].alias("hi"))).alias("_range"))
+    one = rng.agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "lo", "hi"))), lambda r: F.struct(r["lo"].alias("lo"), r["hi"].alias("hi"))).alias("_range"))
     code = F.zip_with(F.col(vec_col), F.col("_range"), lambda x, r: F.when(
         r["hi"] > r["lo"], F.least(F.lit(255.0), F.greatest(F.lit(0.0), F.round((x - r["lo"]) / (r["hi"] - r["lo"]) * 255)))
     ).otherwise(F.lit(0.0)).cast("int"))
-    q = df.withColumn("_one", F.lit(0)).join(F.broadcast(one), "_one", "left").withColumn("codes", F.slice(code, 1, F.greatest(F.size(vec_col), F.lit(0))))
+    q = df.withColumn("_range", one.scalar()).withColumn("codes", F.slice(code, 1, F.greatest(F.size(vec_col), F.lit(0))))
     back = F.zip_with(F.col("codes"), F.slice("_range", 1, F.greatest(F.size(vec_col), F.lit(0))), lambda c, r: r["lo"] + c * (r["hi"] - r["lo"]) / 255.0)
-    return q.withColumn("restored", back).drop("_one", "_range"), rng
+    return q.withColumn("restored", back).drop("_range"), rng

@@ -1,6 +1,6 @@
 """Plan review for every registered batch query: no row-at-a-time Python
-UDF (``BatchEvalPython``) and no window without a partition key (which
-would pull all rows into one task)."""
+UDF (``BatchEvalPython``), no join of all pairs (cartesian or nested loop) and
+no window without a partition key (which would pull all rows into one task)."""
 
 import re
 
@@ -22,6 +22,7 @@ def _plan(df) -> str:
 def test_plan_is_distributed(spark, key):
     plan = _plan(E.queries()[key](spark, SF001))
     assert "BatchEvalPython" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     for spec in re.findall(r"windowspecdefinition\(([^)]*)\)", plan):
         # a spec that starts with an ordering (ASC/DESC) or frame has no partition key
         first = spec.split(",")[0].strip()
