@@ -286,3 +286,20 @@ def session_turns(conv: DataFrame, n: int, session_col: str = "conv_id", turn_co
         F.col(turn_col).alias("t"), F.concat(F.col(role_col), F.lit(": "), F.col(text_col)).alias("line")))).alias("_l"))
     return g.select(session_col, F.array_join(F.transform("_l", lambda s: s["line"]), "\n").alias("history"),
                     F.size("_l").alias("n_turns"))
+
+
+def recent_turns(conv: DataFrame, n: int, budget: int, session_col: str = "conv_id", turn_col: str = "turn",
+                 text_col: str = "text", role_col: str = "role") -> DataFrame:
+    """The newest turns of each session, ``n`` at most, that fit whole into a
+    token budget (4 characters a token): ``turns`` (role, content), oldest
+    first, ``turns_text`` (``role: content`` lines) and the tokens ``spent`` on
+    it with the blank line behind it."""
+    new = Window.partitionBy(session_col).orderBy(F.col(turn_col).desc())
+    role, text = F.coalesce(F.col(role_col), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))
+    last = conv.select(session_col, F.col(turn_col).alias("_t"), role.alias("_role"), text.alias("_text"), F.concat(role, F.lit(": "), text).alias("_line"),
+                       F.row_number().over(new).alias("_rn")).filter(F.col("_rn") <= n)
+    back = Window.partitionBy(session_col).orderBy("_rn").rowsBetween(Window.unboundedPreceding, 0)
+    fits = last.withColumn("_spent", F.ceil((F.sum(F.char_length("_line") + 1).over(back) + 1) / F.lit(4.0)).cast("long")).filter(F.col("_spent") <= budget)
+    g = fits.groupBy(session_col).agg(F.sort_array(F.collect_list(F.struct((-F.col("_rn")).alias("at"), "_role", "_text", "_line"))).alias("_l"), F.max("_spent").alias("spent"))
+    return g.select(session_col, F.transform("_l", lambda x: F.struct(x["_role"].alias("role"), x["_text"].alias("content"))).alias("turns"),
+                    F.array_join(F.transform("_l", lambda x: x["_line"]), "\n").alias("turns_text"), "spent")

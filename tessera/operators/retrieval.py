@@ -235,8 +235,9 @@ def granted(grants: DataFrame, user: str | None = None, roles: Sequence[str] = (
 
 
 def pack_context(hits: DataFrame, budget: int = 2000, text_col: str = "text", rank_col: str = "rank",
-                 by: Sequence[str] = ("query_id",)) -> DataFrame:
+                 by: Sequence[str] = ("query_id",), spent_col: str | None = None) -> DataFrame:
     """Fill a token budget with ranked chunks (per query, bounded by k).
+    ``spent_col`` names tokens of the budget that are gone already.
 
     The context is ``[1] text`` blocks with a blank line between them, and the
     budget holds for all of it: marks and blank lines count (4 characters a
@@ -252,7 +253,8 @@ def pack_context(hits: DataFrame, budget: int = 2000, text_col: str = "text", ra
     h = h.withColumn("_block", F.concat("_mark", F.coalesce(F.col(text_col), F.lit(""))))
     h = h.withColumn("_tok", F.ceil(F.char_length("_block") / F.lit(4.0)).cast("long"))
     h = h.withColumn("_cum", F.sum("_tok").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    left = F.lit(budget) - F.col("_cum") + F.col("_tok")
+    budget = F.lit(budget) if spent_col is None else F.lit(budget) - F.coalesce(F.col(spent_col), F.lit(0))
+    left = budget - F.col("_cum") + F.col("_tok")
     h = h.withColumn("_state", F.when(F.col("_cum") <= budget, F.lit("whole"))
                      .when(left * 4 > F.char_length("_mark"), F.lit("truncated")).otherwise(F.lit("skipped")))
     h = h.withColumn("_text", F.when(F.col("_state") == "whole", F.col("_block"))

@@ -24,6 +24,7 @@ from tessera.operators import routing as R
 from tessera.operators import shaping as P
 from tessera.operators import text as TX
 from tessera.operators import vectors as V
+from tessera.session import cut_lineage
 from tessera.sources import files as S
 
 # --------------------------------------------------------------- X1 ingest
@@ -69,25 +70,57 @@ def rag_context(queries: DataFrame, corpus: DataFrame, k: int = 5, template: str
     return P.render_template(base, template).select("query_id", "prompt")
 
 
+#: context modes that run here; the others need a language model and fall back to ``auto``
+CONTEXT_MODES = ("auto", "naive", "rerank")
+
+
 def bucket_context(queries: DataFrame, corpus: DataFrame, grants: DataFrame, roles: Sequence[str],
-                   names: DataFrame | None = None, budget: int = 2000, k: int = 10,
-                   filters: dict | None = None, sessions: DataFrame | None = None, n_turns: int = 0,
-                   qid_col: str = "query_id", qtext: str = "text") -> DataFrame:
-    """The flagship: restrict -> metadata filter -> hybrid search -> session
-    turns -> pack into a token budget -> one row per query with the context,
-    citations and counts."""
+                   budget: int = 2000, k: int = 10, filters: dict | None = None, sessions: DataFrame | None = None, n_turns: int = 0,
+                   qid_col: str = "query_id", qtext: str = "text", mode: str = "auto") -> DataFrame:
+    """The flagship: restrict -> metadata filter -> search -> session turns ->
+    pack into a token budget -> one row per query.
+
+    ``mode``: ``naive`` searches by words alone, ``auto`` by words and vectors,
+    ``rerank`` re-scores the hits of ``auto``; any other falls back to ``auto``.
+    The newest turns come first in the text and are paid from the budget before
+    the chunks. Columns: ``context``, ``tokens_used`` (of all of it), ``chunks``
+    (id, text, score, metadata of every retrieved chunk, in citation order),
+    ``session_turns`` (role, content), ``n_included``, ``n_truncated``,
+    ``n_skipped`` and ``mode_used``.
+    """
+    used = mode if mode in CONTEXT_MODES else "auto"
     c = RT.restrict(corpus, grants, roles=roles)
     if filters:
         c = FL.metadata_filter(c, filters)
-    hits = RT.hybrid_search(queries, c, k=k, qid_col=qid_col, qtext=qtext)
-    h = hits.join(c.select(F.col("doc_id").alias("id"), "text", "metadata"), "id")
-    h = P.format_citation(h, "[{source}:{id}]", out="citation")
-    packed = RT.pack_context(h.withColumn("text", F.concat(F.col("citation"), F.lit(" "), F.col("text"))), budget)
-    out = queries.select(F.col(qid_col).alias("query_id")).join(packed, "query_id", "left")
+    q = queries.select(F.col(qid_col).alias("query_id"), F.col(qtext).alias("query_text"))
+    if used == "naive":
+        hits = RT.bm25_search(queries, c, k, qid_col, qtext)
+    else:
+        hits = RT.hybrid_search(queries, c, k=k, depth=2 * k if used == "rerank" else None, qid_col=qid_col, qtext=qtext)
+    # k rows a query, used for the chunk list and the packing: stored, so that the search runs once
+    h = cut_lineage(hits).join(c.select(F.col("doc_id").alias("id"), "text", "metadata"), "id")
+    if used == "rerank":
+        h = RT.rerank_score(h.join(q, "query_id"), k=k).drop("rank", "score").withColumnsRenamed({"rerank": "rank", "rerank_score": "score"})
+    h = h.select("query_id", "id", "text", "metadata", "score", "rank")
+    # at most k hits and n turns a query: the lists are bounded
+    chunk = F.struct("rank", F.col("id").cast("string").alias("id"), "text", "score", "metadata")
+    chunks = h.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(chunk), lambda a, b: a["rank"] - b["rank"]), lambda x: x.dropFields("rank")).alias("chunks"))
+    packing = P.format_citation(h, "[{source}:{id}]", out="citation").withColumn("text", F.concat(F.col("citation"), F.lit(" "), F.col("text")))
+    out = q.select("query_id").join(chunks, "query_id", "left")
+    turns = None
     if sessions is not None and n_turns > 0:
-        hist = J.session_turns(sessions, n_turns).withColumnRenamed("conv_id", "query_id")
-        out = out.join(hist.select("query_id", "history"), "query_id", "left")
-    return out.fillna({"tokens_used": 0, "n_included": 0, "n_truncated": 0, "n_skipped": 0})
+        own = sessions.join(q.select(F.col("query_id").alias("conv_id")), "conv_id", "left_semi")
+        turns = J.recent_turns(own, n_turns, budget).withColumnRenamed("conv_id", "query_id")
+        packing = packing.join(turns.select("query_id", "spent"), "query_id", "left")
+        out = out.join(turns.withColumnsRenamed({"turns": "session_turns"}), "query_id", "left")
+    else:
+        out = out.withColumns({"session_turns": F.array().cast("array<struct<role:string,content:string>>"), "turns_text": F.lit(None).cast("string"), "spent": F.lit(0).cast("long")})
+    out = out.join(RT.pack_context(packing, budget, spent_col=None if turns is None else "spent"), "query_id", "left")
+    zero = {n: F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_included", "n_truncated", "n_skipped")}
+    text = F.concat_ws("\n\n", "turns_text", F.when(F.col("context") != "", F.col("context")))
+    return out.select("query_id", text.alias("context"), (F.coalesce("tokens_used", F.lit(0)) + F.coalesce("spent", F.lit(0))).cast("long").alias("tokens_used"),
+                      F.coalesce("chunks", F.array().cast(out.schema["chunks"].dataType)).alias("chunks"),
+                      F.coalesce("session_turns", F.array().cast(out.schema["session_turns"].dataType)).alias("session_turns"), *zero.values(), F.lit(used).alias("mode_used"))
 
 
 def multi_source_context(queries: DataFrame, corpora: dict[str, DataFrame], k: int = 5,

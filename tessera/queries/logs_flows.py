@@ -674,34 +674,58 @@ def multi_source_context(spark, d):
     return X.multi_source_context(t.benchmark.withColumnRenamed("item_id", "query_id"), corpora, k=3)
 
 
-def bucket_context_query(spark, d):
+def _context(spark, d, mode, budget):
     from tessera.queries.docs_search import _grants
 
     t = Tables(spark, d)
     docs = t.documents.select("doc_id", "text", F.col("lang").alias("collection"),
                               F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source")).alias("metadata"))
     q = t.benchmark.withColumnRenamed("item_id", "query_id")
-    return X.bucket_context(q, docs, _grants(spark), roles=["support"], budget=2000, k=10,
-                            filters={"source": {"$prefix": "src"}}, sessions=t.conversations, n_turns=2)
+    x = X.bucket_context(q, docs, _grants(spark), roles=["support"], budget=budget, k=10,
+                         filters={"source": {"$prefix": "src"}}, sessions=t.conversations, n_turns=2, mode=mode)
+    chunk = lambda c: F.concat_ws("|", c["id"], F.md5(c["text"]), F.floor(c["score"] * 1e6).cast("string"), c["metadata"]["lang"], c["metadata"]["source"])
+    return x.select("query_id", "context", "tokens_used", F.array_join(F.transform("chunks", chunk), ",").alias("chunks"),
+                    F.array_join(F.transform("session_turns", lambda t: F.concat_ws("=", t["role"], t["content"])), "&").alias("session_turns"),
+                    "n_included", "n_truncated", "n_skipped", "mode_used")
+
+
+_CONTEXT_CORPUS_SQL = "corpus AS (SELECT doc_id, text, lang, source FROM documents WHERE lang IN ('en', 'fr') AND source LIKE 'src%')"
+
+
+def _context_sql(hits, mode, budget):
+    """Twin of the context flow over ranked ``hits (query_id, id, score, rank)``."""
+    pack = D._PACK_SQL.replace("2000", f"({budget} - spent)").replace("SELECT query_id, rank, mark, mark ||", "SELECT query_id, rank, mark, spent, mark ||")
+    return f"""
+WITH {_CONTEXT_CORPUS_SQL}, {hits},
+t AS (SELECT conv_id, role, text, role || ': ' || text AS line, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations),
+f AS (SELECT *, CAST(ceil((sum(length(line) + 1) OVER (PARTITION BY conv_id ORDER BY rn ROWS UNBOUNDED PRECEDING) + 1) / 4.0) AS BIGINT) AS spent FROM t WHERE rn <= 2),
+turns AS (SELECT conv_id, max(spent) AS spent, string_agg(line, chr(10) ORDER BY rn DESC) AS turns_text, string_agg(role || '=' || text, '&' ORDER BY rn DESC) AS st
+  FROM f WHERE spent <= {budget} GROUP BY conv_id),
+m AS (SELECT hits.query_id, rank, {D._MARK_SQL} AS mark, '[' || source || ':' || id || '] ' || text AS text, coalesce(turns.spent, 0) AS spent
+  FROM hits JOIN corpus ON doc_id = id LEFT JOIN turns ON turns.conv_id = hits.query_id),
+packed AS (WITH {pack}),
+ch AS (SELECT query_id, string_agg(concat_ws('|', CAST(id AS VARCHAR), md5(text), CAST(CAST(floor(score * 1e6) AS BIGINT) AS VARCHAR), lang, source), ',' ORDER BY rank) AS chunks
+  FROM hits JOIN corpus ON doc_id = id GROUP BY query_id)
+SELECT item_id AS query_id, CASE WHEN coalesce(packed.context, '') = '' THEN coalesce(turns_text, '') WHEN turns_text IS NULL THEN packed.context
+    ELSE turns_text || chr(10) || chr(10) || packed.context END AS context,
+  CAST(coalesce(tokens_used, 0) + coalesce(turns.spent, 0) AS BIGINT) AS tokens_used, coalesce(chunks, '') AS chunks, coalesce(st, '') AS session_turns,
+  coalesce(n_included, 0) AS n_included, coalesce(n_truncated, 0) AS n_truncated, coalesce(n_skipped, 0) AS n_skipped, '{mode}' AS mode_used
+FROM benchmark LEFT JOIN packed ON packed.query_id = item_id LEFT JOIN ch ON ch.query_id = item_id LEFT JOIN turns ON turns.conv_id = item_id
+"""
+
 
+_CONTEXT_BM25 = D._BM25_SQL.replace("FROM documents", "FROM corpus").strip()
 
-_BUCKET_SQL = f"""
-WITH corpus AS (SELECT doc_id, text, source FROM documents WHERE lang IN ('en', 'fr') AND source LIKE 'src%'),
-{D._BM25_SQL.replace("FROM documents", "FROM corpus")}, {D._COS_SQL.replace("FROM documents", "FROM corpus")},
+query("bucket_context", _context_sql(f"""{_CONTEXT_BM25}, {D._COS_SQL.replace("FROM documents", "FROM corpus")},
 vec AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM cos) WHERE rank <= 10),
 fused AS (SELECT query_id, id, coalesce(1.0::DOUBLE / (60 + bm.rank), 0) + coalesce(1.0::DOUBLE / (60 + vec.rank), 0) AS score
   FROM bm FULL JOIN vec USING (query_id, id)),
-hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM fused) WHERE rank <= 10),
-m AS (SELECT query_id, rank, {D._MARK_SQL} AS mark, '[' || source || ':' || id || '] ' || text AS text FROM hits JOIN corpus ON doc_id = id),
-packed AS (WITH {D._PACK_SQL}),
-hist AS (SELECT conv_id, string_agg(role || ': ' || text, E'\\n' ORDER BY turn) AS history FROM (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations) WHERE rn <= 2 GROUP BY conv_id)
-SELECT item_id AS query_id, coalesce(tokens_used, 0) AS tokens_used, coalesce(n_included, 0) AS n_included,
-  coalesce(n_truncated, 0) AS n_truncated, coalesce(n_skipped, 0) AS n_skipped, context, history
-FROM benchmark LEFT JOIN packed ON packed.query_id = item_id LEFT JOIN hist ON conv_id = item_id
-"""
+hits AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM fused) WHERE rank <= 10)""", "auto", 2000))(
+    lambda spark, d: _context(spark, d, "auto", 2000))
 
-query("bucket_context", _BUCKET_SQL)(bucket_context_query)
+# words alone, and a budget that the turns use up first
+query("bucket_context_naive", _context_sql(f"{_CONTEXT_BM25}, hits AS (SELECT query_id, id, round(score, 9) AS score, rank FROM bm)", "naive", 300))(
+    lambda spark, d: _context(spark, d, "naive", 300))
 
 
 @query("route_intent", f"""
