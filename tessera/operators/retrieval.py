@@ -235,9 +235,10 @@ def granted(grants: DataFrame, user: str | None = None, roles: Sequence[str] = (
 
 
 def pack_context(hits: DataFrame, budget: int = 2000, text_col: str = "text", rank_col: str = "rank",
-                 by: Sequence[str] = ("query_id",), spent_col: str | None = None) -> DataFrame:
+                 by: Sequence[str] = ("query_id",), spent_col: str | None = None, chunk_col: str | None = None) -> DataFrame:
     """Fill a token budget with ranked chunks (per query, bounded by k).
-    ``spent_col`` names tokens of the budget that are gone already.
+    ``spent_col`` names tokens of the budget that are gone already; the values
+    of ``chunk_col`` are listed as ``chunks``, by rank.
 
     The context is ``[1] text`` blocks with a blank line between them, and the
     budget holds for all of it: marks and blank lines count (4 characters a
@@ -261,12 +262,15 @@ def pack_context(hits: DataFrame, budget: int = 2000, text_col: str = "text", ra
                      .when(F.col("_state") == "truncated", F.substring(F.col("_block"), F.lit(1), (left * 4).cast("int"))))
     h = h.withColumn("_used", F.when(F.col("_state") == "whole", F.col("_tok"))
                      .when(F.col("_state") == "truncated", left).otherwise(F.lit(0)))
+    by_rank = lambda c: F.array_sort(F.collect_list(F.struct(F.col(rank_col).alias("r"), F.col(c).alias("c"))), lambda a, b: (a["r"] - b["r"]).cast("int"))
+    listed = [F.transform(by_rank(chunk_col), lambda x: x["c"]).alias("chunks")] if chunk_col else []
     g = h.groupBy(*by).agg(
         F.array_sort(F.collect_list(F.when(F.col("_state") != "skipped", F.struct(F.col(rank_col).alias("r"), F.col("_text").alias("t"))))).alias("_l"),
         F.sum("_used").cast("long").alias("tokens_used"),
         F.sum(F.when(F.col("_state") == "whole", 1).otherwise(0)).cast("long").alias("n_included"),
         F.sum(F.when(F.col("_state") == "truncated", 1).otherwise(0)).cast("long").alias("n_truncated"),
-        F.sum(F.when(F.col("_state") == "skipped", 1).otherwise(0)).cast("long").alias("n_skipped"))
+        F.sum(F.when(F.col("_state") == "skipped", 1).otherwise(0)).cast("long").alias("n_skipped"),
+        *listed)
     return g.withColumn("context", F.array_join(F.transform("_l", lambda s: s["t"]), "")).drop("_l")
 
 

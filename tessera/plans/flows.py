@@ -24,7 +24,6 @@ from tessera.operators import routing as R
 from tessera.operators import shaping as P
 from tessera.operators import text as TX
 from tessera.operators import vectors as V
-from tessera.session import cut_lineage
 from tessera.sources import files as S
 
 # --------------------------------------------------------------- X1 ingest
@@ -97,16 +96,13 @@ def bucket_context(queries: DataFrame, corpus: DataFrame, grants: DataFrame, rol
         hits = RT.bm25_search(queries, c, k, qid_col, qtext)
     else:
         hits = RT.hybrid_search(queries, c, k=k, depth=2 * k if used == "rerank" else None, qid_col=qid_col, qtext=qtext)
-    # k rows a query, used for the chunk list and the packing: stored, so that the search runs once
-    h = cut_lineage(hits).join(c.select(F.col("doc_id").alias("id"), "text", "metadata"), "id")
+    h = hits.join(c.select(F.col("doc_id").alias("id"), "text", "metadata"), "id")
     if used == "rerank":
         h = RT.rerank_score(h.join(q, "query_id"), k=k).drop("rank", "score").withColumnsRenamed({"rerank": "rank", "rerank_score": "score"})
-    h = h.select("query_id", "id", "text", "metadata", "score", "rank")
-    # at most k hits and n turns a query: the lists are bounded
-    chunk = F.struct("rank", F.col("id").cast("string").alias("id"), "text", "score", "metadata")
-    chunks = h.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(chunk), lambda a, b: a["rank"] - b["rank"]), lambda x: x.dropFields("rank")).alias("chunks"))
+    # one use of the hits: text, counts and chunk list (k hits and n turns a query at most) come from one aggregate
+    h = h.withColumn("chunk", F.struct(F.col("id").cast("string").alias("id"), "text", "score", "metadata")).select("query_id", "id", "text", "metadata", "rank", "chunk")
     packing = P.format_citation(h, "[{source}:{id}]", out="citation").withColumn("text", F.concat(F.col("citation"), F.lit(" "), F.col("text")))
-    out = q.select("query_id").join(chunks, "query_id", "left")
+    out = q.select("query_id")
     turns = None
     if sessions is not None and n_turns > 0:
         own = sessions.join(q.select(F.col("query_id").alias("conv_id")), "conv_id", "left_semi")
@@ -115,7 +111,7 @@ def bucket_context(queries: DataFrame, corpus: DataFrame, grants: DataFrame, rol
         out = out.join(turns.withColumnsRenamed({"turns": "session_turns"}), "query_id", "left")
     else:
         out = out.withColumns({"session_turns": F.array().cast("array<struct<role:string,content:string>>"), "turns_text": F.lit(None).cast("string"), "spent": F.lit(0).cast("long")})
-    out = out.join(RT.pack_context(packing, budget, spent_col=None if turns is None else "spent"), "query_id", "left")
+    out = out.join(RT.pack_context(packing, budget, spent_col=None if turns is None else "spent", chunk_col="chunk"), "query_id", "left")
     zero = {n: F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_included", "n_truncated", "n_skipped")}
     text = F.concat_ws("\n\n", "turns_text", F.when(F.col("context") != "", F.col("context")))
     return out.select("query_id", text.alias("context"), (F.coalesce("tokens_used", F.lit(0)) + F.coalesce("spent", F.lit(0))).cast("long").alias("tokens_used"),
