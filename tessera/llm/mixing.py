@@ -2,10 +2,13 @@
 
 Documents are counted by exact word length per source. A source whose target
 is ``q`` whole passes and a rest takes every document ``q`` times; the rest is
-fitted by choosing how many documents of each length are taken once more: an
-even share of every length first, then the longest that still fit, and for the
-last budget a bounded-knapsack dynamic programme over the lengths left. Which
-documents of a length these are is decided by a seeded hash.
+fitted by choosing how many documents of each length are taken once more: by a
+an even share of every length first, then the longest that still fit, and for
+the last budget a bounded-knapsack dynamic programme over the lengths left. Its
+range is four times the longest document, so no document is too long for it (one
+of 10 million words needs 250 MB of a task); where it holds the whole budget and
+the share does not meet it, the programme fits all of it. Which documents of a
+length these are is decided by a seeded hash.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 #: documents of one source and length that are ranked together at most, on average
 RANK_GROUP = 20_000
-#: the dynamic programme covers a budget of so many words at most; more is filled longest first
-DP_BUDGET = 20_000
+#: words that the dynamic programme covers: this many, or so many times the longest document if that is more
+DP_BUDGET, DP_LONGEST = 20_000, 4
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
@@ -62,23 +65,19 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         return take
     if budget >= total:
         return counts.astype(np.int64)
+    reach = max(DP_BUDGET, DP_LONGEST * int(lengths[counts > 0].max()))
     take = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
     left = budget - int((lengths * take).sum())
-    order = np.argsort(-lengths, kind="stable")
-    for i in order:  # one more of each, then all that fit, longest first
-        if left <= DP_BUDGET:
+    for i in np.argsort(-lengths, kind="stable"):  # one more of each, then all that fit, longest first
+        if left <= reach:
             break
-        n = min(int(counts[i] - take[i]), (left - DP_BUDGET) // int(lengths[i]))
+        n = min(int(counts[i] - take[i]), -(-(left - reach) // int(lengths[i])))
         take[i] += n
         left -= n * int(lengths[i])
-    if left > DP_BUDGET:  # only documents longer than the programme's range could still fit
-        for i in order:
-            if lengths[i] <= left and take[i] < counts[i]:
-                take[i] += 1
-                left -= int(lengths[i])
-                if left <= DP_BUDGET:
-                    break
-    return take + bounded_knapsack(lengths, counts - take, min(left, DP_BUDGET))
+    take += bounded_knapsack(lengths, counts - take, left)
+    if int((lengths * take).sum()) < budget <= reach:  # the even share stood in the way: without it the programme finds the best sum there is
+        return bounded_knapsack(lengths, counts, budget)
+    return take
 
 
 def bounded_knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -89,7 +88,7 @@ def bounded_knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np
     take = np.zeros(len(lengths), dtype=np.int64)
     reached = np.zeros(budget + 1, dtype=bool)
     reached[0] = True
-    via = np.full(budget + 1, -1, dtype=np.int64)
+    via = np.full(budget + 1, -1, dtype=np.int32)
     pieces: list[tuple[int, int]] = []
     for i in np.argsort(lengths, kind="stable"):
         n, size, part = min(int(counts[i]), budget // max(int(lengths[i]), 1)), int(lengths[i]), 1
