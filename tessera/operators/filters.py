@@ -315,8 +315,9 @@ def temporal_filter(df: DataFrame, kind: str, ts_col: str = "event_time",
 
     ``as_of`` and ``latest`` keep the newest version per entity; Spark plans
     ``row_number() = 1`` as a window group limit, so each task keeps one row
-    per entity before the shuffle. ``tie`` names a column whose largest value
-    wins among equal times.
+    per entity before the shuffle. Among equal times the largest value of the
+    column ``tie`` wins, then the largest row by its columns in order, so the
+    result never depends on how rows are dealt.
     """
     t = F.col(ts_col)
     if kind == "before":
@@ -331,7 +332,10 @@ def temporal_filter(df: DataFrame, kind: str, ts_col: str = "event_time",
         src = df.filter(t <= F.lit(as_of)) if kind == "as_of" else df
         from pyspark.sql import Window
 
-        w = Window.partitionBy(entity).orderBy(t.desc(), *([F.col(tie).desc()] if tie else []))
+        # maps have no order: their sorted entries do
+        rest = [F.array_sort(F.map_entries(F.col(f"`{f.name}`"))) if isinstance(f.dataType, T.MapType) else F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.VariantType)
+                else F.col(f"`{f.name}`") for f in src.schema.fields if f.name not in (entity, ts_col, tie)]
+        w = Window.partitionBy(entity).orderBy(t.desc(), *([F.col(tie).desc()] if tie else []), *[c.desc() for c in rest])
         return src.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
     raise ValueError(kind)
 

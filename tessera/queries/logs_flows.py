@@ -482,7 +482,7 @@ def temporal_between(spark, d):
 
 
 @query("temporal_as_of", """
-SELECT event_id, user_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn
+SELECT event_id, user_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00') WHERE rn = 1
 """)
 def temporal_as_of(spark, d):
@@ -491,7 +491,7 @@ def temporal_as_of(spark, d):
 
 
 @query("temporal_latest", """
-SELECT event_id, user_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1
+SELECT event_id, user_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
 """)
 def temporal_latest(spark, d):
     e = Tables(spark, d).events.select("event_id", "user_id", "ts")
@@ -857,9 +857,15 @@ def export_answers(spark, d):
     from tessera.queries.shapes import format_answer
 
     a = format_answer(spark, d)
-    path = ST.scratch_path(spark, "answers")
-    S.export_answers(a, path, "json")
-    return spark.read.json(path)
+    out = None
+    for form in ("json", "markdown", "text"):
+        path = ST.scratch_path(spark, f"answers-{form}")
+        S.export_answers(a, path, form, id_col="s_suppkey")
+        back = S.read_answers(spark, path, form)
+        key = F.col("id").cast("long") if "id" in back.columns else F.col("s_suppkey") if "s_suppkey" in back.columns else F.lit(None).cast("long")
+        part = back.select(F.lit(form).alias("form"), key.alias("s_suppkey"), "answer")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # ---------------------------------------------------------------- streams
@@ -1078,7 +1084,11 @@ def _register_export():
     from tessera.queries import SQL as _SQL
     from tessera.queries.shapes import format_answer as _fa  # noqa: F401  (registers its twin first)
 
-    query("export_answers", _SQL["format_answer"])(export_answers)
+    answers = _SQL["format_answer"]
+    query("export_answers", f"""
+WITH a AS ({answers})
+SELECT 'json' AS form, s_suppkey, answer FROM a UNION ALL SELECT 'markdown', s_suppkey, answer FROM a UNION ALL SELECT 'text', NULL, answer FROM a
+""")(export_answers)
 
 
 _register_export()

@@ -258,14 +258,60 @@ def scan_frontmatter(df: DataFrame, path: str = "path", text: str = "text") -> D
 # --------------------------------------------------------------- S15 export
 
 
+#: between the answers of a markdown export: a line with a form feed
+PAGE_BREAK = "\n\f\n"
+
+
+def _escaped(c: Column, *marks: tuple[str, str]) -> Column:
+    """The marks as backslash and letter, backslashes doubled."""
+    c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for mark, letter in marks:
+        c = F.replace(c, F.lit(mark), F.lit(f"\\{letter}"))
+    return c
+
+
+def _plain(c: Column, *marks: tuple[str, str]) -> Column:
+    def part(x: Column) -> Column:
+        for mark, letter in marks:
+            x = F.replace(x, F.lit(f"\\{letter}"), F.lit(mark))
+        return x
+    return F.array_join(F.transform(F.split(c, r"\\\\"), part), "\\")
+
+
+_LINE_MARKS, _PAGE_MARKS = (("\n", "n"), ("\r", "r")), (("\f", "f"),)
+
+
 def export_answers(df: DataFrame, path: str, fmt: str = "json", text_col: str = "answer",
-                   mode: str = "overwrite") -> None:
-    """Write answers as text lines, JSON lines or parquet."""
+                   mode: str = "overwrite", id_col: str | None = None) -> None:
+    """Write answers: ``json`` lines and ``parquet`` with all columns; ``text``,
+    an answer a line, line breaks as ``\\n``; ``markdown``, a heading with the
+    value of ``id_col`` over each answer, page breaks between them.
+    ``read_answers`` reads them back as they were; null answers are empty there."""
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     if fmt == "text":
-        df.select(F.col(text_col).cast("string")).write.mode(mode).text(path)
+        df.select(_escaped(body, *_LINE_MARKS)).write.mode(mode).text(path)
+    elif fmt == "markdown":
+        if id_col is None:
+            raise ValueError("markdown needs an id column")
+        head = _escaped(F.coalesce(F.col(id_col).cast("string"), F.lit("")), *_LINE_MARKS)
+        df.select(F.concat(F.lit("# "), head, F.lit("\n\n"), _escaped(body, *_PAGE_MARKS))).write.mode(mode).option("lineSep", PAGE_BREAK).text(path)
     elif fmt == "json":
         df.write.mode(mode).json(path)
     elif fmt == "parquet":
         df.write.mode(mode).parquet(path)
     else:
         raise ValueError(fmt)
+
+
+def read_answers(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """An export of ``export_answers``: ``answer``, with ``id`` for markdown, all columns for json and parquet."""
+    if fmt == "text":
+        return spark.read.text(path).select(_plain(F.col("value"), *_LINE_MARKS).alias("answer"))
+    if fmt == "markdown":
+        page = spark.read.option("lineSep", PAGE_BREAK).text(path)
+        at = F.instr("value", "\n\n")
+        return page.select(_plain(F.substring("value", F.lit(3), at - 3), *_LINE_MARKS).alias("id"),
+                           _plain(F.substring(F.col("value"), at + 2, F.length("value")), *_PAGE_MARKS).alias("answer"))
+    if fmt not in ("json", "parquet"):
+        raise ValueError(fmt)
+    return spark.read.format(fmt).load(path)

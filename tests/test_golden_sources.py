@@ -74,3 +74,24 @@ def test_collections_are_pruned(spark, tmp_path):
     assert part.count() == 10 and len(part.inputFiles()) > 0
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan and "collection" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_exports_read_back(spark, tmp_path):
+    data = [("a", "one\ntwo\r\n\nthree"), ("b\nb", "back\\slash \\n \\\\n \\"), ("c", "page\n\f\nbreak \\f"), ("d", ""), ("", "é # x\n# y"), ("f", None)]
+    df = spark.createDataFrame(data, "id string, answer string").repartition(2)
+    want = sorted((i, t or "") for i, t in data)
+    S.export_answers(df, str(tmp_path / "md"), "markdown", id_col="id")
+    assert sorted(rows(S.read_answers(spark, str(tmp_path / "md"), "markdown"), "id", "answer")) == want
+    S.export_answers(df, str(tmp_path / "txt"), "text")
+    assert sorted(r[0] for r in rows(S.read_answers(spark, str(tmp_path / "txt"), "text"))) == sorted(t for _, t in want)
+
+
+def test_newest_rows_do_not_depend_on_order(spark):
+    from tessera.operators import filters as FL
+
+    data = [("e", 5, f"v{i}", {"k": str(i)}) for i in range(20)] + [("f", 1, "x", None)]
+    got = set()
+    for n in (1, 3, 7):
+        df = spark.createDataFrame(data, "entity string, t int, v string, m map<string,string>").repartition(n)
+        got.add(tuple(sorted((r["entity"], r["v"]) for r in FL.temporal_filter(df, "latest", "t", entity="entity").collect())))
+    assert got == {(("e", "v9"), ("f", "x"))}
