@@ -578,7 +578,7 @@ def test_held_out_rule(spark):
 @pytest.mark.parametrize("key", sorted(queries.SQL))
 def test_queries_equal_their_sql(spark, key):
     con = duckdb.connect()
-    for t in "documents pages conversations benchmark labels".split():
+    for t in "documents pages conversations benchmark labels embeddings".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF001}/{t}.parquet'")
     want = con.execute(queries.SQL[key])
     names = [d[0] for d in want.description]
