@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 import pandas as pd
@@ -224,13 +225,33 @@ def _paired(df: DataFrame, run_col: str, call_col: str) -> DataFrame:
                      F.round((F.col("result_us") - F.col("call_us")) / 1e6, 6).alias("duration_s"))
 
 
+#: Spark's default store keeps one column family per operator; list state and timers need several
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB; the session's own setting comes back afterwards."""
+    held = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        if held is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, held)
+
+
 def stream_pair_calls(calls: DataFrame, results: DataFrame, bound: str = "30 seconds", delay: str = "10 seconds",
                       run_col: str = "run_id", call_col: str = "call_id", ts_col: str = "ts") -> DataFrame:
     """Live call/result pairing with state per (run, call id): a result within
     ``bound`` after its call is paired at once; a call without one leaves, with
     nulls, when the watermark (``delay`` behind the newest event) passes its
     time limit, and a result without call too. ``calls`` has a ``tool``,
-    ``results`` may have a ``result``. Append mode."""
+    ``results`` may have a ``result``. Append mode; start it within
+    ``rocksdb_state``."""
     def side(df: DataFrame, kind: str) -> DataFrame:
         timed = _event_time(df, ts_col)
         text = lambda c: F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c)
@@ -264,7 +285,8 @@ def pair_calls_now(calls: DataFrame, results: DataFrame, bound: str = "30 second
     run goes on from the state of the last one."""
     spark = calls.sparkSession
     checkpoint = checkpoint or scratch_path(spark, "pairs-ckpt")
-    done = run_available(stream_pair_calls(calls, results, bound, delay, **cols), "pairs", target=target or scratch_path(spark, "pairs-out"), checkpoint=checkpoint)
+    with rocksdb_state(spark):
+        done = run_available(stream_pair_calls(calls, results, bound, delay, **cols), "pairs", target=target or scratch_path(spark, "pairs-out"), checkpoint=checkpoint)
     names = {k: v for k, v in cols.items() if k != "ts_col"}
     return done.unionByName(waiting_calls(spark, checkpoint, **names))
 

@@ -48,3 +48,17 @@ def test_bound_and_order(spark, tmp_path):
     got = seen(ST.pair_calls_now(*sides(spark, src), "30 seconds", "1 minute"))
     assert got == sorted([("r", "late", None, *NO_RESULT), ("r", "late", None, *NO_CALL), ("r", "before", None, *NO_RESULT), ("r", "before", None, *NO_CALL),
                           ("r", "two", 2.0, *PAIRED), ("r", "two", 1.0, *PAIRED), ("r", None, None, *NO_RESULT)], key=str)
+
+
+def test_runs_in_a_session_with_the_default_state_store(spark, tmp_path):
+    src = str(tmp_path / "src")
+    land(spark, src, ("r", "a", "call", 0), ("r", "a", "result", 7), ("r", "b", "call", 1))
+    held = spark.conf.get(ST.STATE_STORE)
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(ST.STATE_STORE, default)
+    try:
+        got = seen(ST.pair_calls_now(*sides(spark, src), "30 seconds", "5 seconds"))
+        assert spark.conf.get(ST.STATE_STORE) == default
+    finally:
+        spark.conf.set(ST.STATE_STORE, held)
+    assert got == sorted([("r", "a", 7.0, *PAIRED), ("r", "b", None, *NO_RESULT)], key=str)
