@@ -14,13 +14,17 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.operators.filters import js_regex, regex_groups, valid_regex
-from tessera.session import cut_lineage, ensure_parallel
+from tessera.session import arrow_slices, cut_lineage, ensure_parallel
 
 # --------------------------------------------------------------------------
 # chunking
@@ -108,24 +112,23 @@ def recursive_chunks(text: str, size: int, overlap: int) -> list[str]:
 def chunk_recursive(df: DataFrame, text: str = "text", size: int = 512, overlap: int = 50,
                     id_col: str = "doc_id") -> DataFrame:
     """Split on paragraph, line, sentence, word until pieces fit; join up
-    with overlap. Runs per document in ``mapInPandas``."""
+    with overlap. Runs per document in ``mapInArrow``, a slice of a batch at a time."""
     id_type = df.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("chunk_no", T.IntegerType()),
                            T.StructField("chunk", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target = to_arrow_schema(schema)
+        for b in arrow_slices(batches):
             ids, nos, chunks = [], [], []
-            for i, t in zip(b[id_col], b[text]):
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 for k, c in enumerate(recursive_chunks(t or "", size, overlap)):
                     ids.append(i)
                     nos.append(k)
                     chunks.append(c)
-            yield pd.DataFrame({id_col: ids, "chunk_no": nos, "chunk": chunks})
-
-    from tessera.session import ensure_parallel
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((ids, nos, chunks), target)], schema=target)
 
-    return ensure_parallel(df.select(id_col, text)).mapInPandas(run, schema)
+    return ensure_parallel(df.select(id_col, text)).mapInArrow(run, schema)
 
 
 def sentences(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -139,18 +142,46 @@ def chunk_semantic(df: DataFrame, text: str = "text", threshold: float = 0.2, di
     """Cut where neighbouring sentences differ: a sentence starts a new chunk
     when its cosine to the previous one is below ``threshold``. Vectors are
     the hashed-word embedding of :func:`tessera.operators.vectors.embed`."""
-    from tessera.operators.vectors import cosine, embed
-
-    s = sentences(df, text, id_col).withColumn("_sid", F.concat_ws(":", F.col(id_col).cast("string"), "sent_no"))
-    e = embed(s, "sentence", dims=dims, id_col="_sid")
-    w = Window.partitionBy(id_col).orderBy("sent_no")
-    cut = e.withColumn("_prev", F.lag("embedding").over(w)).withColumn(
-        "_cut", F.when(F.col("_prev").isNull(), 1).when(cosine(F.col("embedding"), F.col("_prev")) < threshold, 1)
-        .otherwise(0))
-    grp = cut.withColumn("chunk_no", F.sum("_cut").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    g = grp.groupBy(id_col, "chunk_no").agg(F.array_sort(F.collect_list(F.struct("sent_no", "sentence"))).alias("_s"))
-    return g.select(id_col, "chunk_no", F.array_join(F.transform("_s", lambda x: x["sentence"]), " ").alias("chunk"),
-                    F.size("_s").alias("n_sentences"))
+    from tessera.operators.vectors import signed_buckets, unit_rows
+
+    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("chunk_no", T.LongType()),
+                           T.StructField("chunk", T.StringType()), T.StructField("n_sentences", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target = to_arrow_schema(schema)
+        done: list[tuple] = []
+        key, no, held, prev = None, -1, [], None  # the open chunk, and the vector of its last sentence
+        for b in arrow_slices(batches):
+            words = b.column(2)
+            n = np.asarray(pa.compute.list_value_length(words))
+            signed = np.asarray(words.flatten(), dtype=np.int64)
+            cell = np.repeat(np.arange(b.num_rows), n) * dims + np.abs(signed) - 1
+            v = np.bincount(cell, np.sign(signed), b.num_rows * dims).reshape(b.num_rows, dims)
+            v = unit_rows(v).astype(np.float32).astype(np.float64)
+            # sums run from the first dimension to the last, as in the column functions
+            before = np.vstack([np.zeros((1, dims)) if prev is None else prev, v])
+            size = np.sqrt(np.cumsum(before * before, axis=1)[:, -1])
+            dot, d = np.cumsum(v * before[:-1], axis=1)[:, -1], size[1:] * size[:-1]
+            far = np.divide(dot, d, out=np.zeros_like(dot), where=d > 0) < threshold
+            for i, sentence, cut in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), far.tolist()):
+                if held and (cut or i != key):
+                    done.append((key, no, " ".join(held), len(held)))
+                    held = []
+                if no < 0 or i != key:
+                    key, no = i, 0
+                elif cut:
+                    no += 1
+                held.append(sentence)
+            prev = v[-1:]
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*done), target)], schema=target)
+                done = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((key, no, " ".join(held), len(held)), target)], schema=target)
+
+    # a document's sentences follow each other in one task; no vector leaves it
+    s = sentences(df.select(id_col, text).repartition(id_col), text, id_col).sortWithinPartitions(id_col, "sent_no", "sentence")
+    return s.select(id_col, "sentence", signed_buckets(F.col("sentence"), dims)).mapInArrow(run, schema)
 
 
 # --------------------------------------------------------------------------

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUERY_BATCH_ROWS = 4096      # query vectors broadcast per corpus pass
-SCORE_CELLS = 1 << 22        # scores (rows x queries) held at once by a task
+SCORE_CELLS = 1 << 19        # scores (rows x queries) held at once by a task
 DEFAULT_DIMS = 256
 
 # --------------------------------------------------------------------------
@@ -56,6 +56,13 @@ def word_tokens(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def signed_buckets(text: Column, dims: int) -> Column:
+    """Bucket (from 1) of each word of a text, negative if its sign is."""
+    hashes = F.transform(word_tokens(text), lambda w: F.md5(w.cast("binary")))
+    return F.transform(hashes, lambda h: (F.conv(F.substring(h, 1, 7), 16, 10).cast("long") % dims + 1) *
+                       F.when(F.substring(h, 8, 1) < "8", 1).otherwise(-1))
+
+
 def embed(df: DataFrame, text: str = "text", dims: int = DEFAULT_DIMS, id_col: str = "id",
           out: str = "embedding", model: str = "hashed-words") -> DataFrame:
     """Text to an L2-normalised ``dims``-wide vector (feature hashing, ours).
@@ -68,9 +75,7 @@ def embed(df: DataFrame, text: str = "text", dims: int = DEFAULT_DIMS, id_col: s
     """
     if dims < 1:
         raise ValueError("dims must be >= 1")
-    hashes = F.transform(word_tokens(F.col(text)), lambda w: F.md5(w.cast("binary")))
-    signed = F.transform(hashes, lambda h: (F.conv(F.substring(h, 1, 7), 16, 10).cast("long") % dims + 1) *
-                         F.when(F.substring(h, 8, 1) < "8", 1).otherwise(-1))
+    signed = signed_buckets(F.col(text), dims)
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def bucket_sum(col: pd.Series) -> pd.Series:

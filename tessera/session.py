@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -99,6 +101,18 @@ class Tables:
         return table(self.spark, self.sf_dir, name)
 
 
+#: rows of an Arrow batch that a task turns into Python objects at once
+SLICE_ROWS = 256
+
+
+def arrow_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices of ``rows`` (no copies): what a task holds in
+    Python objects does not grow with the batches that Spark sends."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def ensure_parallel(df: DataFrame) -> DataFrame:
     """Spread rows over at least ``defaultParallelism`` tasks before heavy
     per-row work (tokenizing, Python batches).
