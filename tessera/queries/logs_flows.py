@@ -1065,7 +1065,7 @@ def feed_poll(spark, d):
         body = rows.groupBy("user_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "entry")), asc=False), lambda x: x["entry"]), "").alias("body"))
         xml = F.when(is_rss, F.concat(F.lit('<rss version="2.0"><channel><title>t</title>'), "body", F.lit("</channel></rss>"))).otherwise(
             F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>t</title>'), "body", F.lit("</feed>")))
-        body.select(xml.alias("value"), F.col("user_id").alias("feed"), F.lit(run).alias("poll")).repartition("feed").write.mode("append").partitionBy("feed", "poll").text(folder)
+        FD.land(body.select(F.col("user_id").cast("string").alias("feed"), F.lit(run).alias("poll"), xml.alias("document")), folder)
         runs.append(FD.new_entries(spark, folder, target, checkpoint).withColumn("run", F.lit(run)))
     new = runs[0].unionByName(runs[1])
     return new.select("feed", "format", "entry_id", "title", "link", F.col("published").cast("timestamp_ntz").alias("published"), "run")

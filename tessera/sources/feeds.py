@@ -2,9 +2,10 @@
 
 A poller lands each answer as a snapshot, ``<folder>/feed=<name>/poll=<number>/<file>``;
 snapshots are never changed. The streaming source ``feeds`` keeps an offset per
-feed, the number of its last snapshot: a micro-batch has one partition for each
-feed with newer ones, read and parsed in its task. ``new_entries`` then gives
-every entry of a feed once, however many snapshots repeat it.
+feed, the number of its last snapshot: a micro-batch has all newer ones, dealt
+to partitions of about ``PARTITION_BYTES`` and at most ``PARTITION_POLLS``
+snapshots, read and parsed in their tasks. ``new_entries`` then gives every
+entry of a feed once, however many snapshots repeat it.
 """
 
 from __future__ import annotations
@@ -13,14 +14,19 @@ import datetime as dt
 import hashlib
 import posixpath
 import re
+import uuid
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from email.utils import parsedate_to_datetime
+from urllib.parse import quote, unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
+from tessera.session import arrow_slices
+
 ENTRY_SCHEMA = ("feed string, poll long, position int, format string, entry_id string, title string, link string, "
                 "published timestamp, summary string, error string")
 # fixed values: namespaces of the formats
@@ -29,6 +35,8 @@ RSS1 = "{http://purl.org/rss/1.0/}"
 RDF = "{http://www.w3.org/1999/02/22-rdf-syntax-ns#}"
 DC = "{http://purl.org/dc/elements/1.1/}"
 CONTENT = "{http://purl.org/rss/1.0/modules/content/}"
+#: a partition is full at this many bytes or snapshots
+PARTITION_BYTES, PARTITION_POLLS = 4 << 20, 500
 
 
 def parse_time(text: str | None) -> dt.datetime | None:
@@ -85,9 +93,43 @@ def parse_feed(document: bytes) -> tuple[str, list[dict]]:
     return fmt, entries
 
 
-class _Feed(InputPartition):
-    def __init__(self, feed: str, polls: list[tuple[int, list[str]]]):
-        self.feed, self.polls = feed, polls
+def _store(path: str):
+    """(file system, path in it)"""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if re.match(r"[a-z][a-z0-9+.-]*://", path) else (fs.LocalFileSystem(), re.sub("^file:", "", path))
+
+
+#: the feed without a name
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
+
+def land(answers: DataFrame, folder: str) -> None:
+    """Lands answers ``(feed, poll, document)`` as snapshots, each written by
+    its task under a hidden name and then moved: whole or not there, and the
+    same file when the task is repeated."""
+    folder = folder.rstrip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _store(folder)
+        for b in arrow_slices(batches):
+            for feed, poll, document in zip(*[c.to_pylist() for c in b.columns]):
+                place = f"{root}/feed={NO_NAME if feed is None else quote(feed, safe='')}/poll={poll}"
+                store.create_dir(place)
+                draft = f"{place}/.{uuid.uuid4().hex}"
+                with store.open_output_stream(draft) as f:
+                    f.write((document or "").encode())
+                store.move(draft, f"{place}/answer.xml")
+        yield from ()
+
+    answers.select("feed", "poll", "document").mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()
+
+
+class _Polls(InputPartition):
+    """Snapshots (feed, poll, files) that one task reads."""
+
+    def __init__(self, polls: list[tuple[str, int, list[str]]]):
+        self.polls = polls
 
 
 class FeedReader(DataSourceStreamReader):
@@ -96,20 +138,16 @@ class FeedReader(DataSourceStreamReader):
     def __init__(self, path: str):
         self._path = path.rstrip("/")
 
-    def _store(self):
+    def _snapshots(self) -> dict[str, dict[int, list[tuple[str, int]]]]:
+        """By feed and poll: (path, size) of its files."""
         from pyarrow import fs
 
-        return fs.FileSystem.from_uri(self._path) if re.match(r"[a-z][a-z0-9+.-]*://", self._path) else (fs.LocalFileSystem(), re.sub("^file:", "", self._path))
-
-    def _snapshots(self) -> dict[str, dict[int, list[str]]]:
-        from pyarrow import fs
-
-        store, root = self._store()
-        found: dict[str, dict[int, list[str]]] = {}
+        store, root = _store(self._path)
+        found: dict[str, dict[int, list[tuple[str, int]]]] = {}
         for info in store.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True)):
             m = re.search(r"/feed=([^/]+)/poll=(\d+)/([^/._][^/]*)$", info.path)
             if m and info.is_file:
-                found.setdefault(m[1], {}).setdefault(int(m[2]), []).append(info.path)
+                found.setdefault(m[1], {}).setdefault(int(m[2]), []).append((info.path, info.size or 0))
         return found
 
     def initialOffset(self) -> dict:
@@ -120,20 +158,23 @@ class FeedReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         found = self._snapshots()
-        parts = []
+        parts, polls, held = [], [], 0
         for feed, last in sorted(end.items()):
-            polls = [(n, sorted(files)) for n, files in sorted(found.get(feed, {}).items()) if start.get(feed, -1) < n <= last]
-            if polls:
-                parts.append(_Feed(feed, polls))
-        return parts or [_Feed("", [])]
-
-    def read(self, partition: _Feed) -> Iterator[tuple]:
-        from urllib.parse import unquote
-
-        store, _ = self._store()
-        feed = unquote(partition.feed)
-        for poll, files in partition.polls:
-            at = 0
+            for n, files in sorted(found.get(feed, {}).items()):
+                if not start.get(feed, -1) < n <= last:
+                    continue
+                size = sum(s for _, s in files)
+                if polls and (held + size > PARTITION_BYTES or len(polls) >= PARTITION_POLLS):
+                    parts.append(_Polls(polls))
+                    polls, held = [], 0
+                polls.append((feed, n, sorted(p for p, _ in files)))
+                held += size
+        return [*parts, _Polls(polls)]
+
+    def read(self, partition: _Polls) -> Iterator[tuple]:
+        store, _ = _store(self._path)
+        for name, poll, files in partition.polls:
+            feed, at = unquote(name), 0
             for path in files:
                 with store.open_input_stream(path) as f:
                     document = f.read()

@@ -59,3 +59,30 @@ def test_polls(spark, tmp_path):
     bad = FD.FeedReader(folder)
     rows = [r for p in bad.partitions({"a": 3, "b": 1, "c%20x": 1}, bad.latestOffset()) for r in bad.read(p)]
     assert len(rows) == 1 and rows[0][0] == "b" and "not XML" in rows[0][-1]
+
+
+def test_many_feeds_share_partitions(tmp_path, monkeypatch):
+    for i in range(50):
+        p = tmp_path / f"feed=f{i:02d}" / "poll=1"
+        p.mkdir(parents=True)
+        (p / "a.xml").write_text(f"<rss><channel><item><guid>k{i}</guid></item></channel></rss>")
+    r = FD.FeedReader(str(tmp_path))
+    assert len(r.partitions({}, r.latestOffset())) == 1
+    monkeypatch.setattr(FD, "PARTITION_POLLS", 20)
+    parts = r.partitions({"f03": 1}, r.latestOffset())  # one feed is read already
+    assert [len(p.polls) for p in parts] == [20, 20, 9]
+    assert sorted((x[0], x[1], x[2], x[4]) for p in parts for x in r.read(p)) == [(f"f{i:02d}", 1, 0, f"k{i}") for i in range(50) if i != 3]
+    monkeypatch.setattr(FD, "PARTITION_BYTES", 150)
+    assert max(len(p.polls) for p in r.partitions({}, r.latestOffset())) == 2  # 62 bytes each
+    assert [list(r.read(p)) for p in r.partitions(r.latestOffset(), r.latestOffset())] == [[]]
+
+
+def test_land(spark, tmp_path):
+    rows = [("a b/c", 1, "<rss><channel><item><guid>k</guid></item></channel></rss>"), ("d", 3, ATOM), (None, 1, None)]
+    for _ in range(2):  # a repeated task writes the same files
+        FD.land(spark.createDataFrame(rows, "feed string, poll int, document string"), str(tmp_path / "in"))
+    r = FD.FeedReader(str(tmp_path / "in"))
+    assert r.latestOffset() == {"a%20b%2Fc": 1, "d": 3, FD.NO_NAME: 1}
+    got = sorted((x[0], x[1], x[4]) for p in r.partitions({}, r.latestOffset()) for x in r.read(p))
+    assert got == [("a b/c", 1, "k"), ("d", 3, "urn:1"), ("d", 3, "urn:2")]
+    assert not [p for p in (tmp_path / "in").rglob(".*")]
