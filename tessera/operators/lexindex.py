@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import count as count_from
 
 import numpy as np
 import pandas as pd
@@ -32,10 +33,11 @@ import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.operators.retrieval import BM25_B, BM25_K1, QUERY_BLOCK, _py_tokens
-from tessera.operators.vectors import Best, query_blocks, word_tokens
-from tessera.session import cut_lineage, ensure_parallel
+from tessera.operators.vectors import SCORE_CELLS, Best, query_blocks, word_tokens
+from tessera.session import arrow_slices, cut_lineage, ensure_parallel
 from tessera.sources.versioned import Folder, VersionedTable
 
 #: documents of a cell (a power of two), and documents or postings that a task sorts at once
@@ -102,51 +104,60 @@ class LexicalIndex:
         schema = T.StructType([T.StructField("term", T.StringType()), *self._postings.schema.fields[1:], T.StructField("total", T.LongType()),
                                T.StructField("ids", T.ArrayType(id_type))])
 
-        def rows_of(group: list, base: int) -> tuple[list, int]:
-            """Rows of one group: documents by collection and length, in cells."""
+        def rows_of(group: list, names: list[str], nos: Iterator[int]) -> Iterator[list]:
+            """Rows of one group, cell by cell: documents by collection and length."""
             group.sort(key=lambda g: (g[1] is not None, g[1] or "", g[2]))
-            rows, at = [], 0
+            at = 0
             while at < len(group):
                 own = group[at:at + cell]
                 own = own[:next((i for i, g in enumerate(own) if g[1] != own[0][1]), len(own))]
-                no, lists = base // cell, {}
-                for i, (_, _, dl, counts) in enumerate(own):
-                    for term, tf in counts.items():
-                        lists.setdefault(term, []).append((i, tf, dl))
-                rows.append((None, own[0][1], no, len(own), None, None, None, None, [g[2] for g in own], sum(g[2] for g in own), [g[0] for g in own]))
-                for term, held in lists.items():
+                no = next(nos)
+                dls = [g[2] for g in own]
+                rows = [(None, own[0][1], no, len(own), None, None, None, None, dls, sum(dls), [g[0] for g in own])]
+                term = np.concatenate([g[3] for g in own])
+                order = np.argsort(term, kind="stable")
+                term, tfs = term[order], np.concatenate([g[4] for g in own])[order]
+                places = np.repeat(np.arange(len(own)), [len(g[3]) for g in own])[order]
+                cuts = np.flatnonzero(np.diff(term)) + 1
+                for lo, hi in zip([0, *cuts.tolist()] if len(term) else [], [*cuts.tolist(), len(term)]):
+                    place, tf = places[lo:hi].tolist(), tfs[lo:hi].tolist()
+                    dl = [dls[i] for i in place]
                     top, least = [], None
-                    for _, tf, dl in sorted(held, key=lambda p: (-p[1], p[2])):  # a smaller tf counts only with a shorter text
-                        if least is None or dl < least:
-                            top.append((tf, dl))
-                            least = dl
-                    rows.append((term, own[0][1], no, len(held), *[list(x) for x in zip(*top)], *[list(x) for x in zip(*held)], None, None))
+                    for f, n in sorted(zip(tf, dl), key=lambda p: (-p[0], p[1])):  # a smaller tf counts only with a shorter text
+                        if least is None or n < least:
+                            top.append((f, n))
+                            least = n
+                    rows.append((names[term[lo]], own[0][1], no, hi - lo, *[list(x) for x in zip(*top)], place, tf, dl, None, None))
+                yield rows
                 at += len(own)
-                base += cell
-            return rows, base
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
-            base = (first << (_PART + _LOCAL)) | (TaskContext.get().partitionId() << _LOCAL)
-            group, postings, names = [], 0, [f.name for f in schema]
-            for pdf in batches:
-                for key, name, words in zip(pdf["_id"], pdf["_collection"], pdf["_text"]):
+            nos = count_from(((first << (_PART + _LOCAL)) | (TaskContext.get().partitionId() << _LOCAL)) // cell)
+            target = to_arrow_schema(schema)
+            # a document's words are numbers of the group's word list, in arrays
+            group, postings, number = [], 0, {}
+
+            def flush() -> Iterator[pa.RecordBatch]:
+                for rows in rows_of(group, list(number), nos):
+                    for a in range(0, len(rows), 5000):
+                        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows[a:a + 5000]), target)], schema=target)
+
+            for b in arrow_slices(batches):
+                for key, name, words in zip(*[c.to_pylist() for c in b.columns]):
                     tokens = _py_tokens(words)
                     counts = Counter(tokens)
-                    group.append((None if pd.isna(key) else key, name, len(tokens), counts))
+                    terms = np.fromiter((number.setdefault(t, len(number)) for t in counts), np.int32, len(counts))
+                    group.append((key, name, len(tokens), terms, np.fromiter(counts.values(), np.int32, len(counts))))
                     postings += len(counts)
                     if len(group) >= group_docs or postings >= group_postings:
-                        rows, base = rows_of(group, base)
-                        for a in range(0, len(rows), 5000):
-                            yield pd.DataFrame(rows[a:a + 5000], columns=names, dtype=object)
-                        group, postings = [], 0
-            rows, base = rows_of(group, base)
-            for a in range(0, len(rows), 5000):
-                yield pd.DataFrame(rows[a:a + 5000], columns=names, dtype=object)
+                        yield from flush()
+                        group, postings, number = [], 0, {}
+            yield from flush()
 
         src = docs.select(F.col(id_col).cast(id_type).alias("_id"), collection.cast("string").alias("_collection"), F.col(text).alias("_text"))
-        return cut_lineage(ensure_parallel(src).mapInPandas(run, schema))
+        return cut_lineage(ensure_parallel(src).mapInArrow(run, schema))
 
     def add(self, docs: DataFrame, id_col: str = "doc_id", text: str = "text", collection: str | None = None, writer: tuple[str, int] | None = None) -> None:
         """Adds documents, in the collection that the column ``collection``
@@ -304,20 +315,24 @@ class LexicalIndex:
                 if not len(queries):
                     return
                 scored[scope_no * n_q + queries] += own[queries]
-                column = np.cumsum(alive) - 1
-                keep = alive[who]
-                who, row = column[who[keep]], row[keep]
-                # every kept (term, query) takes the term's postings
                 starts = np.cumsum(sizes) - sizes
                 place, gain = np.concatenate([h[3] for h in held]), np.concatenate([_impact(idf[h[0]], h[4], h[5], avgdl) for h in held])
-                n = sizes[row]
-                p = np.repeat(starts[row] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                s = np.bincount(place[p] * len(queries) + np.repeat(who, n), gain[p], len(ids) * len(queries)).reshape(len(ids), len(queries))
-                s[gone] = 0.0
-                best.add(ids, np.round(s, 9), scope_no * n_q + queries)
+                # queries by the additions and scores that they take
+                work = np.cumsum(own[queries] + len(ids))
+                for some in np.split(queries, np.flatnonzero(np.diff(work // SCORE_CELLS)) + 1):
+                    column = np.full(n_q, -1)
+                    column[some] = np.arange(len(some))
+                    keep = column[who] >= 0
+                    asked, r = column[who[keep]], row[keep]
+                    # every kept (term, query) takes the term's postings
+                    n = sizes[r]
+                    p = np.repeat(starts[r] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    s = np.bincount(place[p] * len(some) + np.repeat(asked, n), gain[p], len(ids) * len(some)).reshape(len(ids), len(some))
+                    s[gone] = 0.0
+                    best.add(ids, np.round(s, 9), scope_no * n_q + some)
 
             head, held, cell = None, [], None
-            for batch in batches:
+            for batch in arrow_slices(batches):
                 cells, names, words = batch.column(0).to_numpy(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
                 flat = [(np.asarray(batch.column(3 + i).flatten(), dtype=np.float64 if i in (0, 1, 3, 4) else np.int64),
                          np.concatenate(([0], np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.list_value_length(batch.column(3 + i)), 0)))))) for i in range(5)]
