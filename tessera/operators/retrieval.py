@@ -19,9 +19,11 @@ from typing import TYPE_CHECKING
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.operators.vectors import SCORE_CELLS, Best, _hit_schema, _keep_best, block_topk, cosine, embed, query_blocks, word_tokens
 
@@ -51,7 +53,7 @@ def _doc_terms(corpus: DataFrame, id_col: str, text: str, vocab: dict[str, int])
     numbers) with their counts, the only part of the text that scoring needs.
     Tokenizing runs once per document in Arrow batches; the result is small and
     stored for the statistics and the scoring pass."""
-    from tessera.session import cut_lineage, ensure_parallel
+    from tessera.session import arrow_slices, cut_lineage, ensure_parallel
 
     bvocab = corpus.sparkSession.sparkContext.broadcast(vocab)
     id_type = corpus.schema[id_col].dataType
@@ -59,21 +61,21 @@ def _doc_terms(corpus: DataFrame, id_col: str, text: str, vocab: dict[str, int])
                            T.StructField("_terms", T.ArrayType(T.IntegerType())),
                            T.StructField("_tfs", T.ArrayType(T.DoubleType()))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
-        vs = bvocab.value
-        for pdf in batches:
+        vs, target = bvocab.value, to_arrow_schema(schema)
+        for b in arrow_slices(batches):
             dls, terms, tfs = [], [], []
-            for t in pdf[text]:
+            for t in b.column(1).to_pylist():
                 toks = _py_tokens(t)
                 c = Counter(vs[x] for x in toks if x in vs)
                 dls.append(len(toks))
                 terms.append(list(c))
                 tfs.append([float(v) for v in c.values()])
-            yield pd.DataFrame({"_id": pdf[id_col], "_dl": dls, "_terms": terms, "_tfs": tfs})
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(target[0].type), *[pa.array(x, f.type) for x, f in zip((dls, terms, tfs), list(target)[1:])]], schema=target)
 
-    return cut_lineage(ensure_parallel(corpus.select(id_col, text)).mapInPandas(run, schema))
+    return cut_lineage(ensure_parallel(corpus.select(id_col, text)).mapInArrow(run, schema))
 
 
 def _bm25_stats(per_doc: DataFrame) -> tuple[dict[int, int], int, int]:
