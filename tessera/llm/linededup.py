@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.text import plain_words, small
+from tessera.llm.text import small
 from tessera.session import cut_lineage
 
 #: lines of fewer words are not near to any line
@@ -26,12 +26,17 @@ MIN_CHARS = 20
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, th, line_no, w, a``: every line, its words and their hash; a
-    row is named by its doc_id and the hash of its text."""
-    one = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"),
-                                                       F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    one = one.select("doc_id", "th", "line_no", plain_words(F.col("line")).alias("w"))
-    return one.select("doc_id", "th", "line_no", "w", F.xxhash64("w").alias("a"))
+    """``doc_id, th, line_no, line``: every line, its blanks all spaces; a row
+    is named by its doc_id and the hash of its text."""
+    # once for a text, so that no line needs a regular expression
+    spaced = F.regexp_replace("text", r"[\x09\x0B-\x0D]", " ")
+    return docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"),
+                                                        F.posexplode(F.split(spaced, "\n")).alias("line_no", "line"))
+
+
+def _line_words(line: Column) -> Column:
+    """The plain words of a line of :func:`_lines`."""
+    return F.array_remove(F.split(line, " "), "")
 
 
 def _half_keys(n: Column) -> list[Column]:
@@ -60,7 +65,8 @@ def near_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_chars: int | Non
     n = F.size("w")
     same, less = _half_keys(n), _half_keys(n - 1)
     chars = F.lit(0) if min_chars is None else F.char_length(F.array_join("w", ""))
-    seen = _lines(docs).select("doc_id", "th", "line_no", "a", F.xxhash64(F.lit(7), "w").alias("b"), n.alias("n"), chars.alias("chars"),
+    seen = _lines(docs).select("doc_id", "th", "line_no", _line_words(F.col("line")).alias("w"))
+    seen = seen.select("doc_id", "th", "line_no", F.xxhash64("w").alias("a"), F.xxhash64(F.lit(7), "w").alias("b"), n.alias("n"), chars.alias("chars"),
                                same[0].alias("k1"), same[1].alias("k2"), less[0].alias("k3"), less[1].alias("k4"))
     seen = cut_lineage(seen.drop("chars") if min_chars is None else seen)
     long = seen.where(F.col("n") >= min_words)
@@ -74,10 +80,12 @@ def near_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_chars: int | Non
     shared = halves.groupBy("k").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("k")
     wanted = halves.join(small(cut_lineage(shared)), "k", "left_semi").select("a").distinct()
     wanted = small(cut_lineage(wanted))
-    some = _lines(docs).join(wanted, "a", "left_semi").where(F.size("w") >= min_words)
-    some = some.select(at.alias("at"), F.xxhash64(F.lit(7), "w").alias("b"), "a", "w")
-    # the earliest line of each word list; one list has one hash but for chance
-    some = some.groupBy("a", "b").agg(F.min(F.struct("at", "w")).alias("x")).select("x.at", "x.w", F.size("x.w").alias("n"))
+    # the earliest line of each word list, one list having one hash but for chance; only these lines are cut into words again
+    firsts = long.join(wanted, "a", "left_semi").groupBy("a", "b").agg(F.min(at).alias("at"))
+    named = cut_lineage(firsts.select(F.col("at.doc_id").alias("d"), F.col("at.th").alias("t"), F.col("at.line_no").alias("l")))
+    some = _lines(docs).join(small(named), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")) & (F.col("line_no") == F.col("l")), "left_semi")
+    # rows that repeat doc_id and text hold the same line
+    some = some.select(at.alias("at"), _line_words(F.col("line")).alias("w")).groupBy("at").agg(F.min("w").alias("w")).select("at", "w", F.size("w").alias("n"))
     some = cut_lineage(some)
     removed = _verified(_candidates(some), some)
     # equal words: 128 bits of hash
