@@ -9,6 +9,7 @@ click.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -1019,7 +1020,8 @@ SELECT o_custkey, max(o_totalprice) - min(o_totalprice) AS spread FROM orders GR
 """)
 def code_groups(spark, d):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"o_custkey": [pdf["o_custkey"].iloc[0]], "spread": [float(pdf["o_totalprice"].max() - pdf["o_totalprice"].min())]})
+        price = pdf["o_totalprice"].to_numpy()  # fmax and fmin leave nulls out
+        return pd.DataFrame({"o_custkey": pdf["o_custkey"].to_numpy()[:1], "spread": np.fmax.reduce(price, keepdims=True) - np.fmin.reduce(price, keepdims=True)})
     return U.code_groups(Tables(spark, d).orders.select("o_custkey", "o_totalprice"), ["o_custkey"], fn,
                          "o_custkey long, spread double")
 
