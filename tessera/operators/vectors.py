@@ -10,11 +10,15 @@ driver except for d x d matrices.
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,32 +67,42 @@ def signed_buckets(text: Column, dims: int) -> Column:
                        F.when(F.substring(h, 8, 1) < "8", 1).otherwise(-1))
 
 
+@functools.lru_cache(maxsize=1 << 16)
+def word_bucket(word: bytes) -> tuple[int, int]:
+    """What :func:`signed_buckets` makes of a word: a number whose remainder by
+    the dimensions is the bucket (from 0), and the sign."""
+    head = int.from_bytes(hashlib.md5(word).digest()[:4], "big")  # eight hex digits
+    return head >> 4, 1 if head & 15 < 8 else -1
+
+
 def embed(df: DataFrame, text: str = "text", dims: int = DEFAULT_DIMS, id_col: str = "id",
           out: str = "embedding", model: str = "hashed-words") -> DataFrame:
     """Text to an L2-normalised ``dims``-wide vector (feature hashing, ours).
 
-    Word hashing runs JVM-side (``md5`` inside ``transform``): the first seven
-    hex digits of a word choose its bucket, the eighth its sign. An
-    Arrow-batched pandas UDF adds the signs per bucket with ``numpy.bincount``.
-    A real embedding model replaces this function with a ``mapInPandas`` over
-    the same batches.
+    Texts are cut into words JVM-side. A task names the words of a slice of rows
+    by a dictionary, hashes each of its words once (:func:`word_bucket`) and adds
+    the signs per row and bucket with ``numpy.bincount``. A real embedding model
+    replaces this function with a ``mapInPandas`` over the same batches.
     """
     if dims < 1:
         raise ValueError("dims must be >= 1")
-    signed = signed_buckets(F.col(text), dims)
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def bucket_sum(col: pd.Series) -> pd.Series:
-        res = []
-        for arr in col:
-            a = np.asarray(arr if arr is not None else [], dtype=np.int64)
-            v = np.bincount(np.abs(a) - 1, weights=np.sign(a), minlength=dims).astype(np.float64) \
-                if a.size else np.zeros(dims)
-            n = np.linalg.norm(v)
-            res.append((v / n if n > 0 else v).astype(np.float32))
-        return pd.Series(res)
-
-    return df.withColumn(out, bucket_sum(signed)).withColumn("model", F.lit(model)) \
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def bucket_sum(col: pa.Array) -> pa.Array:
+        parts, step = [], max(1, SCORE_CELLS // dims)
+        for at in range(0, len(col), step):
+            part = col.slice(at, step)
+            sizes = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
+            words = part.flatten().dictionary_encode()
+            named = np.array([word_bucket(w) for w in words.dictionary.cast(pa.binary()).to_pylist()], dtype=np.int64).reshape(-1, 2)
+            signed = named[words.indices.to_numpy(zero_copy_only=False)]
+            cell = np.repeat(np.arange(len(part)) * dims, sizes) + signed[:, 0] % dims
+            v = np.bincount(cell, weights=signed[:, 1], minlength=len(part) * dims).astype(np.float64).reshape(len(part), dims)
+            parts.append(unit_rows(v).astype(np.float32).ravel())
+        flat = np.concatenate(parts) if parts else np.empty(0, dtype=np.float32)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(col) + 1) * dims, pa.int32()), pa.array(flat, pa.float32()))
+
+    return df.withColumn(out, bucket_sum(word_tokens(F.col(text)))).withColumn("model", F.lit(model)) \
         .withColumn("dimensions", F.lit(dims))
 
 
