@@ -30,9 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.vectors import ANN_MAX_LISTS, ANN_SAMPLE_ROWS, ANN_TRIAL_ROWS, QUERY_BATCH_ROWS, SCORE_CELLS, _lists_to_open, l2_normalize, query_blocks, unit_rows
-from tessera.session import cut_lineage, ensure_parallel
+from tessera.session import arrow_slices, cut_lineage, ensure_parallel
 from tessera.sources.versioned import Folder, VersionedTable
 
+#: rows of a batch that a task takes as matrices at once
+TASK_ROWS = 2048
+
 
 def _matrix(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
     """(row numbers, matrix) of the vectors of ``dims`` finite components."""
@@ -117,7 +120,7 @@ class VectorIndex:
             centres = sent.value
             half, dims = (centres ** 2).sum(1) / 2, centres.shape[1]
             step_rows = max(1, SCORE_CELLS // len(centres))
-            for batch in batches:
+            for batch in arrow_slices(batches, TASK_ROWS):
                 rows, m = _matrix(batch.column(1), dims)
                 for a in range(0, len(rows), step_rows):
                     x = m[a:a + step_rows].astype(np.float32)
@@ -202,7 +205,8 @@ class VectorIndex:
             q = unit_rows(np.array([r["v"] for r in block], dtype=np.float64))
             opened = self._opened(q, k, probes)
             lists = self.spark.createDataFrame([(int(i),) for i in np.flatnonzero(opened.any(axis=0))], "list int")
-            sent = self.spark.sparkContext.broadcast(([r["q"] for r in block], q, self.centres, [np.flatnonzero(o) for o in opened.T]))
+            # which queries open a list: a bit for each
+            sent = self.spark.sparkContext.broadcast(([r["q"] for r in block], q, self.centres, np.packbits(opened.T, axis=1)))
             near = cut_lineage(self._by_codes(self._lists.lookup(lists, self.manifest["lists"]).select("list", "id", "codes", "step"), sent, k, id_type))
             # the k-th score that is certain, over all tasks
             nth = F.row_number().over(Window.partitionBy("q").orderBy(F.col("least").desc()))
@@ -222,7 +226,6 @@ class VectorIndex:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             qids, q, centres, asking = sent.value
             reach = np.abs(q).sum(1)  # error of a score: half a step in every component
-            base = q @ centres.T
             floor = np.full(len(qids), -np.inf)
             kept: list[tuple] = []  # q, least, most, list, id
             cells = 0
@@ -235,22 +238,26 @@ class VectorIndex:
                 order = np.lexsort((-least, who))
                 w = who[order]
                 at = np.arange(len(w)) - np.searchsorted(w, w) == k - 1
-                floor[w[at]] = least[order][at]
+                floor[w[at]] = np.maximum(floor[w[at]], least[order][at])
                 keep = np.flatnonzero(most >= floor[who])
                 return [(who[keep], least[keep], most[keep], place[keep], ids.take(pa.array(keep)))]
 
-            for batch in batches:
+            def leave(part: list[tuple]) -> Iterator[pa.RecordBatch]:
+                for who, least, most, place, ids in part:
+                    yield pa.RecordBatch.from_arrays([pa.array(who, pa.int32()), pa.array(place, pa.int32()), ids, pa.array(least), pa.array(most)], [f.name for f in schema])
+
+            for batch in arrow_slices(batches, TASK_ROWS):
                 place = np.asarray(batch.column(0))
                 codes = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.int8).reshape(len(place), -1)
                 step = np.asarray(batch.column(3), dtype=np.float64)
                 for x in np.unique(place):
-                    own, ask = np.flatnonzero(place == x), asking[x]
+                    own, ask = np.flatnonzero(place == x), np.flatnonzero(np.unpackbits(asking[x], count=len(qids)))
                     if not len(ask):
                         continue
                     width = max(1, SCORE_CELLS // len(ask))
                     for a in range(0, len(own), width):
                         rows = own[a:a + width]
-                        s = base[ask, x][None, :] + step[rows][:, None] * (codes[rows].astype(np.float64) @ q[ask].T)
+                        s = (q[ask] @ centres[x])[None, :] + step[rows][:, None] * (codes[rows].astype(np.float64) @ q[ask].T)
                         slack = (0.5 * step[rows] * 1.001)[:, None] * reach[ask][None, :] + 1e-6
                         r, c = np.nonzero(s + slack >= floor[ask])
                         kept.append((ask[c], (s - slack)[r, c], (s + slack)[r, c], np.full(len(r), x), batch.column(1).take(pa.array(rows[r]))))
@@ -258,8 +265,10 @@ class VectorIndex:
                         if cells > SCORE_CELLS // 4:
                             kept = prune()
                             cells = 0
-            for who, least, most, place, ids in prune():
-                yield pa.RecordBatch.from_arrays([pa.array(who, pa.int32()), pa.array(place, pa.int32()), ids, pa.array(least), pa.array(most)], [f.name for f in schema])
+                            if len(kept[0][0]) > SCORE_CELLS // 4:  # many rows near the k-th: they leave, their floor stays
+                                yield from leave(kept)
+                                kept = []
+            yield from leave(prune())
 
         return rows.mapInArrow(run, schema)
 
@@ -270,12 +279,15 @@ class VectorIndex:
 
             qids, q, _, _ = sent.value
             types = [to_arrow_type(f.dataType) for f in schema]
-            for batch in batches:
+            for batch in arrow_slices(batches, TASK_ROWS):
                 _, m = _matrix(batch.column(2), q.shape[1])
-                asked = batch.column(3)
+                m, asked = unit_rows(m), batch.column(3)
                 n = np.asarray(pa.compute.list_value_length(asked))
-                row, who = np.repeat(np.arange(len(n)), n), np.asarray(asked.flatten())
-                s = np.round((unit_rows(m)[row] * q[who]).sum(1), 9)  # ties are exact and broken by id
-                yield pa.RecordBatch.from_arrays([pa.array([qids[i] for i in who], types[0]), batch.column(1).take(pa.array(row)), pa.array(s)], [f.name for f in schema])
+                rows, asks = np.repeat(np.arange(len(n)), n), np.asarray(asked.flatten())
+                width = max(1, SCORE_CELLS // q.shape[1])
+                for a in range(0, len(rows), width):
+                    row, who = rows[a:a + width], asks[a:a + width]
+                    s = np.round((m[row] * q[who]).sum(1), 9)  # ties are exact and broken by id
+                    yield pa.RecordBatch.from_arrays([pa.array([qids[i] for i in who], types[0]), batch.column(1).take(pa.array(row)), pa.array(s)], [f.name for f in schema])
 
         return rows.select("list", "id", "vector", "qs").mapInArrow(run, schema)
