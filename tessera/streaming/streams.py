@@ -14,13 +14,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.operators import filters as FL
@@ -155,127 +153,74 @@ def stream_usage(stream: DataFrame, body_col: str = "body", org_col: str = "org_
         org_col, F.col("w.start").alias("minute"), "call_count", "llm_input_tokens", "llm_output_tokens", "embed_tokens")
 
 
-class PairCalls(StatefulProcessor):
-    """Calls and results of one (run, call id): a result is paired with every
-    call that it follows within the bound. A call waits until the watermark
-    passes its time limit, a result until no earlier call can come any more;
-    one that found no partner then leaves alone."""
-
-    def __init__(self, bound_us: int):
-        self._bound = bound_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._open = handle.getListState("open", "kind string, us long, tool string, result string, matched boolean")
-
-    def _limit(self, item: tuple) -> int:
-        """Watermark, in milliseconds, from which on the item cannot find a partner."""
-        return -(-(item[1] + (self._bound if item[0] == "call" else 0)) // 1000) + 1
-
-    def _held(self) -> list[tuple]:
-        return [tuple(x) for x in self._open.get()] if self._open.exists() else []
-
-    def _keep(self, items: list[tuple]) -> None:
-        if items:
-            self._open.put(items)
-        else:
-            self._open.clear()
-
-    @staticmethod
-    def _frame(key: tuple, rows: list[tuple]) -> Iterator[pd.DataFrame]:
-        if rows:
-            cols = list(zip(*rows))
-            col = lambda values, dtype: pd.Series(list(values), dtype=dtype)
-            yield pd.DataFrame({"run": col([key[0]] * len(rows), object), "call": col([key[1]] * len(rows), object), "tool": col(cols[0], object),
-                                "call_us": col(cols[1], "Int64"), "result_us": col(cols[2], "Int64"), "result": col(cols[3], object)})
-
-    @staticmethod
-    def alone(item: tuple) -> tuple:
-        return (item[2], item[1], None, None) if item[0] == "call" else (None, None, item[1], item[3])
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        held = [list(x) for x in self._held()]
-        pairs, some = [], lambda v: None if pd.isna(v) else v
-        for pdf in rows:
-            for kind, us, tool, result in zip(pdf["kind"], pdf["us"], pdf["tool"], pdf["result"]):
-                new = [kind, int(us), some(tool), some(result), False]
-                for other in held:
-                    call, res = (new, other) if kind == "call" else (other, new)
-                    if other[0] != kind and call[1] <= res[1] <= call[1] + self._bound:
-                        pairs.append((call[2], call[1], res[1], res[3]))
-                        new[4] = other[4] = True
-                held.append(new)
-        self._keep([tuple(x) for x in held])
-        for limit in {self._limit(x) for x in held}:
-            self._handle.registerTimer(limit)
-        return self._frame(key, pairs)
-
-    def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        now, held = timerValues.getCurrentWatermarkInMs(), self._held()
-        self._keep([x for x in held if self._limit(x) > now])
-        return self._frame(key, [self.alone(x) for x in held if self._limit(x) <= now and not x[4]])
-
-    def close(self) -> None:
-        pass
-
-
 def _paired(df: DataFrame, run_col: str, call_col: str) -> DataFrame:
     at = lambda c: F.timestamp_micros(c)
     return df.select(F.col("run").alias(run_col), F.col("call").alias(call_col), "tool", at("call_us").alias("call_ts"), at("result_us").alias("result_ts"), "result",
                      F.round((F.col("result_us") - F.col("call_us")) / 1e6, 6).alias("duration_s"))
 
 
-#: Spark's default store keeps one column family per operator; list state and timers need several
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: what call pairing is started with: state on disk, one store per partition for
+#: both sides of the join (Spark's default layout keeps four), and a watermark
+#: that follows the newest event of either side
+PAIRING = {STATE_STORE: ROCKSDB, "spark.sql.streaming.join.stateFormatVersion": "3", "spark.sql.streaming.multipleWatermarkPolicy": "max"}
+
 
 @contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside keep their state in RocksDB; the session's own setting comes back afterwards."""
-    held = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKSDB)
+    """Streams started inside run with the settings of ``PAIRING``, their state
+    in RocksDB; the session's own settings come back afterwards."""
+    held = {k: spark.conf.get(k, None) for k in PAIRING}
     try:
+        for k, v in PAIRING.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        if held is None:
-            spark.conf.unset(STATE_STORE)
-        else:
-            spark.conf.set(STATE_STORE, held)
+        for k, v in held.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def stream_pair_calls(calls: DataFrame, results: DataFrame, bound: str = "30 seconds", delay: str = "10 seconds",
                       run_col: str = "run_id", call_col: str = "call_id", ts_col: str = "ts") -> DataFrame:
-    """Live call/result pairing with state per (run, call id): a result within
-    ``bound`` after its call is paired at once; a call without one leaves, with
-    nulls, when the watermark (``delay`` behind the newest event) passes its
-    time limit, and a result without call too. ``calls`` has a ``tool``,
-    ``results`` may have a ``result``. Append mode; start it within
+    """Live call/result pairing, a stream-stream full outer join on (run, call
+    id), null ids being equal: a result within ``bound`` after its call is
+    paired at once; a call without one leaves, with nulls, when the watermark
+    (``delay`` behind the newest event) passes its time limit, and a result
+    without call when no earlier call can come any more. ``calls`` has a
+    ``tool``, ``results`` may have a ``result``. Append mode; start it within
     ``rocksdb_state``."""
     def side(df: DataFrame, kind: str) -> DataFrame:
-        timed = _event_time(df, ts_col)
-        text = lambda c: F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c)
-        return timed.select(F.col(run_col).cast("string").alias("run"), F.col(call_col).cast("string").alias("call"), F.lit(kind).alias("kind"),
-                            F.unix_micros(F.col(ts_col).cast("timestamp")).alias("us"), text("tool"), text("result"))
+        text = lambda c: (F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c)
+        rows = _event_time(df, ts_col).select(F.col(run_col).cast("string").alias("run"), F.col(call_col).cast("string").alias("call"),
+                                              F.unix_micros(F.col(ts_col).cast("timestamp")).alias("us"), text("tool"), text("result")).where("us IS NOT NULL")
+        return rows.withColumn("at", F.timestamp_micros("us")).withWatermark("at", delay).alias(kind)
 
-    both = side(calls, "call").unionByName(side(results, "result")).where("us IS NOT NULL")
-    both = both.withColumn("at", F.timestamp_micros("us")).withWatermark("at", delay)
     zero = F.timestamp_micros(F.lit(0))
     bound_us = calls.sparkSession.range(1).select(F.unix_micros(zero + F.expr(f"INTERVAL {bound}"))).first()[0]
-    out = both.groupBy("run", "call").transformWithStateInPandas(
-        PairCalls(bound_us), "run string, call string, tool string, call_us long, result_us long, result string", "Append", "EventTime")
-    return _paired(out, run_col, call_col)
+    limit = F.expr(f"INTERVAL '{bound_us // 10**6}.{bound_us % 10**6:06d}' SECOND")
+    c, r = (lambda x: F.col(f"c.{x}")), (lambda x: F.col(f"r.{x}"))
+    same = c("run").eqNullSafe(r("run")) & c("call").eqNullSafe(r("call"))
+    j = side(calls, "c").join(side(results, "r"), same & (r("at") >= c("at")) & (r("at") <= c("at") + limit), "full_outer")
+    # no row lacks both sides: naming the other side's text only keeps it in the state, where ``waiting_calls`` shows it
+    neither = c("us").isNull() & r("us").isNull()
+    return _paired(j.select(F.coalesce(c("run"), r("run")).alias("run"), F.coalesce(c("call"), r("call")).alias("call"), F.when(neither, r("tool")).otherwise(c("tool")).alias("tool"),
+                            c("us").alias("call_us"), r("us").alias("result_us"), F.when(neither, c("result")).otherwise(r("result")).alias("result")), run_col, call_col)
 
 
 def waiting_calls(spark: SparkSession, checkpoint: str, run_col: str = "run_id", call_col: str = "call_id") -> DataFrame:
     """Calls and results that still wait for a partner when a run of
     ``stream_pair_calls`` has ended, read from the state in its checkpoint; a
     later run with the same checkpoint may pair them yet."""
-    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "open").load()
-    x = F.col("list_element")
-    call = x["kind"] == "call"
-    return _paired(state.where(~x["matched"]).select("key.run", "key.call", x["tool"].alias("tool"), F.when(call, x["us"]).alias("call_us"),
-                                                     F.when(~call, x["us"]).alias("result_us"), x["result"].alias("result")), run_col, call_col)
+    def side(name: str, us: str, other: str) -> DataFrame:
+        state = spark.read.format("statestore").option("path", checkpoint).option("storeName", f"{name}-keyWithIndexToValue").load()
+        return state.where(~F.col("value.matched")).select("value.*").withColumn(us, F.col("us")).withColumn(other, F.lit(None).cast("long"))
+
+    return _paired(side("left", "call_us", "result_us").unionByName(side("right", "result_us", "call_us")), run_col, call_col)
 
 
 def pair_calls_now(calls: DataFrame, results: DataFrame, bound: str = "30 seconds", delay: str = "10 seconds",

@@ -62,3 +62,34 @@ def test_runs_in_a_session_with_the_default_state_store(spark, tmp_path):
     finally:
         spark.conf.set(ST.STATE_STORE, held)
     assert got == sorted([("r", "a", 7.0, *PAIRED), ("r", "b", None, *NO_RESULT)], key=str)
+
+
+def test_no_python_worker_per_call(spark, tmp_path):
+    src = str(tmp_path / "src")
+    land(spark, src, ("r", "a", "call", 0))
+    plan = ST.stream_pair_calls(*sides(spark, src))._jdf.queryExecution().analyzed().toString()
+    assert "Join FullOuter" in plan and "Pandas" not in plan and "Python" not in plan
+
+
+def test_one_state_store_for_both_sides(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / x) for x in ("src", "out", "ckpt"))
+    land(spark, src, ("r", "a", "call", 0), ("r", "a", "result", 7))
+    held = {k: spark.conf.get(k, None) for k in ST.PAIRING}
+    ST.pair_calls_now(*sides(spark, src), target=out, checkpoint=ckpt)
+    assert held == {k: spark.conf.get(k, None) for k in ST.PAIRING}
+    assert not [p.name for p in (tmp_path / "ckpt" / "state" / "0" / "0").iterdir() if p.name.startswith(("left-", "right-"))]
+
+
+def test_null_ids_late_rows_and_a_side_that_stops(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / x) for x in ("src", "out", "ckpt"))
+    run = lambda: seen(ST.pair_calls_now(*sides(spark, src), "30 seconds", "5 seconds", target=out, checkpoint=ckpt))
+    land(spark, src, ("r", None, "call", 0), ("r", None, "result", 4), (None, "b", "call", 1), (None, "b", "result", 2), ("r", "c", "call", 3))
+    first = [("r", None, 4.0, *PAIRED), (None, "b", 1.0, *PAIRED), ("r", "c", None, *NO_RESULT)]
+    assert run() == sorted(first, key=str)
+    # only results land from here on: the watermark follows them, and the call that waits leaves
+    land(spark, src, ("r", "d", "result", 100))
+    assert run() == sorted([*first, ("r", "d", None, *NO_CALL)], key=str)
+    assert {(r["run_id"], r["call_id"]) for r in ST.waiting_calls(spark, ckpt).collect()} == {("r", "d")}
+    # rows behind the watermark are not taken any more
+    land(spark, src, ("r", "c", "result", 20), ("r", "d", "call", 99))
+    assert run() == sorted([*first, ("r", "d", 1.0, *PAIRED)], key=str)
